@@ -74,25 +74,27 @@ def period_spine(requests: DataFrame, start: str, end: str, compatible: bool = F
 
 
 def uncovered_ranges(
-    periods: DataFrame, covered: DataFrame, start: str = "period_start", end: str = "period_end"
+    periods: DataFrame, covered: DataFrame, keys: Sequence[str] = ("period_name",),
+    start: str = "period_start", end: str = "period_end",
 ) -> DataFrame:
     """Day ranges of the periods that no covered range holds (all half-open).
 
-    Runs of days are found within one period, which is at most two months long.
+    ``keys`` name a period. Runs of days are found within one period, so a window
+    never sees more days than a period has.
     """
 
     def days(df: DataFrame) -> Column:
         last = F.date_sub(F.col(end).cast("date"), 1)
         return F.explode(F.sequence(F.col(start).cast("date"), last))
 
-    wanted = periods.select("period_name", F.col(start).cast("date").alias("__p"),
-                            days(periods).alias("day"))
-    open_days = wanted.join(covered.select(days(covered).alias("day")).distinct(), "day", "left_anti")
-    order = Window.partitionBy("period_name", "__p").orderBy("day")
+    wanted = periods.select(*keys, days(periods).alias("day"))
+    taken = covered.select(days(covered).alias("day")).distinct()
+    open_days = wanted.join(taken, "day", "left_anti")
+    order = Window.partitionBy(*keys).orderBy("day")
     runs = open_days.withColumn("__run", F.date_sub("day", F.row_number().over(order)))
-    return runs.groupBy("period_name", "__p", "__run").agg(
+    return runs.groupBy(*keys, "__run").agg(
         F.min("day").alias("range_start"), F.date_add(F.max("day"), 1).alias("range_end")
-    ).drop("__p", "__run")
+    ).drop("__run")
 
 
 def hourly_spine(hourly: DataFrame, keys: Sequence[str], hour: str = "datetime_hour") -> DataFrame:

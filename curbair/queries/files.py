@@ -1 +1,148 @@
-"""Round trips through sinks, sources and streams."""
+"""Round trips through sinks, sources and streams.
+
+Everything is written below the session's shared folder, to a new path each time.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from curbair.operators import partials, quality, spines
+from curbair.operators.measurements import hourly_statistics
+from curbair.operators.organise import organised_fact
+from curbair.queries.measurements import HOURLY
+from curbair.queries.registry import query
+from curbair.queries.trips import clean_report as trip_report
+from curbair.queries.views import CLEAN_TRIPS, RAW_TRIPS, flat_measurements, raw_trips, rounded, table
+from curbair.schemas import YELLOW
+from curbair.sources import files, sinks
+from curbair.sources.staging import fresh_path
+from curbair.streaming.trips import clean_arrivals, trip_stream
+
+
+@query("SELECT * FROM customer")
+def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    source = table(spark, folder, "customer")
+    path = fresh_path(spark, "csv-roundtrip")
+    sinks.write_csv(source, path)
+    return files.scan_csv(spark, path, source.schema)
+
+
+@query("SELECT * FROM orders")
+def convert_parquet(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders converted from Parquet to CSV and read back."""
+    path = fresh_path(spark, "converted")
+    sinks.convert_parquet_to_csv(spark, folder, path, pattern="orders.parquet")
+    schema = table(spark, folder, "orders").schema
+    return files.scan_csv(spark, f"{path}/source_file=orders.parquet", schema)
+
+
+@query("""
+    SELECT strftime(l_shipdate, '%Y%m%d%H%M%S') AS datetime_hour, l_linestatus AS location_id,
+           l_returnflag AS parameter, 'pieces' AS unit, round(avg(l_quantity), 6) AS value_mean,
+           min(l_quantity) AS value_min, max(l_quantity) AS value_max,
+           count(l_quantity) AS value_count,
+           l_returnflag AS parameter_p, l_linestatus AS location_id_p
+    FROM lineitem GROUP BY l_shipdate, l_linestatus, l_returnflag
+""")
+def organised_layout(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts written by (parameter, station) and read back, bodies and paths."""
+    flat = table(spark, folder, "lineitem").select(
+        F.col("l_shipdate").alias("datetimeUtc"), F.col("l_linestatus").alias("location_id"),
+        F.col("l_returnflag").alias("parameter"), F.lit("pieces").alias("unit"),
+        F.col("l_quantity").alias("value"),
+    )
+    fact = organised_fact(hourly_statistics(flat))
+    path = fresh_path(spark, "organised")
+    sinks.write_by_group(fact, path, ["parameter", "location_id"], fmt="parquet",
+                         sort_by=["datetime_hour"])
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fact.schema.fields)
+    paths = "parameter_p string, location_id_p string"
+    return rounded(spark.read.schema(f"{schema}, {paths}").parquet(path), "value_mean")
+
+
+@query(f"""
+    SELECT VendorID, pickup_ts AS tpep_pickup_datetime, dropoff_ts AS tpep_dropoff_datetime,
+           passenger_count, trip_distance, PULocationID, DOLocationID
+    FROM ({CLEAN_TRIPS}) clean
+""")
+def incremental_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips landed in two instalments, each cleaned by one run of the stream."""
+    landing, output, progress = (
+        fresh_path(spark, name) for name in ("landing", "cleaned", "progress")
+    )
+    raw = raw_trips(spark, folder, YELLOW)
+    for instalment in ("green", "yellow"):
+        raw.filter(F.col("taxi_type") == instalment).write.mode("append").parquet(landing)
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in raw.schema.fields)
+        stream = trip_stream(spark, landing, YELLOW, schema, "parquet", pattern="*.parquet")
+        clean_arrivals(stream, YELLOW, output, progress).awaitTermination()
+    kept = ", ".join(f"{c} {t}" for c, t in YELLOW.columns.items())
+    return spark.read.schema(kept).parquet(output).drop("source_file")
+
+
+@query(HOURLY)
+def hourly_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly statistics merged from increments that overlap in time."""
+    flat = flat_measurements(spark, folder)
+    path = fresh_path(spark, "increments")
+    cheap = F.col("value") < 50
+    for name, rows in (("a", flat.filter(cheap)), ("b", flat.filter(~cheap | F.col("value").isNull()))):
+        partials.add_increment(rows, path, name)
+    return rounded(partials.read_increments(spark, path), "value_mean")
+
+
+@query(f"""
+    WITH counted AS (
+      SELECT taxi_type, count(*) AS rows_in,
+             count(*) FILTER (WHERE NOT trip_distance > 0) AS rejected_distance
+      FROM ({RAW_TRIPS}) raw GROUP BY 1)
+    SELECT 'run' AS run_id, 'trips' AS dataset, taxi_type AS source_file,
+           'rows_in' AS metric, CAST(rows_in AS DOUBLE) AS value FROM counted
+    UNION ALL
+    SELECT 'run', 'trips', taxi_type, 'rejected_distance', CAST(rejected_distance AS DOUBLE)
+    FROM counted
+""")
+def quality_report(spark: SparkSession, folder: str) -> DataFrame:
+    counts = trip_report(spark, folder).select("taxi_type", "rows_in", "rejected_distance")
+    return quality.as_report(counts, "run", "trips", "taxi_type")
+
+
+@query("""
+    WITH requests AS (
+      SELECT o_orderpriority, min(o_orderdate) AS since, max(o_orderdate) AS until
+      FROM orders GROUP BY 1),
+    wanted AS (
+      SELECT o_orderpriority, unnest(generate_series(since, until, INTERVAL 1 DAY)) AS day
+      FROM requests),
+    months AS (
+      SELECT w.*, date_diff('month', date_trunc('month', since), date_trunc('month', day)) // 2 AS n
+      FROM wanted w JOIN requests USING (o_orderpriority)),
+    open_days AS (
+      SELECT * FROM months WHERE day NOT IN (
+        SELECT o_orderdate FROM orders WHERE o_totalprice > 450000)),
+    runs AS (
+      SELECT *, day - to_days(CAST(row_number() OVER (
+               PARTITION BY o_orderpriority, n ORDER BY day) AS INTEGER)) AS run
+      FROM open_days)
+    SELECT o_orderpriority, strftime(min(day), '%Y-%m-%d') AS range_start,
+           strftime(max(day) + INTERVAL 1 DAY, '%Y-%m-%d') AS range_end
+    FROM runs GROUP BY o_orderpriority, n, run
+""")
+def uncovered_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of each priority's order history without a large order, as ranges per period."""
+    orders = table(spark, folder, "orders")
+    requests = orders.groupBy("o_orderpriority").agg(
+        F.min("o_orderdate").alias("since"), F.max("o_orderdate").alias("until")
+    )
+    periods = spines.period_spine(requests, "since", "until")
+    covered = orders.filter("o_totalprice > 450000").select(
+        F.col("o_orderdate").alias("period_start"),
+        (F.col("o_orderdate") + F.expr("interval 1 day")).alias("period_end"),
+    )
+    found = spines.uncovered_ranges(periods, covered, keys=("o_orderpriority", "period_name"))
+    return found.select(
+        "o_orderpriority",
+        F.date_format("range_start", "yyyy-MM-dd").alias("range_start"),
+        F.date_format("range_end", "yyyy-MM-dd").alias("range_end"),
+    )
