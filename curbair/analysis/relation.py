@@ -87,9 +87,9 @@ def upper_cut(
 ) -> DataFrame:
     """Per group, the value a row must exceed for its percent rank to reach ``share``.
 
-    percent_rank = (rows with a smaller value) / (n - 1), so the cut is the k-th
-    smallest value with k = ceil(share * (n - 1)), and NULL for k = 0 (every row
-    qualifies). Found exactly in three steps of bounded size: count per distinct
+    percent_rank = (rows with a smaller value) / (n - 1), and 0 for a single row. The
+    cut is therefore the k-th smallest value for the least k with k / (n - 1) >=
+    share, and NULL for k = 0 (every row qualifies). Found exactly in three steps of bounded size: count per distinct
     value, cut the value range into pieces at approximate quantiles, and order
     only the piece that holds the k-th row.
     """
@@ -102,8 +102,15 @@ def upper_cut(
     probabilities = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
     groups = counted.groupBy(*by).agg(
         F.percentile_approx("__v", probabilities, pieces * 10).alias("__edges"),
-        F.ceil(F.lit(share) * (F.sum("__c") - 1)).cast("bigint").alias("__k"),
+        (F.sum("__c") - 1).alias("__others"),
     )
+    low = F.floor(F.col("__others") * share)
+    enough = low / F.nullif(F.col("__others"), F.lit(0)) >= share
+    groups = groups.withColumn(
+        "__k",
+        F.when(F.col("__others") == 0, F.lit(1 if share > 0 else 0))
+        .when(enough, low).otherwise(low + 1).cast("bigint"),
+    ).drop("__others")
     keyed = list(by) or ["__all"]
     if not by:
         groups, counted = (g.withColumn("__all", F.lit(0)) for g in (groups, counted))

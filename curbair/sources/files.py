@@ -7,10 +7,12 @@ per distinct shape, however many inputs share it. Shapes are probed per *input*
 
 from __future__ import annotations
 
+import json
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -68,14 +70,14 @@ def with_taxi_type(df: DataFrame) -> DataFrame:
     return df.withColumn("taxi_type", taxi_type_of(F.col("_metadata.file_name")))
 
 
-def _probe(paths: Sequence[str], shape_of) -> tuple[dict, dict[str, str]]:
+def _probe(paths: Sequence[str], shape_of: Callable) -> tuple[dict, dict[str, str]]:
     """Group inputs by shape; inputs that cannot be read are reported, not fatal."""
 
     def one(path: str):
         try:
             return path, shape_of(path), None
-        except PySparkException as error:
-            return path, None, str(error).splitlines()[0]
+        except (PySparkException, Py4JJavaError) as error:
+            return path, None, next(iter(str(error).splitlines()), type(error).__name__)
 
     groups: dict = {}
     failed: dict[str, str] = {}
@@ -94,13 +96,7 @@ def parquet_shapes(
 ) -> tuple[list[tuple[T.StructType, list[str]]], dict[str, str]]:
     """Inputs grouped by schema, plus the inputs that could not be opened."""
     groups, failed = _probe(paths, lambda p: spark.read.parquet(p).schema.json())
-    return [(T.StructType.fromJson(_loads(s)), ps) for s, ps in groups.items()], failed
-
-
-def _loads(text: str) -> dict:
-    import json
-
-    return json.loads(text)
+    return [(T.StructType.fromJson(json.loads(s)), ps) for s, ps in groups.items()], failed
 
 
 def scan_parquet_sets(
@@ -145,7 +141,8 @@ def scan_csv(
     if keep_corrupt:
         declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
         schema = T.StructType([*declared.fields, T.StructField(CORRUPT, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        # a row must be judged by all its columns, whichever the query then uses
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
     return reader.schema(schema).csv([path] if isinstance(path, str) else list(path))
 
 
@@ -168,9 +165,7 @@ def scan_csv_sets(
     shapes, _ = csv_shapes(spark, paths)
     frames = []
     for header, members in shapes:
-        schema = T.StructType()
-        for column in header:
-            schema = schema.add(column, (types or {}).get(column, "string"))
+        schema = ", ".join(f"`{c}` {(types or {}).get(c, 'string')}" for c in header)
         frames.append(scan_csv(spark, members, schema, keep_corrupt))
     return frames
 
