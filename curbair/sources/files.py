@@ -11,6 +11,7 @@ import json
 import logging
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -141,8 +142,7 @@ def scan_csv(
     if keep_corrupt:
         declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
         schema = T.StructType([*declared.fields, T.StructField(CORRUPT, T.StringType())])
-        # a row must be judged by all its columns, whichever the query then uses
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     return reader.schema(schema).csv([path] if isinstance(path, str) else list(path))
 
 
@@ -171,9 +171,18 @@ def scan_csv_sets(
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Well-formed rows, and the malformed ones for a quarantine table."""
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return good, df.filter(F.col(CORRUPT).isNotNull())
+    """Well-formed rows, and the malformed ones for a quarantine table.
+
+    The reader converts only the columns a query uses, so a bad value in another
+    one would go unseen. Both sides therefore refer to every column: a row is
+    judged as a whole, whatever is selected from it later.
+    """
+    nulls = reduce(
+        lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in df.columns if c != CORRUPT]
+    )
+    read_all = nulls >= 0
+    good = df.filter(F.col(CORRUPT).isNull() & read_all).drop(CORRUPT)
+    return good, df.filter(F.col(CORRUPT).isNotNull() & read_all)
 
 
 def scan_tree_csv(spark: SparkSession, folder: str, schema: T.StructType | str) -> DataFrame:

@@ -32,8 +32,8 @@ def test_upper_cut_equals_percent_rank(spark):
 def test_upper_cut_without_groups(spark, values, share):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     cut = relation.upper_cut(df, "v", share, pieces=4).first()[0]
-    k = math.ceil(share * (len(values) - 1))
-    assert cut == (sorted(values)[k - 1] if k else None)
+    k = max(math.ceil(share * (len(values) - 1)), 1)
+    assert cut == (sorted(values)[k - 1])
 
 
 def test_moving_average_over_block_borders(spark):

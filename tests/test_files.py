@@ -31,7 +31,7 @@ def test_one_scan_refuses_another_header(spark, tmp_path):
 def test_corrupt_rows_are_split_off(spark, tmp_path):
     path = write(tmp_path / "a.csv", "a,b\n1,x\nbad,y\n")
     good, bad = files.split_corrupt(files.scan_csv(spark, path, "a int, b string", keep_corrupt=True))
-    assert rows(good) == [(1, "x")]
+    assert rows(good) == [(1, "x")] and rows(good, "b") == [("x",)]
     assert rows(bad, files.CORRUPT, "b") == [("bad,y", "y")]
 
 
