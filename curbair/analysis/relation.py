@@ -154,12 +154,20 @@ def hotspots(
     Both percent ranks must reach ``share``; the ``top`` cells by pollution, then
     demand, then ``order`` are reported.
     """
-    kept = cells = staged(cells, "cells")
-    for measure in (x, y):
-        cuts = staged(upper_cut(cells, measure, share, by), "cuts")
-        kept = lookup_join(kept, cuts, by, how="inner", null_safe=True)
-        cut = F.col(f"{measure}_cut")
-        kept = kept.filter(F.col(measure).isNotNull() & (cut.isNull() | (F.col(measure) > cut)))
+    cells = staged(cells, "cells")
+    measures = F.array(*[
+        F.struct(F.lit(m).alias("__measure"), F.col(m).cast("double").alias("__value"))
+        for m in (x, y)
+    ])
+    cuts = upper_cut(cells.select(*by, F.inline(measures)), "__value", share, [*by, "__measure"])
+    cut_of = {
+        m: F.max(F.when(F.col("__measure") == m, F.col("__value_cut"))) for m in (x, y)
+    }
+    wide = staged(cuts.groupBy(*by).agg(*[c.alias(f"__cut_{m}") for m, c in cut_of.items()]), "cuts")
+    kept = lookup_join(cells, wide, by, how="inner", null_safe=True)
+    for m in (x, y):
+        cut = F.col(f"__cut_{m}")
+        kept = kept.filter(F.col(m).isNotNull() & (cut.isNull() | (F.col(m) > cut)))
     return kept.select(*cells.columns).orderBy(
         F.col(y).desc(), F.col(x).desc(), *[F.col(c) for c in order]
     ).limit(top)

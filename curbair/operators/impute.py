@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from curbair.functions.values import is_missing, needs_fill, usable_mean
 from curbair.operators.conform import value_columns
-from curbair.operators.joins import _ROWS, lookup_join
+from curbair.operators.joins import ROWS, lookup_join
 from curbair.sources.staging import staged
 
 _MEAN = "__mean_"
@@ -23,7 +23,7 @@ def group_means(
             usable_mean(F.col(c), df.schema[c].dataType, zero_is_missing).alias(_MEAN + c)
             for c in columns
         ],
-        F.count(F.lit(1)).alias(_ROWS),
+        F.count(F.lit(1)).alias(ROWS),
     )
 
 
@@ -43,8 +43,8 @@ def impute(
         return df
     means = staged(group_means(df, keys, columns, zero_is_missing), "group-means")
     joined = lookup_join(
-        df, means.drop(_ROWS), keys, how="left", null_safe=True,
-        counts=means.select(*keys, _ROWS),
+        df, means.drop(ROWS), keys, how="left", null_safe=True,
+        counts=means.select(*keys, ROWS),
     )
 
     def filled(c: str):

@@ -18,7 +18,7 @@ BROADCAST_BYTES = 64 << 20
 HOT_KEYS = 1000
 
 _KEY = "__key_"
-_ROWS = "__rows"
+ROWS = "__rows"
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -41,7 +41,7 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
 
 
-def _match(fact: DataFrame, side: DataFrame, keys: Sequence[str], null_safe: bool) -> Column:
+def _match(keys: Sequence[str], null_safe: bool) -> Column:
     pairs = [
         F.col(k).eqNullSafe(F.col(_KEY + k)) if null_safe else F.col(k) == F.col(_KEY + k)
         for k in keys
@@ -71,35 +71,39 @@ def lookup_join(
     small: bool | None = None,
     counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Attach the columns of ``lookup`` (unique on ``keys``) to ``fact``.
+    """Join ``fact`` with a table keyed by the same columns.
 
-    ``small`` skips the measurement when the caller has already made it;
-    ``counts`` (keys plus a ``__rows`` column) skips the counting of keys that
-    the shuffled form needs.
+    ``how`` is left, inner, left_semi or left_anti; the first two attach the other
+    columns of ``lookup``. ``small`` skips the measurement when the caller has
+    already made it; ``counts`` (keys plus a ``__rows`` column) skips the counting
+    of keys that the shuffled form needs. A lookup that is costly to compute
+    should be staged first, since measuring reads it once more.
     """
-    if how not in ("left", "inner"):
-        raise ValueError("lookup_join attaches columns: how is 'left' or 'inner'")
+    if how not in ("left", "inner", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join: {how}")
     keys = list(keys)
-    extra = [c for c in lookup.columns if c not in keys]
-    side = _prefixed(lookup, keys)
+    extra = [] if "_" in how else [c for c in lookup.columns if c not in keys]
+    side = _prefixed(lookup.select(*keys, *extra), keys)
 
-    def attach(rows: DataFrame, other: DataFrame) -> DataFrame:
-        joined = rows.join(other, _match(rows, other, keys, null_safe), how)
-        return joined.select(*[F.col(c) for c in fact.columns], *[F.col(c) for c in extra])
+    def meet(rows: DataFrame, other: DataFrame) -> DataFrame:
+        joined = rows.join(other, _match(keys, null_safe), how)
+        return joined.select(*fact.columns, *extra)
 
-    if fits_broadcast(lookup) if small is None else small:
-        return attach(fact, F.broadcast(side))
+    if fits_broadcast(side) if small is None else small:
+        return meet(fact, F.broadcast(side))
 
     if counts is None:
-        counts = staged(fact.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS)), "key-counts")
-    hot = staged(_prefixed(hot_keys(counts, keys, _ROWS), keys), "hot-keys")
-    hot_match = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(_KEY + k)) for k in keys]
+        counts = staged(fact.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS)), "key-counts")
+    hot = F.broadcast(staged(_prefixed(hot_keys(counts, keys, ROWS), keys), "hot-keys"))
+    is_hot = _match(keys, null_safe=True)
+    hot_side = _prefixed(lookup.join(hot, is_hot, "left_semi").select(*keys, *extra), keys)
+    # at most HOT_KEYS rows if the lookup is unique on its keys; if it is not, and they
+    # are many, AQE's splitting of skewed partitions is left to deal with them
+    if fits_broadcast(hot_side):
+        hot_side = F.broadcast(hot_side)
+    return meet(fact.join(hot, is_hot, "left_semi"), hot_side).unionByName(
+        meet(fact.join(hot, is_hot, "left_anti"), side)
     )
-    hot_rows = fact.join(F.broadcast(hot), hot_match, "left_semi")
-    cold_rows = fact.join(F.broadcast(hot), hot_match, "left_anti")
-    hot_side = _prefixed(lookup.join(F.broadcast(hot), hot_match, "left_semi"), keys)
-    return attach(hot_rows, F.broadcast(hot_side)).unionByName(attach(cold_rows, side))
 
 
 def known_ids(
@@ -110,18 +114,16 @@ def known_ids(
     With ``require_known`` a listed id without any row raises, as a request for
     an unknown station does.
     """
-    listed = ids.select(key).distinct()
+    listed = staged(ids.select(key).distinct(), "listed-ids")
     if require_known:
         unknown = listed.join(fact.select(key).distinct(), key, "left_anti")
         missing = [r[0] for r in unknown.limit(5).collect()]
         if missing:
             raise LookupError(f"unknown {key}: {missing}")
-    if fits_broadcast(listed):
-        return fact.join(F.broadcast(listed), key, "left_semi")
-    flag = listed.withColumn("__listed", F.lit(True))
-    return lookup_join(fact, flag, [key], how="inner", small=False).drop("__listed")
+    return lookup_join(fact, listed, [key], how="left_semi")
 
 
 def unprocessed(inputs: DataFrame, done: DataFrame, key: str = "source_file") -> DataFrame:
     """Inputs without a finished output, by name."""
-    return inputs.join(done.select(key).distinct(), key, "left_anti")
+    finished = staged(done.select(key).distinct(), "finished")
+    return lookup_join(inputs, finished, [key], how="left_anti")

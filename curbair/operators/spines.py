@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from curbair.functions.times import month_start
-from curbair.operators.joins import unprocessed
+from curbair.operators.joins import lookup_join, unprocessed
+from curbair.sources.staging import staged
 
 
 def month_spine(requests: DataFrame, start: str, end: str) -> DataFrame:
@@ -26,7 +27,8 @@ def month_spine(requests: DataFrame, start: str, end: str) -> DataFrame:
 
 def available_months(spine: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Months of the spine that the catalogue lists."""
-    return spine.join(catalogue.select("year", "month").distinct(), ["year", "month"], "left_semi")
+    listed = catalogue.select("year", "month").distinct()
+    return lookup_join(spine, listed, ["year", "month"], how="left_semi")
 
 
 def work_list(
@@ -35,9 +37,10 @@ def work_list(
 ) -> DataFrame:
     """Files to fetch: spine x catalogue, by type, URLs trimmed, minus ``done``."""
     files = catalogue if types is None else catalogue.filter(F.col("type").isin(list(types)))
-    listed = spine.join(
-        files.select("year", "month", "type", F.trim("url").alias("url")), ["year", "month"]
-    ).withColumn("source_file", F.regexp_extract("url", r"([^/]*)$", 1))
+    trimmed = files.select("year", "month", "type", F.trim("url").alias("url"))
+    listed = lookup_join(spine, trimmed, ["year", "month"], how="inner").withColumn(
+        "source_file", F.regexp_extract("url", r"([^/]*)$", 1)
+    )
     if done is not None:
         listed = unprocessed(listed, done)
     return listed
@@ -88,8 +91,8 @@ def uncovered_ranges(
         return F.explode(F.sequence(F.col(start).cast("date"), last))
 
     wanted = periods.select(*keys, days(periods).alias("day"))
-    taken = covered.select(days(covered).alias("day")).distinct()
-    open_days = wanted.join(taken, "day", "left_anti")
+    taken = staged(covered.select(days(covered).alias("day")).distinct(), "covered-days")
+    open_days = lookup_join(wanted, taken, ["day"], how="left_anti")
     order = Window.partitionBy(*keys).orderBy("day")
     runs = open_days.withColumn("__run", F.date_sub("day", F.row_number().over(order)))
     return runs.groupBy(*keys, "__run").agg(

@@ -45,15 +45,18 @@ def spread_sort(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def merge_trips(frames: Iterable[DataFrame], spec: TripSpec) -> DataFrame:
     """All cleaned trips of one taxi type in pickup order.
 
-    Stamped pickup text is parsed strictly: a malformed value fails the job. The
-    dropoff passes through as it is.
+    Stamped pickup text is parsed strictly: a malformed value fails the job. Times
+    come out stamped; a dropoff that is text already passes through as it is.
     """
     merged = union_all(frames)
     if spec.pickup not in merged.columns:
         return merged
     if isinstance(merged.schema[spec.pickup].dataType, T.StringType):
         merged = merged.withColumn(spec.pickup, strict_time(F.col(spec.pickup)))
-    return spread_sort(merged, [spec.pickup]).withColumn(spec.pickup, stamp(F.col(spec.pickup)))
+    return spread_sort(merged, [spec.pickup]).withColumns({
+        c: stamp(F.col(c)) for c in (spec.pickup, spec.dropoff)
+        if c in merged.columns and not isinstance(merged.schema[c].dataType, T.StringType)
+    })
 
 
 def merge_measurements(

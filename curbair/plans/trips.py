@@ -10,7 +10,7 @@ from curbair.operators import quality
 from curbair.operators.conform import ConformError
 from curbair.operators.joins import unprocessed
 from curbair.operators.organise import dataset_name
-from curbair.operators.trips import clean_trips, stamp_times
+from curbair.operators.trips import clean_trips
 from curbair.operators.unions import merge_trips
 from curbair.plans import manifest as log
 from curbair.schemas import TRIP_SPECS, TripSpec
@@ -132,7 +132,7 @@ def merge_files(
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             continue
-        merged = merge_trips([stamp_times(f, spec) for f in frames], spec)
+        merged = merge_trips(frames, spec)
         path = f"{base}/{spec.taxi_type}_tripdata_merged"
         if single_file:
             merged = merged.coalesce(1)

@@ -10,6 +10,7 @@ from curbair.operators.measurements import look_back
 from curbair.queries.registry import query
 from curbair.queries.views import table
 from curbair.schemas import RUN_ID
+from curbair.sources.staging import staged
 
 
 @query("""
@@ -150,7 +151,7 @@ def month_spine_join(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format("l_shipdate", "MM").alias("month"),
         F.col("l_linestatus").alias("type"),
     ).distinct()
-    catalogue = listed.withColumn("url", F.concat(
+    catalogue = staged(listed, "catalogue").withColumn("url", F.concat(
         F.lit(" http://host/"), "type", F.lit("_"), "year", F.lit("-"), "month", F.lit(".parquet ")
     ))
     spine = spines.month_spine(requests, "since", "until")

@@ -13,6 +13,7 @@ from curbair.queries.views import (
     STATIONS, flat_measurements, rounded, stations, table,
 )
 from curbair.schemas import FACT_COLUMNS, STATION_COLUMNS
+from curbair.sources.staging import staged
 
 STATS = """round(avg(value), 6) AS value_mean, min(value) AS value_min,
            max(value) AS value_max, count(value) AS value_count"""
@@ -356,5 +357,6 @@ def merge_measurements(spark: SparkSession, folder: str) -> DataFrame:
     drifted = second.withColumns({
         "value_count": F.col("value_count").cast("double"), "provider": F.lit("p"),
     })
-    merged = unions.merge_measurements([first, drifted], casts={"value_count": "bigint"})
+    periods = [staged(first, "period"), staged(drifted, "period")]
+    merged = unions.merge_measurements(periods, casts={"value_count": "bigint"})
     return rounded(merged, "value_mean")

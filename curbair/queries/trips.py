@@ -68,9 +68,9 @@ def clean_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _cleaned_file(spark: SparkSession, folder: str, taxi_type: str) -> DataFrame:
-    """Cleaned yellow trips as one of the stamped files that a merge reads."""
+    """Cleaned trips of one instalment, as a merge reads them."""
     raw = raw_trips(spark, folder, YELLOW).filter(F.col("taxi_type") == taxi_type)
-    return trip_ops.clean_trips(raw, YELLOW)
+    return trip_ops.clean_trips(raw, YELLOW, stamped=False)
 
 
 @query(f"""
