@@ -13,7 +13,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,7 +27,6 @@ def main(names: list[str]) -> None:
     spark = build_session("bench", f"local[{cpus}]", int(cpus), {
         "spark.ui.enabled": "false",
         "spark.driver.memory": "16g",
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-bench-", dir="/tmp"),
     })
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -55,27 +55,31 @@ def lag_correlation(
 
 
 def moving_average(
-    hourly: DataFrame, keys: Sequence[str], value: str, hours: int = 24, block_days: int = 31
+    hourly: DataFrame, keys: Sequence[str], value: str, hours: int = 24, block_days: int = 31,
+    fill_gaps: bool = True,
 ) -> DataFrame:
-    """Mean over the last ``hours`` hours of each series, gaps filled as missing.
+    """Mean over the last ``hours`` hours of each series; hours without a value count as missing.
 
-    A series is cut into blocks of ``block_days`` days; the last ``hours`` - 1 rows
-    of a block are also given to the next one. Every window then sees a bounded
-    number of rows, however long the series is.
+    The frame is a range of hours, so gaps need no rows of their own:
+    ``fill_gaps`` only decides whether hours without a row are reported too, which
+    multiplies sparse series. A series is cut into blocks of ``block_days`` days;
+    the last ``hours`` - 1 hours of a block are also given to the next one. Every
+    window then sees a bounded number of rows, however long the series is.
     """
     block_hours = block_days * 24
     if not 0 < hours <= block_hours:
         raise ValueError("the window must be shorter than a block")
-    spine = hourly_spine(hourly.select(*keys, HOUR, value), keys)
+    series = hourly.select(*keys, HOUR, value)
+    series = hourly_spine(series, keys) if fill_gaps else series.filter(F.col(HOUR).isNotNull())
     days = F.datediff(F.col(HOUR).cast("date"), F.lit("1970-01-01").cast("date"))
-    hour_number = days * 24 + F.hour(HOUR)
-    placed = spine.withColumns({"__n": hour_number, "__block": F.floor(hour_number / block_hours)})
-    tail = F.col("__n") % block_hours > block_hours - hours
+    hour_number = (days * 24 + F.hour(HOUR)).cast("bigint")
+    placed = series.withColumns({"__n": hour_number, "__block": F.floor(hour_number / block_hours)})
+    tail = F.pmod("__n", F.lit(block_hours)) > block_hours - hours
     blocks = F.when(tail, F.array(F.col("__block"), F.col("__block") + 1)).otherwise(
         F.array("__block")
     )
     spread = placed.withColumn("__in", F.explode(blocks))
-    frame = Window.partitionBy(*keys, "__in").orderBy(HOUR).rowsBetween(1 - hours, 0)
+    frame = Window.partitionBy(*keys, "__in").orderBy("__n").rangeBetween(1 - hours, 0)
     averaged = spread.withColumn("moving_mean", F.avg(value).over(frame))
     return averaged.filter(F.col("__in") == F.col("__block")).select(
         *keys, HOUR, value, "moving_mean"

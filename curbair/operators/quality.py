@@ -21,6 +21,17 @@ def clean_report(df: DataFrame, spec: TripSpec, by: Sequence[str] = ()) -> DataF
     )
 
 
+def page_completeness(pages: DataFrame, keys: Sequence[str] = ("sensor_id",)) -> DataFrame:
+    """Landed pages against the number each source announced.
+
+    ``pages`` holds keys, ``page`` and ``expected_pages``; a series whose pull broke
+    off shows as incomplete instead of passing for whole.
+    """
+    return pages.groupBy(*keys).agg(
+        F.max("expected_pages").alias("expected"), F.countDistinct("page").alias("received")
+    ).withColumn("complete", F.col("received") >= F.col("expected"))
+
+
 def status_totals(manifest: DataFrame) -> DataFrame:
     """Files by data set and status."""
     return manifest.groupBy("dataset", "status").agg(F.count(F.lit(1)).alias("files"))

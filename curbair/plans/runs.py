@@ -4,6 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, time, timedelta
+
+from pyspark.sql import SparkSession, functions as F
+
+from curbair.operators.spines import period_spine, uncovered_ranges
+from curbair.plans import manifest as log
+from curbair.plans import measurements as air
+from curbair.plans import trips as taxi
 
 
 def run_together(**jobs: Callable[[], object]) -> dict[str, object]:
@@ -18,3 +26,42 @@ def run_together(**jobs: Callable[[], object]) -> dict[str, object]:
     if errors:
         raise errors[0]
     return {name: f.result() for name, f in futures.items()}
+
+
+def run_trips(
+    spark: SparkSession, raw: str, work: str, output: str, start: date, end: date, run_id: str,
+    incremental: bool = True, fmt: str = "parquet",
+) -> dict[str, str]:
+    """Clean the trip files not cleaned yet, then merge all cleaned ones per taxi type."""
+    cleaned = f"{work}/cleaned"
+    taxi.clean_files(spark, raw, cleaned, f"{work}/manifest", run_id, incremental, fmt, report=False)
+    days = (d.strftime("%Y%m%d") for d in (start, end))
+    return taxi.merge_files(spark, cleaned, output, *days, run_id, fmt)
+
+
+def run_measurements(
+    spark: SparkSession, pages: str, work: str, output: str, start: date, end: date, run_id: str,
+    prefix: str = "air_data", fmt: str = "csv",
+) -> air.OrganisedRun:
+    """Hourly statistics of every two-month period not covered yet, then one organised set.
+
+    Landed pages lie in ``<pages>/period=<name>``.
+    """
+    request = spark.createDataFrame(
+        [(datetime.combine(start, time.min), datetime.combine(end, time.max))],
+        "since timestamp_ntz, until timestamp_ntz",
+    )
+    periods = period_spine(request, "since", "until")
+    manifest = f"{work}/manifest"
+    covered = log.finished(log.read_manifest(spark, manifest), air.DATASET).select(
+        F.col("range_start").alias("period_start"), F.col("range_end").alias("period_end")
+    )
+    open_names = uncovered_ranges(periods, covered).select("period_name").distinct()
+    hourly = f"{work}/hourly"
+    # one row per two months of the request
+    for period in periods.join(open_names, "period_name", "left_semi").collect():
+        air.land_hourly(
+            spark, f"{pages}/period={period.period_name}", hourly, period.period_name,
+            period.period_start, period.period_end - timedelta(microseconds=1), run_id, manifest,
+        )
+    return air.organise_hourly(spark, air.read_hourly(spark, hourly), output, run_id, prefix, fmt)

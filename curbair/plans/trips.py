@@ -29,7 +29,7 @@ class CleanResult:
 
 
 def _shape_groups(
-    spark: SparkSession, paths: list[str], spec: TripSpec
+    spark: SparkSession, paths: list[str], spec: TripSpec, keep_corrupt: bool = False
 ) -> tuple[list[tuple[DataFrame, list[str]]], dict[str, str]]:
     """One scan per distinct shape among the files, whatever their format."""
     csv = [p for p in paths if p.lower().endswith(".csv")]
@@ -40,7 +40,7 @@ def _shape_groups(
     numbers = {c: t for c, t in spec.columns.items() if t != "timestamp_ntz"}
     for header, members in shapes:
         schema = ", ".join(f"`{c}` {numbers.get(c, 'string')}" for c in header)
-        groups.append((files.scan_csv(spark, members, schema), members))
+        groups.append((files.scan_csv(spark, members, schema, keep_corrupt), members))
     shapes, bad = files.parquet_shapes(spark, parquet)
     failed.update(bad)
     for schema, members in shapes:
@@ -51,12 +51,15 @@ def _shape_groups(
 def clean_files(
     spark: SparkSession, folder: str, output: str, manifest: str, run_id: str,
     incremental: bool = True, fmt: str = "parquet", report: bool = True,
+    quarantine: str | None = None,
 ) -> CleanResult:
     """Clean the trip files of a folder into ``<output>/<taxi type>/source_file=<name>``.
 
     ``incremental`` leaves out files the manifest lists as done. A file that cannot
     be read or lacks required columns is recorded as failed and does not stop the
     others. Outputs are replaced per file, so a repeated run cannot duplicate rows.
+    With ``quarantine`` the malformed CSV rows go there instead of counting as
+    rejected.
     """
     listing = files.list_files(spark, folder, _PATTERN)
     if incremental:
@@ -74,11 +77,16 @@ def clean_files(
 
     for spec in TRIP_SPECS.values():
         mine = [p for p in paths if p.rsplit("/", 1)[-1].startswith(f"{spec.taxi_type}_")]
-        groups, unreadable = _shape_groups(spark, mine, spec)
+        groups, unreadable = _shape_groups(spark, mine, spec, quarantine is not None)
         for path, error in unreadable.items():
             mark([path], "failed", error)
         for raw, members in groups:
             named = files.with_source_file(raw)
+            if files.CORRUPT in raw.columns:
+                named, malformed = files.split_corrupt(named)
+                # one shape for all headers: the row as it was, and where it was
+                malformed = malformed.select(files.CORRUPT, files.SOURCE_FILE)
+                sinks.replace_sources(malformed, f"{quarantine}/{spec.taxi_type}", "parquet")
             try:
                 cleaned = clean_trips(named, spec, stamped=fmt == "csv", carry=(files.SOURCE_FILE,))
             except ConformError as error:
@@ -116,12 +124,12 @@ def cleaned_frames(spark: SparkSession, folder: str, spec: TripSpec, fmt: str =
 
 def merge_files(
     spark: SparkSession, cleaned: str, output: str, first_day: str, last_day: str, run_id: str,
-    fmt: str = "parquet", prefix: str = "taxi_data", single_file: bool = False,
+    fmt: str = "parquet", prefix: str = "taxi_data", date_range: tuple | None = None,
+    dedup_keys: list[str] | None = None,
 ) -> dict[str, str]:
     """Merge the cleaned files of each taxi type in pickup order; paths by type.
 
-    The result is a directory of range-sorted files; ``single_file`` makes it one,
-    which a single task then has to write.
+    Each result is a directory whose files, in name order, are sorted by pickup.
     """
     base = f"{output}/{dataset_name(prefix, first_day, last_day, run_id)}"
     written = {}
@@ -132,10 +140,8 @@ def merge_files(
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             continue
-        merged = merge_trips(frames, spec)
+        merged = merge_trips(frames, spec, date_range, dedup_keys)
         path = f"{base}/{spec.taxi_type}_tripdata_merged"
-        if single_file:
-            merged = merged.coalesce(1)
         if fmt == "csv":
             sinks.write_csv(merged, path)
         else:

@@ -147,11 +147,11 @@ def month_spine_join(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("since", F.date_sub(F.col("until").cast("date"), 80))
     )
     listed = table(spark, folder, "lineitem").select(
-        F.date_format("l_shipdate", "yyyy").alias("year"),
-        F.date_format("l_shipdate", "MM").alias("month"),
-        F.col("l_linestatus").alias("type"),
+        times.month_start(F.col("l_shipdate")).alias("first"), F.col("l_linestatus").alias("type")
     ).distinct()
-    catalogue = staged(listed, "catalogue").withColumn("url", F.concat(
+    catalogue = staged(listed, "catalogue").select(
+        F.date_format("first", "yyyy").alias("year"), F.date_format("first", "MM").alias("month"), "type"
+    ).withColumn("url", F.concat(
         F.lit(" http://host/"), "type", F.lit("_"), "year", F.lit("-"), "month", F.lit(".parquet ")
     ))
     spine = spines.month_spine(requests, "since", "until")

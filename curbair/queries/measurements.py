@@ -66,14 +66,12 @@ def station_pages(spark: SparkSession, folder: str) -> DataFrame:
     A sensor whose value is 0 has an empty measurement list, and suppliers of
     returned items have no coordinates.
     """
-    utc = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
     def sensor(number: int, name: str, unit: str, value: str) -> Column:
         parameter = F.struct(
             F.lit(number).cast("bigint").alias("id"), F.lit(name).alias("name"),
             F.lit(unit).alias("units"), F.lit(name).alias("display_name"),
         )
-        instant = F.struct(utc.alias("utc"), F.lit(None).cast("string").alias("local"))
+        instant = F.struct("utc", F.lit(None).cast("string").alias("local"))
         one = F.struct(
             F.struct(instant.alias("datetimeFrom")).alias("period"),
             parameter.alias("parameter"),
@@ -88,7 +86,8 @@ def station_pages(spark: SparkSession, folder: str) -> DataFrame:
     point = F.struct(
         F.col("l_tax").alias("latitude"), F.col("l_discount").alias("longitude")
     )
-    return table(spark, folder, "lineitem").select(
+    utc = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return table(spark, folder, "lineitem").withColumn("utc", utc).select(
         F.col("l_suppkey").alias("id"),
         F.concat(F.lit("station "), F.col("l_linenumber")).alias("name"),
         F.lit(None).cast("string").alias("timezone"),

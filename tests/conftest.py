@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
             "spark.sql.maxMetadataStringLength": "5000",
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         })
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -49,6 +49,10 @@ def test_moving_average_over_block_borders(spark):
         want = sum(window) / len(window) if window else None
         assert (r.moving_mean is None) == (want is None)
         assert want is None or abs(r.moving_mean - want) < 1e-9
+    seen = relation.moving_average(df, ["k"], "v", hours=24, block_days=2, fill_gaps=False).collect()
+    everywhere = {r.datetime_hour: r.moving_mean for r in got}
+    assert len(seen) == len(data)
+    assert all(abs(everywhere[r.datetime_hour] - r.moving_mean) < 1e-9 for r in seen)
     with pytest.raises(ValueError):
         relation.moving_average(df, ["k"], "v", hours=49, block_days=2)
 

@@ -131,8 +131,28 @@ def test_zone_lookup_keeps_na_text(spark, tmp_path):
         (1, "EWR", "Newark Airport", "EWR"), (264, "Unknown", "N/A", "N/A")]
 
 
-def test_shared_folder_is_read_from_the_session(spark, tmp_path):
-    assert staging.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+def test_shared_folder_is_read_from_the_session(spark):
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    folder = staging.shared_folder(spark)
+    assert folder == (given.rstrip("/") if given else staging.shared_folder(spark))
+
+
+def test_cluster_without_shared_folder_is_refused():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Session())
+
+
+def test_staged_keeps_schema(spark):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     back = staging.staged(df)
     assert back.schema == df.schema and rows(back) == [(1, None)]

@@ -1,6 +1,6 @@
 import json
 import os
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 import pytest
 from conftest import rows
@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from test_measurements import HIGH, LOW, PAGES
 
 from curbair.operators.measurements import hourly_statistics
-from curbair.operators.quality import status_totals
+from curbair.operators.quality import page_completeness, status_totals
 from curbair.plans import manifest as log
 from curbair.plans import measurements as air, trips as taxi
-from curbair.plans.runs import run_together
+from curbair.plans.runs import run_measurements, run_together, run_trips
 from curbair.schemas import GREEN, YELLOW
 from curbair.streaming.hourly import closed_hours
 from curbair.streaming.trips import clean_arrivals, trip_stream
@@ -97,7 +97,6 @@ def test_measurement_run(spark, tmp_path):
 
 
 def test_empty_run_raises(spark, tmp_path):
-    empty = air.read_hourly  # noqa: F841
     df = spark.createDataFrame([], "datetime_hour timestamp, parameter string, location_id string")
     with pytest.raises(air.EmptyResult):
         air.organise_hourly(spark, df, str(tmp_path), "r")
@@ -185,3 +184,44 @@ def test_closed_hours_equal_batch(spark, tmp_path):
     whole = hourly_statistics(spark.read.schema(schema).parquet(source), keys=["location_id"])
     closed = whole.filter("datetime_hour < timestamp'2026-01-01 07:00:00'")
     assert rows(spark.read.parquet(out).select(closed.columns)) == rows(closed)
+
+
+def test_malformed_rows_go_to_quarantine(spark, tmp_path):
+    raw, out, man, bad = (str(tmp_path / n) for n in ("raw", "clean", "manifest", "bad"))
+    trip_file(raw, "green_1.csv", 1)
+    with open(os.path.join(raw, "green_1.csv"), "a") as f:
+        f.write("x,2026-01-01 01:00:00,2026-01-01 02:00:00,1,2.5,4,5\n")
+    result = taxi.clean_files(spark, raw, out, man, "r", quarantine=bad)
+    assert spark.read.parquet(f"{out}/green").count() == 1
+    held = spark.read.parquet(f"{bad}/green").collect()
+    assert [(r.source_file, r["_corrupt_record"][:2]) for r in held] == [("green_1.csv", "x,")]
+    counts = {r.metric: r.value for r in result.reports[0].collect()}
+    assert counts["rows_in"] == 2
+
+
+def test_whole_runs(spark, tmp_path):
+    raw, work, output = (str(tmp_path / n) for n in ("raw", "work", "out"))
+    trip_file(raw, "yellow_2026-01.csv", 2, 1)
+    pages = tmp_path / "pages" / "period=2026-01_to_2026-02"
+    pages.mkdir(parents=True)
+    (pages / "1.json").write_text(json.dumps(PAGES[0]))
+    days = (date(2026, 1, 1), date(2026, 2, 10))
+
+    def both(run_id):
+        return run_together(
+            taxi=lambda: run_trips(spark, raw, f"{work}/taxi", output, *days, run_id),
+            air=lambda: run_measurements(spark, str(tmp_path / "pages"), f"{work}/air", output, *days, run_id))
+
+    done = both("r1")
+    assert [r.VendorID for r in spark.read.parquet(done["taxi"]["yellow"]).collect()] == [1, 2]
+    assert spark.read.option("header", True).csv(done["air"].facts).count() == 1
+    (pages / "1.json").write_text("")  # covered: not read again
+    again = both("r2")
+    assert spark.read.option("header", True).csv(again["air"].facts).count() == 1
+    assert again["air"].folder.endswith("_r2")
+
+
+def test_page_completeness(spark):
+    df = spark.createDataFrame([("a", 1, 2), ("a", 2, 2), ("b", 1, 3), ("b", 1, 3)],
+                               "sensor_id string, page int, expected_pages int")
+    assert rows(page_completeness(df)) == [("a", 2, 2, True), ("b", 3, 1, False)]

@@ -146,3 +146,14 @@ def test_union_type_drift(spark):
     b = spark.createDataFrame([(2.5,)], "x double")
     assert rows(unions.union_all([a, b], {"x": "double"})) == [(1.0,), (2.5,)]
     assert rows(unions.distinct_rows(unions.union_all([a, a]))) == [(1,)]
+
+
+def test_merge_options(spark):
+    df = spark.createDataFrame([(1, "20260101000000"), (1, "20260101000000"), (2, "20260102000000")],
+                               f"k int, {YELLOW.pickup} string")
+    assert unions.merge_trips([df], YELLOW, dedup_keys=[]).count() == 2
+    assert unions.merge_trips([df], YELLOW, dedup_keys=["k"]).count() == 2
+    day = ("2026-01-02T00:00:00Z", "2026-01-02T23:59:59Z")
+    assert rows(unions.merge_trips([df], YELLOW, date_range=day), "k") == [(2,)]
+    plain = spark.createDataFrame([(1,), (1,)], "x int")
+    assert unions.merge_measurements([plain], dedup_keys=[]).count() == 1
