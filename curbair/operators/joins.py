@@ -76,8 +76,9 @@ def lookup_join(
     ``how`` is left, inner, left_semi or left_anti; the first two attach the other
     columns of ``lookup``. ``small`` skips the measurement when the caller has
     already made it; ``counts`` (keys plus a ``__rows`` column) skips the counting
-    of keys that the shuffled form needs. A lookup that is costly to compute
-    should be staged first, since measuring reads it once more.
+    of keys that the shuffled form needs. Measuring reads the lookup once more and
+    the shuffled form reads ``fact`` up to three times, so what is costly to compute
+    should be staged first.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
