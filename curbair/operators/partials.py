@@ -38,18 +38,27 @@ def hourly_parts(
     )
 
 
+def combine_parts(parts: DataFrame) -> DataFrame:
+    """Parts of several increments as the parts of one."""
+    keys = [c for c in parts.columns if c not in PARTS]
+    return parts.groupBy(*keys).agg(
+        F.sum("part_sum").alias("part_sum"),
+        F.min("part_min").alias("part_min"),
+        F.max("part_max").alias("part_max"),
+        F.sum("part_count").alias("part_count"),
+    )
+
+
 def merge_parts(parts: DataFrame) -> DataFrame:
     """Statistics over all increments, as ``hourly_statistics`` gives them."""
     keys = [c for c in parts.columns if c not in PARTS]
-    merged = parts.groupBy(*keys).agg(
-        F.sum("part_sum").alias("__sum"),
-        F.min("part_min").alias("value_min"),
-        F.max("part_max").alias("value_max"),
-        F.sum("part_count").alias("value_count"),
-    )
-    mean = F.when(F.col("value_count") > 0, F.col("__sum") / F.col("value_count"))
-    return merged.select(
-        *keys, mean.alias("value_mean"), "value_min", "value_max", "value_count"
+    total = F.col("part_count")
+    return combine_parts(parts).select(
+        *keys,
+        F.when(total > 0, F.col("part_sum") / total).alias("value_mean"),
+        F.col("part_min").alias("value_min"),
+        F.col("part_max").alias("value_max"),
+        total.alias("value_count"),
     )
 
 
@@ -58,5 +67,16 @@ def add_increment(new_rows: DataFrame, path: str, increment: str, **options) ->
     hourly_parts(new_rows, **options).write.mode("overwrite").parquet(f"{path}/increment={increment}")
 
 
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("increment")
+
+
 def read_increments(spark: SparkSession, path: str) -> DataFrame:
-    return merge_parts(spark.read.parquet(path).drop("increment"))
+    return merge_parts(read_parts(spark, path))
+
+
+def compact_increments(spark: SparkSession, path: str, target: str, increment: str) -> None:
+    """All increments of ``path`` as one increment of a new folder."""
+    combine_parts(read_parts(spark, path)).write.mode("overwrite").parquet(
+        f"{target}/increment={increment}"
+    )

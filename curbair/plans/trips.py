@@ -80,6 +80,7 @@ def clean_files(
         groups, unreadable = _shape_groups(spark, mine, spec, quarantine is not None)
         for path, error in unreadable.items():
             mark([path], "failed", error)
+        clear = not incremental  # a full run leaves nothing of earlier ones
         for raw, members in groups:
             named = files.with_source_file(raw)
             if files.CORRUPT in raw.columns:
@@ -92,7 +93,8 @@ def clean_files(
             except ConformError as error:
                 mark(members, "failed", str(error))
                 continue
-            sinks.replace_sources(cleaned, f"{output}/{spec.taxi_type}", fmt)
+            sinks.replace_sources(cleaned, f"{output}/{spec.taxi_type}", fmt, clear)
+            clear = False
             mark(members, "done")
             if report:
                 counts = quality.clean_report(named, spec, by=(files.SOURCE_FILE,))

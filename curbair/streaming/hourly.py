@@ -4,9 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curbair.functions.values import without_nan
+from curbair.operators.measurements import flatten_stations, time_column
+from curbair.schemas import STATION_PAGE_USED
+
+
+def measurement_stream(
+    spark: SparkSession, folder: str, fmt: str = "json", files_per_batch: int | None = None
+) -> DataFrame:
+    """Flat measurements of station pages as they land, with parsed times."""
+    reader = spark.readStream.format(fmt).schema(STATION_PAGE_USED)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return time_column(flatten_stations(reader.load(folder)), "datetimeUtc")
 
 
 def closed_hours(

@@ -31,6 +31,18 @@ def test_lookup_join_forms_agree(spark, how, small):
     assert rows(got) == sorted(brute(FACT, DIM, how), key=key)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_semi_and_anti_forms_agree(spark, small):
+    fact, dim = frames(spark, FACT, DIM)
+    listed = {k for k, _ in DIM}
+    for how, wanted in (("left_semi", True), ("left_anti", False)):
+        got = joins.lookup_join(fact, dim, ["k"], how=how, small=small)
+        assert got.columns == ["k", "v"]
+        assert got.count() == sum((k in listed) == wanted for k, _ in FACT)
+    with pytest.raises(ValueError):
+        joins.lookup_join(fact, dim, ["k"], how="full")
+
+
 def test_null_safe_lookup_matches_null_keys(spark):
     fact, dim = frames(spark, FACT, [*DIM, (None, "none")])
     for small in (True, False):

@@ -43,7 +43,7 @@ def test_flatten(spark, tmp_path):
     path = tmp_path / "pages.json"
     path.write_text(json.dumps(PAGES))
     for multi_line in (True, False):
-        out = ops.flatten_stations(station_pages(spark, str(path), multi_line))
+        out = ops.flatten_stations(station_pages(spark, str(path), multi_line=multi_line))
         got = rows(out, "location_id", "parameter", "value", "country_iso", "isMobile",
                    "isMonitor", "owner_name", "provider", "latitude", "unit")
         assert got == [("7", "pm25", 4.0, "", False, False, "", "", 40.7, "ug/m3"),
@@ -111,6 +111,9 @@ def test_parts_merge_to_the_same_statistics(flat, tmp_path, spark):
     partials.add_increment(flat.filter(late), path, "2")
     whole = ops.hourly_statistics(flat)
     assert rows(partials.read_increments(spark, path).select(whole.columns)) == rows(whole)
+    packed = str(tmp_path / "packed")
+    partials.compact_increments(spark, path, packed, "1-2")
+    assert rows(partials.read_increments(spark, packed).select(whole.columns)) == rows(whole)
 
 
 def test_bbox_and_values(spark):
@@ -181,3 +184,13 @@ def test_time_range_reaches_the_scan(spark, tmp_path):
     spark.sql("select timestamp_ntz'2026-01-01 00:00:00' t, 1 v").write.parquet(path)
     plan = plan_of(ops.filter_time_range(spark.read.parquet(path), "t", LOW, HIGH))
     assert "Or(IsNull(t)" in plan or "PushedFilters: [Or(IsNull" in plan
+
+
+def test_page_scan_is_lean(spark, tmp_path):
+    path, landed = tmp_path / "pages.json", str(tmp_path / "landed")
+    path.write_text(json.dumps(PAGES))
+    station_pages(spark, str(path), complete=True).write.parquet(landed)
+    lean = ops.flatten_stations(station_pages(spark, landed, "parquet"))
+    assert "datetimeTo" not in plan_of(lean) and "display_name" not in plan_of(lean)
+    whole = ops.flatten_stations(station_pages(spark, landed, "parquet", complete=True))
+    assert rows(lean) == rows(whole) and lean.count() == 2

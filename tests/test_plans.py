@@ -13,7 +13,7 @@ from curbair.plans import manifest as log
 from curbair.plans import measurements as air, trips as taxi
 from curbair.plans.runs import run_measurements, run_together, run_trips
 from curbair.schemas import GREEN, YELLOW
-from curbair.streaming.hourly import closed_hours
+from curbair.streaming.hourly import closed_hours, measurement_stream
 from curbair.streaming.trips import clean_arrivals, trip_stream
 
 HEADER = ["VendorID", "{}_pickup_datetime", "{}_dropoff_datetime", "passenger_count", "trip_distance",
@@ -58,6 +58,14 @@ def test_incremental_clean_and_merge(spark, tmp_path, fmt):
 
     full = taxi.clean_files(spark, raw, str(tmp_path / "full"), str(tmp_path / "m2"), "r4", incremental=False, fmt=fmt)
     assert len(full.status) == 3
+    trip_file(raw, "green_2026-01.csv")  # no valid row left: a full run clears its old output
+    taxi.clean_files(spark, raw, str(tmp_path / "again"), str(tmp_path / "m3"), "r5", incremental=False, fmt=fmt)
+    taxi.clean_files(spark, raw, str(tmp_path / "full2"), str(tmp_path / "m4"), "r6", fmt=fmt)
+    trip_file(raw, "yellow_2026-01.csv")
+    taxi.clean_files(spark, raw, str(tmp_path / "full2"), str(tmp_path / "m4"), "r7", incremental=False, fmt=fmt)
+    assert [r[0] for f in taxi.cleaned_frames(spark, str(tmp_path / "full2"), YELLOW, fmt)
+            for r in rows(f, F.col("VendorID").cast("int"))] == [1]
+
     for spec in (GREEN, YELLOW):
         a, b = (taxi.cleaned_frames(spark, o, spec, fmt) for o in (out, str(tmp_path / "full")))
         assert [rows(f) for f in a] == [rows(f) for f in b]
@@ -225,3 +233,14 @@ def test_page_completeness(spark):
     df = spark.createDataFrame([("a", 1, 2), ("a", 2, 2), ("b", 1, 3), ("b", 1, 3)],
                                "sensor_id string, page int, expected_pages int")
     assert rows(page_completeness(df)) == [("a", 2, 2, True), ("b", 3, 1, False)]
+
+
+def test_page_stream(spark, tmp_path):
+    pages, out = tmp_path / "pages", str(tmp_path / "out")
+    pages.mkdir()
+    (pages / "1.json").write_text(json.dumps(PAGES[0]))
+    flat = measurement_stream(spark, str(pages), files_per_batch=1)
+    assert dict(flat.dtypes)["datetimeUtc"] == "timestamp"
+    flat.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "cp")) \
+        .trigger(availableNow=True).start().awaitTermination()
+    assert rows(spark.read.parquet(out), "location_id", "value") == [("7", 4.0), ("7", None)]
