@@ -14,7 +14,7 @@ ENDS = {"pickup": "PULocationID", "dropoff": "DOLocationID"}
 
 def attach_zones(
     df: DataFrame, zones: DataFrame, ends: dict[str, str] | None = None,
-    columns: Sequence[str] = ("Borough", "Zone"),
+    columns: Sequence[str] = ("Borough", "Zone"), computed: bool = False,
 ) -> DataFrame:
     """Zone columns for each end of a trip, by zone id (names repeat)."""
     ends = ENDS if ends is None else ends
@@ -24,7 +24,8 @@ def attach_zones(
             F.col("LocationID").cast(df.schema[column].dataType).alias(column),
             *[F.col(c).alias(f"{end}_{c.lower()}") for c in columns],
         )
-        df = lookup_join(df, named, [column], how="left", small=small)
+        df = lookup_join(df, named, [column], how="left", small=small, computed=computed)
+        computed = True
     return df
 
 
@@ -57,7 +58,7 @@ def demand_rollup(trips: DataFrame, zones: DataFrame, place: str = "PULocationID
     row then work on one row per place.
     """
     per_place = trips.groupBy(place).agg(F.count(F.lit(1)).alias("trips"))
-    named = attach_zones(per_place, zones, {"at": place})
+    named = attach_zones(per_place, zones, {"at": place}, computed=True)
     return named.rollup("at_borough", "at_zone").agg(
         F.sum("trips").alias("trips"),
         F.grouping("at_borough").cast("long").alias("all_boroughs"),

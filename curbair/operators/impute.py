@@ -36,7 +36,8 @@ def impute(
     ``columns`` defaults to every numeric column named like a value. A window over
     the group would move every row and put a whole group into one task; instead
     the means are aggregated map-side, staged, and joined back, which leaves the
-    rows where they are as long as the table of means is small.
+    rows where they are as long as the table of means is small. ``df`` is read twice,
+    so it should be a scan or staged.
     """
     columns = value_columns(df) if columns is None else list(columns)
     if not columns:

@@ -70,15 +70,16 @@ def lookup_join(
     null_safe: bool = False,
     small: bool | None = None,
     counts: DataFrame | None = None,
+    computed: bool = False,
 ) -> DataFrame:
     """Join ``fact`` with a table keyed by the same columns.
 
     ``how`` is left, inner, left_semi or left_anti; the first two attach the other
     columns of ``lookup``. ``small`` skips the measurement when the caller has
     already made it; ``counts`` (keys plus a ``__rows`` column) skips the counting
-    of keys that the shuffled form needs. Measuring reads the lookup once more and
-    the shuffled form reads ``fact`` up to three times, so what is costly to compute
-    should be staged first.
+    of keys that the shuffled form needs. That form reads ``fact`` up to three times:
+    ``computed`` says it is no plain scan and is staged for it. Measuring reads the
+    lookup once more, so one that is costly to compute should be staged beforehand.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
@@ -93,6 +94,8 @@ def lookup_join(
     if fits_broadcast(side) if small is None else small:
         return meet(fact, F.broadcast(side))
 
+    if computed:
+        fact = staged(fact, "join-rows")
     if counts is None:
         counts = staged(fact.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS)), "key-counts")
     hot = F.broadcast(staged(_prefixed(hot_keys(counts, keys, ROWS), keys), "hot-keys"))

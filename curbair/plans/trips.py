@@ -13,11 +13,10 @@ from curbair.operators.organise import dataset_name
 from curbair.operators.trips import clean_trips
 from curbair.operators.unions import merge_trips
 from curbair.plans import manifest as log
-from curbair.schemas import TRIP_SPECS, TripSpec
+from curbair.schemas import MERGED_TRIPS, TRIP_FILES, TRIP_PREFIX, TRIP_SPECS, TripSpec
 from curbair.sources import files, sinks
 
 DATASET = "clean_trips"
-_PATTERN = "{green,yellow}_*.{csv,parquet}"
 
 
 @dataclass
@@ -61,7 +60,7 @@ def clean_files(
     With ``quarantine`` the malformed CSV rows go there instead of counting as
     rejected.
     """
-    listing = files.list_files(spark, folder, _PATTERN)
+    listing = files.list_files(spark, folder, TRIP_FILES)
     if incremental:
         listing = unprocessed(listing, log.finished(log.read_manifest(spark, manifest), DATASET))
     paths = files.paths_of(listing)
@@ -126,7 +125,7 @@ def cleaned_frames(spark: SparkSession, folder: str, spec: TripSpec, fmt: str =
 
 def merge_files(
     spark: SparkSession, cleaned: str, output: str, first_day: str, last_day: str, run_id: str,
-    fmt: str = "parquet", prefix: str = "taxi_data", date_range: tuple | None = None,
+    fmt: str = "parquet", prefix: str = TRIP_PREFIX, date_range: tuple | None = None,
     dedup_keys: list[str] | None = None,
 ) -> dict[str, str]:
     """Merge the cleaned files of each taxi type in pickup order; paths by type.
@@ -143,7 +142,7 @@ def merge_files(
                 raise
             continue
         merged = merge_trips(frames, spec, date_range, dedup_keys)
-        path = f"{base}/{spec.taxi_type}_tripdata_merged"
+        path = f"{base}/{MERGED_TRIPS.format(taxi_type=spec.taxi_type)}"
         if fmt == "csv":
             sinks.write_csv(merged, path)
         else:

@@ -301,7 +301,7 @@ def station_join(spark: SparkSession, folder: str) -> DataFrame:
     fact = hourly(spark, folder).select(
         "datetime_hour", "parameter", "value_mean", "value_count", "location_id"
     )
-    joined = lookup_join(fact, stations(spark, folder), ["location_id"])
+    joined = lookup_join(fact, stations(spark, folder), ["location_id"], computed=True)
     return rounded(joined, "value_mean")
 
 
