@@ -7,16 +7,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from curbair.functions.names import base_name
 from curbair.operators import partials, quality, spines
 from curbair.operators.measurements import hourly_statistics
-from curbair.operators.organise import organised_fact
+from curbair.operators.organise import organised_fact, time_extent
+from curbair.operators.unions import distinct_rows, union_all
 from curbair.queries.measurements import HOURLY
 from curbair.queries.registry import query
 from curbair.queries.trips import clean_report as trip_report
 from curbair.queries.views import CLEAN_TRIPS, RAW_TRIPS, flat_measurements, raw_trips, rounded, table
 from curbair.schemas import YELLOW
 from curbair.sources import files, sinks
+from curbair.sources.catalogue import explode_catalogue
 from curbair.sources.staging import fresh_path
+from curbair.streaming.arrivals import write_once
+from curbair.streaming.hourly import closed_hours
 from curbair.streaming.trips import clean_arrivals, trip_stream
 
 
@@ -146,3 +151,73 @@ def uncovered_periods(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format("range_start", "yyyy-MM-dd").alias("range_start"),
         F.date_format("range_end", "yyyy-MM-dd").alias("range_end"),
     )
+
+
+@query("""
+    SELECT strftime(o_orderdate, '%Y') AS "year", strftime(o_orderdate, '%m') AS "month",
+           o_orderstatus AS type,
+           'http://host/' || CAST(o_orderkey AS VARCHAR) || '.parquet' AS url,
+           CAST(o_orderkey AS VARCHAR) || '.parquet' AS source_file
+    FROM orders
+""")
+def catalogue_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested catalogue documents (year, month, files), decoded and flattened."""
+    listed = F.array(F.struct(
+        F.col("o_orderstatus").alias("type"),
+        F.concat(F.lit(" http://host/"), "o_orderkey", F.lit(".parquet ")).alias("url"),
+    ))
+    months = F.create_map(F.date_format("o_orderdate", "MM"), listed)
+    documents = table(spark, folder, "orders").select(
+        F.to_json(F.create_map(F.date_format("o_orderdate", "yyyy"), months)).alias("value")
+    )
+    return explode_catalogue(documents).select(
+        "year", "month", "type", F.trim("url").alias("url"), base_name(F.trim("url")).alias("source_file")
+    )
+
+
+@query("""
+    SELECT 'file_' || CAST(l_linenumber AS VARCHAR) AS source_file,
+           strftime(min(l_shipdate), '%Y%m%d') AS first_day,
+           strftime(max(l_shipdate), '%Y%m%d') AS last_day
+    FROM lineitem GROUP BY 1
+""")
+def file_extents(spark: SparkSession, folder: str) -> DataFrame:
+    """The time extent of each of many files, in one pass."""
+    named = table(spark, folder, "lineitem").withColumn(
+        "source_file", F.concat(F.lit("file_"), "l_linenumber")
+    )
+    return time_extent(named, by=["source_file"], time="l_shipdate")
+
+
+@query("SELECT * FROM orders")
+def merge_distinct(spark: SparkSession, folder: str) -> DataFrame:
+    """Overlapping period files merged with one row per key."""
+    orders = table(spark, folder, "orders")
+    late = orders.filter("o_orderdate >= timestamp_ntz'1997-01-01'")
+    return distinct_rows(union_all([orders, late]), ["o_orderkey"])
+
+
+@query("""
+    WITH last AS (SELECT max(ts) AS seen FROM events)
+    SELECT date_trunc('hour', ts) AS datetime_hour, event_type AS parameter,
+           round(avg(value), 6) AS value_mean, min(value) AS value_min, max(value) AS value_max,
+           count(value) AS value_count
+    FROM events, last
+    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= seen - INTERVAL 1 HOUR
+    GROUP BY 1, 2
+""")
+def hourly_closed(spark: SparkSession, folder: str) -> DataFrame:
+    """Hours closed by the watermark of a stream over the events file."""
+    output, progress = fresh_path(spark, "closed"), fresh_path(spark, "progress")
+    events = (
+        spark.readStream.schema(table(spark, folder, "events").schema)
+        .option("pathGlobFilter", "events.parquet").parquet(folder)
+        .select(F.col("ts").cast("timestamp").alias("datetimeUtc"),
+                F.col("event_type").alias("parameter"), "value")
+    )
+    closed = closed_hours(events, ["parameter"], "1 hour")
+    write_once(closed, output, progress).awaitTermination()
+    stats = spark.read.schema(closed.schema).parquet(output)
+    return rounded(
+        stats.withColumn("datetime_hour", F.col("datetime_hour").cast("timestamp_ntz")), "value_mean"
+    )

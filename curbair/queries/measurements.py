@@ -257,6 +257,31 @@ def _value_columns(item: DataFrame) -> DataFrame:
     )
 
 
+_STATS_OF_ITEMS = """
+    SELECT l_shipdate AS datetime_hour, l_linestatus AS location_id, l_returnflag AS parameter,
+           avg(l_discount) AS value_mean, min(l_discount) AS value_min,
+           max(l_discount) AS value_max, count(l_discount) AS value_count
+    FROM lineitem GROUP BY 1, 2, 3
+"""
+
+
+@query(f"""
+    SELECT datetime_hour, location_id, parameter,
+           {', '.join(_fill(c, 'parameter, location_id') + ' AS ' + c
+                      for c in ('value_mean', 'value_min', 'value_max', 'value_count'))}
+    FROM ({_STATS_OF_ITEMS}) s
+""")
+def impute_hourly(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly statistics with their zeros filled, column by column."""
+    flat = table(spark, folder, "lineitem").select(
+        F.col("l_shipdate").alias("datetimeUtc"), F.col("l_linestatus").alias("location_id"),
+        F.col("l_returnflag").alias("parameter"), F.col("l_discount").alias("value"),
+    )
+    stats = staged(ops.hourly_statistics(flat), "hourly")
+    filled = imputing.impute(stats, ["parameter", "location_id"])
+    return rounded(filled, "value_mean", "value_min", "value_max", "value_count")
+
+
 _PROFILE = " UNION ALL ".join(f"""
     SELECT l_returnflag AS parameter, l_suppkey AS location_id, '{name}' AS column_name,
            count(*) FILTER ({value} IS NULL) AS nulls, count(*) FILTER ({value} = 0) AS zeros,

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from curbair.operators.trips import clean_trips
 from curbair.schemas import TripSpec
 from curbair.sources.files import SOURCE_FILE, with_source_file
+from curbair.streaming.arrivals import write_once
 
 
 def trip_stream(
@@ -30,18 +31,6 @@ def trip_stream(
 def clean_arrivals(
     raw: DataFrame, spec: TripSpec, output: str, checkpoint: str, stamped: bool = False
 ) -> StreamingQuery:
-    """Clean what arrived since the last run, exactly once per file, then stop.
-
-    The transform is the batch one. Progress is kept in ``checkpoint``, which
-    belongs to ``output`` and must lie in a folder all executors share.
-    """
+    """Clean the files that arrived since the last run; the transform is the batch one."""
     cleaned = clean_trips(raw, spec, stamped=stamped, carry=(SOURCE_FILE,))
-    return (
-        cleaned.writeStream.format("parquet")
-        .partitionBy(SOURCE_FILE)
-        .option("path", output)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    return write_once(cleaned, output, checkpoint, [SOURCE_FILE])

@@ -53,7 +53,8 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {
-    "incremental_clean", "organised_layout", "csv_roundtrip", "convert_parquet", "hourly_incremental"}))
+    "incremental_clean", "organised_layout", "csv_roundtrip", "convert_parquet", "hourly_incremental",
+    "hourly_closed"}))
 def test_plans_have_no_python_and_no_cartesian(spark, name):
     plan = plan_of(QUERIES[name](spark, DATA))
     for node in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct",
