@@ -45,8 +45,10 @@ def flatten_stations(pages: DataFrame) -> DataFrame:
 
     Stations without sensors and sensors without measurements give no row.
     """
+    # outer, or a test for empty lists would evaluate a computed page a second time;
+    # the inner explode below drops what has no measurements
     sensors = pages.select(
-        *station_attributes(pages.schema), F.explode("sensors.measurements").alias("__list")
+        *station_attributes(pages.schema), F.explode_outer("sensors.measurements").alias("__list")
     )
     rows = sensors.withColumn("__m", F.explode("__list")).drop("__list")
     m = T.StructType([f for f in rows.schema.fields if f.name == "__m"])
