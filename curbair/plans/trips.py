@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from curbair.operators import quality
 from curbair.operators.conform import ConformError
@@ -27,24 +29,33 @@ class CleanResult:
     reports: list[DataFrame] = field(default_factory=list)
 
 
+Scan = Callable[[list[str]], DataFrame]
+
+
+def _name(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
+
+
 def _shape_groups(
     spark: SparkSession, paths: list[str], spec: TripSpec, keep_corrupt: bool = False
-) -> tuple[list[tuple[DataFrame, list[str]]], dict[str, str]]:
-    """One scan per distinct shape among the files, whatever their format."""
+) -> tuple[list[tuple[Scan, list[str]]], dict[str, str]]:
+    """Files grouped by shape, each group with its way of scanning some of them."""
     csv = [p for p in paths if p.lower().endswith(".csv")]
     parquet = [p for p in paths if not p.lower().endswith(".csv")]
-    groups, failed = [], {}
-    shapes, bad = files.csv_shapes(spark, csv)
-    failed.update(bad)
     numbers = {c: t for c, t in spec.columns.items() if t != "timestamp_ntz"}
-    for header, members in shapes:
+
+    def csv_scan(header: tuple[str, ...]) -> Scan:
         schema = ", ".join(f"`{c}` {numbers.get(c, 'string')}" for c in header)
-        groups.append((files.scan_csv(spark, members, schema, keep_corrupt), members))
-    shapes, bad = files.parquet_shapes(spark, parquet)
-    failed.update(bad)
-    for schema, members in shapes:
-        groups.append((files.scan_parquet(spark, members, schema), members))
-    return groups, failed
+        return lambda some: files.scan_csv(spark, some, schema, keep_corrupt)
+
+    def parquet_scan(schema: T.StructType) -> Scan:
+        return lambda some: files.scan_parquet(spark, some, schema)
+
+    headers, bad_csv = files.csv_shapes(spark, csv)
+    schemas, bad_parquet = files.parquet_shapes(spark, parquet)
+    groups = [(csv_scan(h), members) for h, members in headers]
+    groups += [(parquet_scan(s), members) for s, members in schemas]
+    return groups, {**bad_csv, **bad_parquet}
 
 
 def clean_files(
@@ -69,33 +80,45 @@ def clean_files(
 
     def mark(members: list[str], status: str, detail: str | None = None) -> None:
         for path in members:
-            name = path.rsplit("/", 1)[-1]
+            name = _name(path)
             result.status[name] = status
             if detail:
                 details[name] = detail
 
     for spec in TRIP_SPECS.values():
-        mine = [p for p in paths if p.rsplit("/", 1)[-1].startswith(f"{spec.taxi_type}_")]
+        mine = [p for p in paths if _name(p).startswith(f"{spec.taxi_type}_")]
         groups, unreadable = _shape_groups(spark, mine, spec, quarantine is not None)
         for path, error in unreadable.items():
             mark([path], "failed", error)
-        clear = not incremental  # a full run leaves nothing of earlier ones
-        for raw, members in groups:
-            named = files.with_source_file(raw)
-            if files.CORRUPT in raw.columns:
-                named, malformed = files.split_corrupt(named)
-                # one shape for all headers: the row as it was, and where it was
-                malformed = malformed.select(files.CORRUPT, files.SOURCE_FILE)
-                sinks.replace_sources(malformed, f"{quarantine}/{spec.taxi_type}", "parquet")
+        target = f"{output}/{spec.taxi_type}"
+        for scan, members in groups:
+
+            def clean(some: list[str], scan: Scan = scan) -> None:
+                named = files.with_source_file(scan(some))
+                if quarantine and files.CORRUPT in named.columns:
+                    named, malformed = files.split_corrupt(named)
+                    sinks.replace_sources(
+                        malformed.select(files.CORRUPT, files.SOURCE_FILE),
+                        f"{quarantine}/{spec.taxi_type}", "parquet",
+                    )
+                cleaned = clean_trips(named, spec, fmt == "csv", carry=(files.SOURCE_FILE,))
+                sinks.replace_sources(cleaned, target, fmt)
+                if not incremental:  # an earlier output must not outlive its last valid row
+                    sinks.empty_sources(cleaned, [_name(p) for p in some], target, fmt)
+
             try:
-                cleaned = clean_trips(named, spec, stamped=fmt == "csv", carry=(files.SOURCE_FILE,))
+                failed = sinks.each_or_all(clean, members)
             except ConformError as error:
                 mark(members, "failed", str(error))
                 continue
-            sinks.replace_sources(cleaned, f"{output}/{spec.taxi_type}", fmt, clear)
-            clear = False
-            mark(members, "done")
-            if report:
+            for path, error in failed.items():
+                mark([path], "failed", error)
+            done = [p for p in members if p not in failed]
+            mark(done, "done")
+            if report and done:
+                named = files.with_source_file(scan(done))
+                if files.CORRUPT in named.columns:
+                    named, _ = files.split_corrupt(named)
                 counts = quality.clean_report(named, spec, by=(files.SOURCE_FILE,))
                 result.reports.append(
                     quality.as_report(counts, run_id, spec.taxi_type, files.SOURCE_FILE)
@@ -114,8 +137,8 @@ def cleaned_frames(spark: SparkSession, folder: str, spec: TripSpec, fmt: str =
     if fmt == "parquet":
         schema = ", ".join(f"{c} {t}" for c, t in spec.columns.items())
         return [spark.read.schema(schema).parquet(base)]
-    paths = files.paths_of(files.list_files(spark, base, "*.csv", recursive=True))
-    frames = files.scan_csv_sets(spark, paths)
+    folders = files.folders_of(files.list_files(spark, base, "*.csv", recursive=True))
+    frames = files.scan_csv_sets(spark, folders)
     numbers = {c: t for c, t in spec.columns.items() if t != "timestamp_ntz"}
     return [
         f.select(*[F.col(c).cast(numbers.get(c, "string")).alias(c) for c in f.columns])
@@ -137,10 +160,10 @@ def merge_files(
     for spec in TRIP_SPECS.values():
         try:
             frames = cleaned_frames(spark, cleaned, spec, fmt)
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:
+            if not files.is_missing(error):
                 raise
-            continue
+            continue  # no file of this type was cleaned
         merged = merge_trips(frames, spec, date_range, dedup_keys)
         path = f"{base}/{MERGED_TRIPS.format(taxi_type=spec.taxi_type)}"
         if fmt == "csv":

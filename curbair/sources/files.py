@@ -14,13 +14,14 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from curbair.functions.names import taxi_type_of
 
 log = logging.getLogger(__name__)
 
+READ_ERRORS = (PySparkException, Py4JJavaError)
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "source_file"
 _PROBES = 16
@@ -57,6 +58,17 @@ def list_files(
     )
 
 
+def is_missing(error: Exception) -> bool:
+    """Does this error say that a path does not exist?"""
+    return isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"
+
+
+def folders_of(listing: DataFrame) -> list[str]:
+    """Distinct folders of a listing in name order."""
+    folders = listing.select(F.regexp_replace("path", r"/[^/]+$", "").alias("path")).distinct()
+    return paths_of(folders)
+
+
 def paths_of(listing: DataFrame) -> list[str]:
     """Paths of a listing in name order."""
     return [r[0] for r in listing.select("path").orderBy("path").toLocalIterator()]
@@ -71,14 +83,18 @@ def with_taxi_type(df: DataFrame) -> DataFrame:
     return df.withColumn("taxi_type", taxi_type_of(F.col("_metadata.file_name")))
 
 
+def first_line(error: Exception) -> str:
+    return next(iter(str(error).splitlines()), type(error).__name__)
+
+
 def _probe(paths: Sequence[str], shape_of: Callable) -> tuple[dict, dict[str, str]]:
     """Group inputs by shape; inputs that cannot be read are reported, not fatal."""
 
     def one(path: str):
         try:
             return path, shape_of(path), None
-        except (PySparkException, Py4JJavaError) as error:
-            return path, None, next(iter(str(error).splitlines()), type(error).__name__)
+        except READ_ERRORS as error:
+            return path, None, first_line(error)
 
     groups: dict = {}
     failed: dict[str, str] = {}
@@ -101,17 +117,19 @@ def parquet_shapes(
 
 
 def scan_parquet_sets(
-    spark: SparkSession, paths: Sequence[str], casts: dict[str, str] | None = None
+    spark: SparkSession, paths: Sequence[str], casts: dict[str, str] | None = None,
+    skip_corrupt: bool = False,
 ) -> list[DataFrame]:
     """One scan per distinct schema, with drifting columns cast to one type.
 
     Parquet readers cannot convert between, say, long and double files of one
-    column within a single scan; separate scans with a cast on top can.
+    column within a single scan; separate scans with a cast on top can. Inputs that
+    cannot be opened are reported and left out.
     """
     shapes, _ = parquet_shapes(spark, paths)
     frames = []
     for schema, members in shapes:
-        df = scan_parquet(spark, members, schema, skip_corrupt=True)
+        df = scan_parquet(spark, members, schema, skip_corrupt)
         frames.append(df.select(*[
             F.col(c).cast(casts[c]).alias(c) if casts and c in casts else F.col(c)
             for c in df.columns
@@ -124,13 +142,15 @@ def scan_csv(
     path: str | Sequence[str],
     schema: T.StructType | str,
     keep_corrupt: bool = False,
-    skip_corrupt_files: bool = True,
+    skip_corrupt_files: bool = False,
 ) -> DataFrame:
     """CSV files that share one header, under a declared schema.
 
     Values are matched to columns by position, so the header is checked against
     the schema and a mismatch fails instead of swapping columns. With
     ``keep_corrupt`` a malformed row is kept with its text in ``_corrupt_record``.
+    ``skip_corrupt_files`` goes on past unreadable files, whose rows are then lost
+    without a trace: for salvage only.
     """
     reader = (
         spark.read.option("header", True)

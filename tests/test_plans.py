@@ -244,3 +244,19 @@ def test_page_stream(spark, tmp_path):
     flat.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "cp")) \
         .trigger(availableNow=True).start().awaitTermination()
     assert rows(spark.read.parquet(out), "location_id", "value") == [("7", 4.0), ("7", None)]
+
+
+def test_damaged_file_costs_its_own_rows_only(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    one = {"trip_distance": [1.0] * 5000, "VendorID": list(range(5000))}
+    for name in ("green_1.parquet", "green_2.parquet"):
+        pq.write_table(pa.table(one), raw / name, compression="none", use_dictionary=False)
+    body = bytearray((raw / "green_2.parquet").read_bytes())
+    body[4:400] = b"\xff" * 396  # page header destroyed, footer intact
+    (raw / "green_2.parquet").write_bytes(bytes(body))
+    status = taxi.clean_files(spark, str(raw), str(tmp_path / "out"), str(tmp_path / "m"), "r").status
+    assert status == {"green_1.parquet": "done", "green_2.parquet": "failed"}
+    assert spark.read.parquet(str(tmp_path / "out" / "green")).count() == 5000
