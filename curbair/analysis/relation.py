@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
@@ -86,67 +85,79 @@ def moving_average(
     )
 
 
+def _rank_of(share: float, rows: Column) -> Column:
+    """The least k with k / (rows - 1) >= share; 1 for a single row and a share above 0."""
+    others = rows - 1
+    low = F.floor(others * share)
+    enough = low / F.nullif(others, F.lit(0)) >= share
+    rank = F.when(others == 0, F.lit(1 if share > 0 else 0)).when(enough, low).otherwise(low + 1)
+    return rank.cast("bigint")
+
+
+def _piece_with_rank(counted: DataFrame, keys: list[str], share: float, pieces: int) -> DataFrame:
+    """Of every group's values, the piece of the value range that holds the wanted rank.
+
+    Adds ``__n``, the rows of the whole group, and ``__before``, those below the piece.
+    """
+    started = "__n" in counted.columns
+    probabilities = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
+    groups = staged(counted.groupBy(*keys).agg(
+        F.percentile_approx("__v", probabilities, pieces * 10).alias("__edges"),
+        (F.max("__n") if started else F.sum("__c")).alias("__n"),
+        (F.max("__before") if started else F.lit(0).cast("bigint")).alias("__before"),
+    ), "value-edges")
+    placed = lookup_join(
+        counted.select(*keys, "__v", "__c"), groups, keys, how="inner", null_safe=True
+    ).withColumn("__piece", F.size(F.filter("__edges", lambda edge: edge < F.col("__v"))))
+    sums = placed.groupBy(*keys, "__n", "__before", "__piece").agg(F.sum("__c").alias("__in"))
+    earlier = Window.partitionBy(*keys).orderBy("__piece").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    below = F.col("__before") + F.coalesce(F.sum("__in").over(earlier), F.lit(0))
+    rank = F.greatest(_rank_of(share, F.col("__n")), F.lit(1))
+    target = sums.withColumn("__before", below).filter(
+        (rank > F.col("__before")) & (rank <= F.col("__before") + F.col("__in"))
+    ).drop("__in")
+    return lookup_join(
+        placed.select(*keys, "__piece", "__v", "__c"), staged(target, "value-piece"),
+        [*keys, "__piece"], how="inner", null_safe=True, computed=True,
+    ).drop("__piece")
+
+
 def upper_cut(
-    df: DataFrame, value: str, share: float, by: Sequence[str] = (), pieces: int = 256
+    df: DataFrame, value: str, share: float, by: Sequence[str] = (), pieces: int = 256,
+    group_rows: int = 200_000,
 ) -> DataFrame:
     """Per group, the value a row must exceed for its percent rank to reach ``share``.
 
     percent_rank = (rows with a smaller value) / (n - 1), and 0 for a single row. The
     cut is therefore the k-th smallest value for the least k with k / (n - 1) >=
-    share, and NULL for k = 0 (every row qualifies). Found exactly in three steps of bounded size: count per distinct
-    value, cut the value range into pieces at approximate quantiles, and order
-    only the piece that holds the k-th row.
+    share, and NULL for k = 0 (every row qualifies). Found exactly: values are
+    counted first, so copies weigh nothing; while a group has more than
+    ``group_rows`` distinct values, it is narrowed to the piece between approximate
+    quantiles that holds the k-th row; only what is left is put in order.
     """
+    keys = list(by) or ["__all"]
+    known = df.filter(F.col(value).isNotNull())
+    if not by:
+        known = known.withColumn("__all", F.lit(0))
     counted = staged(
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__c")),
+        known.groupBy(*keys, F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__c")),
         "distinct-values",
     )
-    probabilities = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    groups = counted.groupBy(*by).agg(
-        F.percentile_approx("__v", probabilities, pieces * 10).alias("__edges"),
-        (F.sum("__c") - 1).alias("__others"),
-    )
-    low = F.floor(F.col("__others") * share)
-    enough = low / F.nullif(F.col("__others"), F.lit(0)) >= share
-    groups = groups.withColumn(
-        "__k",
-        F.when(F.col("__others") == 0, F.lit(1 if share > 0 else 0))
-        .when(enough, low).otherwise(low + 1).cast("bigint"),
-    ).drop("__others")
-    keyed = list(by) or ["__all"]
-    if not by:
-        groups, counted = (g.withColumn("__all", F.lit(0)) for g in (groups, counted))
-    groups = staged(groups, "value-edges")
-    placed = lookup_join(counted, groups, keyed, how="inner", null_safe=True).withColumn(
-        "__piece", F.size(F.filter("__edges", lambda edge: edge < F.col("__v")))
-    ).drop("__edges")
-
-    sums = placed.groupBy(*keyed, "__k", "__piece").agg(F.sum("__c").alias("__in"))
-    before = F.sum("__in").over(
-        Window.partitionBy(*keyed).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    target = sums.withColumn("__before", F.coalesce(before, F.lit(0))).filter(
-        (F.col("__k") > F.col("__before")) & (F.col("__k") <= F.col("__before") + F.col("__in"))
-    )
-    target = target.select(*[F.col(k).alias("__t_" + k) for k in keyed],
-                           F.col("__piece").alias("__t_piece"), "__before")
-    same: Column = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col("__t_" + k)) for k in keyed],
-        F.col("__piece") == F.col("__t_piece"),
-    )
-    inside = placed.join(target, same)
-    upto = F.col("__before") + F.sum("__c").over(Window.partitionBy(*keyed).orderBy("__v"))
-    cut = inside.withColumn("__upto", upto).groupBy(*keyed).agg(
-        F.min(F.when(F.col("__upto") >= F.col("__k"), F.col("__v"))).alias("__cut")
-    )
-    named = cut.select(*[F.col(k).alias("__t_" + k) for k in keyed], "__cut")
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("__t_" + k)) for k in keyed])
-    return groups.select(*keyed).join(named, match, "left").select(
-        *by, F.col("__cut").alias(f"{value}_cut")
-    )
+    while (counted.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > group_rows:
+        counted = staged(_piece_with_rank(counted, keys, share, pieces), "narrowed-values")
+    if "__n" not in counted.columns:
+        counted = counted.withColumns({
+            "__n": F.sum("__c").over(Window.partitionBy(*keys)),
+            "__before": F.lit(0),
+        })
+    upto = F.col("__before") + F.sum("__c").over(Window.partitionBy(*keys).orderBy("__v"))
+    rank = _rank_of(share, F.col("__n"))
+    reached = F.when((rank > 0) & (F.col("__upto") >= rank), F.col("__v"))
+    return counted.withColumn("__upto", upto).groupBy(*keys).agg(
+        F.min(reached).alias(f"{value}_cut")
+    ).select(*by, f"{value}_cut")
 
 
 def hotspots(
