@@ -161,6 +161,18 @@ def group_keys(df: DataFrame, drop_all_null: bool = False) -> list[str]:
     return series + [c for c in ATTRIBUTE_KEYS if c in df.columns]
 
 
+def hourly_rows(
+    df: DataFrame, time: str, value: str, keys: Sequence[str]
+) -> DataFrame:
+    """(datetime_hour, keys, __value): defaults filled, NaN as NULL, times floored."""
+    filled = fill_defaults(df)
+    instant, data_type = _time_of(filled, time)
+    measure = without_nan(F.col(value), filled.schema[value].dataType).cast("double")
+    return filled.select(
+        floor_hour(instant, data_type).alias("datetime_hour"), *keys, measure.alias("__value")
+    )
+
+
 def hourly_statistics(
     df: DataFrame, time: str = "datetimeUtc", value: str = "value",
     keys: Sequence[str] | None = None, drop_all_null: bool = False,
@@ -172,22 +184,11 @@ def hourly_statistics(
     the shuffle.
     """
     keys = list(keys) if keys is not None else group_keys(df, drop_all_null)
-    filled = fill_defaults(df)
-    instant, data_type = _time_of(filled, time)
-    measure = without_nan(F.col(value), filled.schema[value].dataType).cast("double")
-    return (
-        filled.select(
-            floor_hour(instant, data_type).alias("datetime_hour"),
-            *keys,
-            measure.alias("__value"),
-        )
-        .groupBy("datetime_hour", *keys)
-        .agg(
-            F.avg("__value").alias("value_mean"),
-            F.min("__value").alias("value_min"),
-            F.max("__value").alias("value_max"),
-            F.count("__value").alias("value_count"),
-        )
+    return hourly_rows(df, time, value, keys).groupBy("datetime_hour", *keys).agg(
+        F.avg("__value").alias("value_mean"),
+        F.min("__value").alias("value_min"),
+        F.max("__value").alias("value_max"),
+        F.count("__value").alias("value_count"),
     )
 
 

@@ -11,10 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curbair.functions.times import floor_hour
-from curbair.functions.values import without_nan
-from curbair.operators.conform import fill_defaults
-from curbair.operators.measurements import _time_of, group_keys
+from curbair.operators.measurements import group_keys, hourly_rows
 
 PARTS = ["part_sum", "part_min", "part_max", "part_count"]
 
@@ -24,13 +21,7 @@ def hourly_parts(
     keys: Sequence[str] | None = None,
 ) -> DataFrame:
     keys = list(keys) if keys is not None else group_keys(df)
-    filled = fill_defaults(df)
-    instant, data_type = _time_of(filled, time)
-    measure = without_nan(F.col(value), filled.schema[value].dataType).cast("double")
-    rows = filled.select(
-        floor_hour(instant, data_type).alias("datetime_hour"), *keys, measure.alias("__value")
-    )
-    return rows.groupBy("datetime_hour", *keys).agg(
+    return hourly_rows(df, time, value, keys).groupBy("datetime_hour", *keys).agg(
         F.sum("__value").alias("part_sum"),
         F.min("__value").alias("part_min"),
         F.max("__value").alias("part_max"),

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curbair.sources.files import is_missing
+from curbair.sources.files import path_missing
 
 SCHEMA = (
     "run_id string, dataset string, source_file string, status string, detail string, "
@@ -26,7 +26,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(SCHEMA).parquet(path)
     except AnalysisException as error:
-        if not is_missing(error):
+        if not path_missing(error):
             raise
         return spark.createDataFrame([], SCHEMA)
 

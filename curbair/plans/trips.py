@@ -71,7 +71,7 @@ def clean_files(
     With ``quarantine`` the malformed CSV rows go there instead of counting as
     rejected.
     """
-    listing = files.list_files(spark, folder, TRIP_FILES)
+    listing = files.list_inputs(spark, folder, TRIP_FILES)
     if incremental:
         listing = unprocessed(listing, log.finished(log.read_manifest(spark, manifest), DATASET))
     paths = files.paths_of(listing)
@@ -161,7 +161,7 @@ def merge_files(
         try:
             frames = cleaned_frames(spark, cleaned, spec, fmt)
         except AnalysisException as error:
-            if not files.is_missing(error):
+            if not files.path_missing(error):
                 raise
             continue  # no file of this type was cleaned
         merged = merge_trips(frames, spec, date_range, dedup_keys)

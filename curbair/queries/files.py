@@ -210,8 +210,9 @@ def hourly_closed(spark: SparkSession, folder: str) -> DataFrame:
     """Hours closed by the watermark of a stream over the events file."""
     output, progress = fresh_path(spark, "closed"), fresh_path(spark, "progress")
     events = (
+        # a stream takes a single file only by way of a glob
         spark.readStream.schema(table(spark, folder, "events").schema)
-        .option("pathGlobFilter", "events.parquet").parquet(folder)
+        .parquet(f"{folder}/{{events}}.parquet")
         .select(F.col("ts").cast("timestamp").alias("datetimeUtc"),
                 F.col("event_type").alias("parameter"), "value")
     )

@@ -164,5 +164,6 @@ def anti_unprocessed(spark: SparkSession, folder: str) -> DataFrame:
         return F.concat(F.lit("part_"), F.col(column), F.lit(".csv")).alias("source_file")
 
     inputs = table(spark, folder, "part").select(named("p_partkey"), F.col("p_brand").alias("dataset"))
-    done = table(spark, folder, "lineitem").filter("l_returnflag = 'R' AND l_tax = 0").select(named("l_partkey"))
+    returned = table(spark, folder, "lineitem").filter("l_returnflag = 'R' AND l_tax = 0")
+    done = returned.select(named("l_partkey"))
     return unprocessed(inputs, done)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 STAMP = "yyyyMMddHHmmss"
 RUN_ID = "yyyyMMdd_HHmmss"
-TRIP_FILES = "{green,yellow}_*.{csv,parquet}"
+TRIP_FILES = r"(green|yellow)_.*\.(csv|parquet)"
 TRIP_PREFIX = "taxi_data"
 MERGED_TRIPS = "{taxi_type}_tripdata_merged"
 STATION_MAPPING = "location_mapping"

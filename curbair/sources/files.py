@@ -15,9 +15,9 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from curbair.functions.names import taxi_type_of
+from curbair.functions.names import base_name, taxi_type_of
 
 log = logging.getLogger(__name__)
 
@@ -25,6 +25,8 @@ READ_ERRORS = (PySparkException, Py4JJavaError)
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "source_file"
 _PROBES = 16
+# up to the first path component that is named like a data file
+_INPUT_PATH = r"^(.*?/[^/]+\.(?:csv|parquet|parq))(?:/.*)?$"
 
 
 def scan_parquet(
@@ -58,7 +60,26 @@ def list_files(
     )
 
 
-def is_missing(error: Exception) -> bool:
+def list_inputs(spark: SparkSession, folder: str, pattern: str = ".*") -> DataFrame:
+    """Data sets directly in a folder whose name matches: path, source_file.
+
+    A data set is a file, or a directory of part files named like one.
+    """
+    inputs = list_files(spark, folder, recursive=True).select(
+        F.regexp_extract("path", _INPUT_PATH, 1).alias("path")
+    ).distinct()
+    return inputs.filter(
+        F.regexp_extract("path", r"^(.*)/[^/]+$", 1).endswith(folder.rstrip("/"))
+    ).select("path", _input_name(F.col("path")).alias(SOURCE_FILE)).filter(
+        F.col(SOURCE_FILE).rlike(f"^(?:{pattern})$")
+    )
+
+
+def _input_name(path: Column) -> Column:
+    return base_name(F.regexp_extract(path, _INPUT_PATH, 1))
+
+
+def path_missing(error: Exception) -> bool:
     """Does this error say that a path does not exist?"""
     return isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"
 
@@ -75,12 +96,12 @@ def paths_of(listing: DataFrame) -> list[str]:
 
 
 def with_source_file(df: DataFrame) -> DataFrame:
-    """Add the name of the file each row came from; apply directly on a scan."""
-    return df.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+    """Add the name of the data set each row came from; apply directly on a scan."""
+    return df.withColumn(SOURCE_FILE, _input_name(F.col("_metadata.file_path")))
 
 
 def with_taxi_type(df: DataFrame) -> DataFrame:
-    return df.withColumn("taxi_type", taxi_type_of(F.col("_metadata.file_name")))
+    return df.withColumn("taxi_type", taxi_type_of(_input_name(F.col("_metadata.file_path"))))
 
 
 def first_line(error: Exception) -> str:

@@ -57,6 +57,21 @@ def test_listing_and_tree(spark, tmp_path):
     assert files.paths_of(listing)[0].endswith("green_1.csv")
 
 
+def test_inputs_are_files_or_directories_of_parts(spark, tmp_path):
+    spark.range(6).repartition(3).write.parquet(str(tmp_path / "in" / "a.parquet"))
+    write(tmp_path / "in" / "b.csv", "x\n1\n")
+    write(tmp_path / "in" / "deeper" / "c.csv", "x\n1\n")
+    write(tmp_path / "in" / "note.txt", "x")
+    inputs = files.list_inputs(spark, str(tmp_path / "in"))
+    assert rows(inputs, files.SOURCE_FILE) == [("a.parquet",), ("b.csv",)]
+    path = files.paths_of(inputs)[0]
+    named = files.with_source_file(files.scan_parquet(spark, path))
+    assert rows(named.groupBy(files.SOURCE_FILE).count()) == [("a.parquet", 6)]
+    out = str(tmp_path / "out")
+    assert sinks.convert_parquet_to_csv(spark, str(tmp_path / "in"), out) == {"a.parquet": "converted"}
+    assert files.scan_csv(spark, f"{out}/source_file=a.parquet", "id bigint").count() == 6
+
+
 def test_parquet_type_drift_and_junk(spark, tmp_path):
     spark.createDataFrame([(1,)], "x bigint").write.parquet(str(tmp_path / "a.parquet"))
     spark.createDataFrame([(2.5,)], "x double").write.parquet(str(tmp_path / "b.parquet"))
