@@ -9,10 +9,24 @@ from pyspark.sql import Column, functions as F, types as T
 from curbair.schemas import STAMP
 
 
+# forms with slashes, month first
+SLASHED = ["M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "yyyy/M/d H:mm:ss"]
+
+
 def lenient_time(text: Column, kind: str = "timestamp_ntz") -> Column:
-    """Any ISO form or a 14-digit stamp; NULL for everything else."""
-    stamped = F.try_to_timestamp(text, F.lit(STAMP)).cast(kind)
-    return F.coalesce(text.try_cast(kind), stamped)
+    """Any ISO form, a 14-digit stamp or a form with slashes; NULL for everything else.
+
+    A failed attempt is costly, so the other forms are tried by their looks only.
+    """
+
+    def parsed(fmt: str) -> Column:
+        return F.try_to_timestamp(text, F.lit(fmt)).cast(kind)
+
+    return F.coalesce(
+        text.try_cast(kind),
+        F.when(text.rlike(r"^\d{14}$"), parsed(STAMP)),
+        F.when(text.rlike(r"^\d+/\d+/\d+"), F.coalesce(*[parsed(f) for f in SLASHED])),
+    )
 
 
 def strict_time(text: Column, kind: str = "timestamp_ntz", fmt: str = STAMP) -> Column:

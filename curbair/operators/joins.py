@@ -56,8 +56,11 @@ def _prefixed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str, share: int = HOT_KEYS) -> DataFrame:
+def hot_keys(
+    counts: DataFrame, keys: Sequence[str], rows: str, share: int | None = None
+) -> DataFrame:
     """Keys that hold at least 1/``share`` of all rows: at most ``share`` of them."""
+    share = HOT_KEYS if share is None else share
     total = counts.agg(F.sum(rows)).first()[0] or 0
     return counts.filter(F.col(rows) * share >= max(total, 1)).select(*keys)
 

@@ -83,7 +83,10 @@ def test_hourly_spine_fills_gaps(spark):
     ("2026-01-01 00:27:58", datetime(2026, 1, 1, 0, 27, 58)),
     ("2026-01-01", datetime(2026, 1, 1)),
     ("20260101002758", datetime(2026, 1, 1, 0, 27, 58)),
-    ("bad", None), ("", None), (None, None), ("2026-13-01", None),
+    ("1/15/2026 10:05:00 PM", datetime(2026, 1, 15, 22, 5)),
+    ("01/15/2026 22:05", datetime(2026, 1, 15, 22, 5)),
+    ("2026/01/15 22:05:00", datetime(2026, 1, 15, 22, 5)),
+    ("13/40/2026", None), ("n/a", None), ("bad", None), ("", None), (None, None), ("2026-13-01", None),
 ])
 def test_lenient_time(spark, text, expected):
     df = spark.createDataFrame([(text,)], "t string")

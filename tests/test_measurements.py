@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curbair.operators import impute as imputing
 from curbair.operators import measurements as ops
-from curbair.operators import organise, partials
+from curbair.operators import joins, organise, partials
 from curbair.sources.catalogue import station_pages
 
 PAGES = [
@@ -146,6 +146,17 @@ def test_impute_treats_nan_as_missing_and_null_keys_as_a_group(spark):
     assert rows(kept.filter("k = 'a'")) == [("a", 0.0), ("a", 5.0)]
 
 
+def test_impute_beyond_the_broadcast_limit(spark, monkeypatch):
+    data = [("hot", float(i % 4)) for i in range(400)] + [(None, 0.0), (None, 3.0)]
+    data += [(f"k{i}", float(i % 3)) for i in range(60)]
+    df = spark.createDataFrame(data, "k string, value double")
+    near = rows(imputing.impute(df, ["k"]))
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins, "HOT_KEYS", 10)
+    far = imputing.impute(df, ["k"])
+    assert "Union" in plan_of(far) and rows(far) == near
+
+
 def test_impute_moves_no_rows(spark, tmp_path):
     path = str(tmp_path / "facts")
     spark.createDataFrame(FX5, "parameter string, location_id int, value_mean double, value_count int").write.parquet(path)
