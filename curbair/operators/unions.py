@@ -68,7 +68,7 @@ def merge_trips(
     Stamped pickup text is parsed strictly: a malformed value fails the job. Times
     come out stamped; a dropoff that is text already passes through as it is.
     Everything is kept unless a ``date_range`` of pickups is given, or
-    ``dedup_keys`` ([] for whole rows).
+    ``dedup_keys`` ([] for whole rows). The frames should be scans (see ``spread_sort``).
     """
     merged = union_all(frames)
     if spec.pickup not in merged.columns:
@@ -86,7 +86,10 @@ def merge_measurements(
     frames: Iterable[DataFrame], casts: dict[str, str] | None = None, kind: str = "timestamp",
     date_range: tuple | None = None, dedup_keys: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All measurements, sorted by the first time column there is (if any)."""
+    """All measurements, sorted by the first time column there is (if any).
+
+    The frames should be scans (see ``spread_sort``).
+    """
     merged = union_all(frames, casts)
     column = first_existing(merged, SORT_PREFERENCE)
     if column is None:
