@@ -14,6 +14,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -31,6 +32,7 @@ def main(names: list[str]) -> None:
         "spark.driver.memory": "16g",
     })
     spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="curbair-bench-"))
 
     def run(name: str) -> float:
         start = time.perf_counter()

@@ -6,30 +6,21 @@ that can be read off before it is broadcast.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``.
+    """The session's ``spark.checkpoint.dir``, or else its context's checkpoint folder.
 
-    Where it is unset, local mode gets a folder of its own (tests); on a cluster
-    that is an error, since a machine's own folder is not visible to the others.
+    Neither being set is an error: a machine's own folder is not visible to the
+    others, so the library never picks one itself.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = context.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="curbair-")
-    return _LOCAL_FOLDERS[app]
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -41,3 +32,17 @@ def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of staged tables that nothing will read any more."""
+    for table in tables:
+        spark = table.sparkSession
+        below = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+        root = below.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        inside = root.makeQualified(below).toUri().getPath().rstrip("/") + "/"
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            if not path.toUri().getPath().startswith(inside):
+                raise ValueError(f"not a staged table: {folder}")
+            root.delete(path, True)

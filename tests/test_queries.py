@@ -9,9 +9,9 @@ import pytest
 from conftest import DATA, plan_of
 
 import __spark_entry__ as contract
+from curbair.queries import ORACLE, QUERIES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="given tables absent")
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
