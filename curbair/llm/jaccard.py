@@ -14,8 +14,8 @@ shingles, and runs in these steps:
    each group first tests the one partner it shares most prefix shingles with (a star,
    not all pairs); this repeats with other partners while it pays.
 4. What then still lies in different components is paired exhaustively: sizes,
-   positions and shared prefix shingles filter the pairs of groups, each pair comes up
-   at its first shared shingle alone, and survivors are expanded to members and verified.
+   the positions of the shared shingle filter the pairs of groups, and survivors are
+   expanded to members and verified.
 
 Sets are verified as sorted arrays in Arrow batches. No group is ever held whole.
 """
@@ -36,8 +36,12 @@ from curbair.operators.joins import fits_broadcast, lookup_join
 from curbair.sources.staging import discard, staged
 
 #: log2 of the sketch's counters; a byte each when broadcast.
-SKETCH_BITS = 22
+SKETCH_BITS = 24
 _BLOCK = 1 << 16
+#: Bytes of text, and of sets to verify, that a task holds as objects.
+TEXT_BYTES = 1 << 20
+#: A side of a join up to this size is broadcast.
+SMALL_BYTES = 8 << 20
 #: A shingle the sketch counts this often above the mean is met by a split join.
 HOT_ROWS = 5000
 
@@ -91,14 +95,14 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 class _Sketch:
-    """Counts by the upper bits of a hash, sent on as compressed blocks."""
+    """Counts by the upper bits of a hash, up to 255, sent on as compressed blocks."""
 
     def __init__(self, bits: int):
-        self.shift, self.counts = np.uint64(64 - bits), np.zeros(1 << bits, np.uint32)
+        self.shift, self.counts = np.uint64(64 - bits), np.zeros(1 << bits, np.uint8)
 
-    def add(self, hashes: np.ndarray) -> None:
-        # the hashes of a set are sorted; a bucket that two of them share counts once too often or not
-        np.add.at(self.counts, (hashes >> self.shift).astype(np.int64), np.uint32(1))
+    def add(self, sets: list[np.ndarray]) -> None:
+        buckets, times = np.unique((np.concatenate(sets) >> self.shift).astype(np.int64), return_counts=True)
+        self.counts[buckets] = np.minimum(self.counts[buckets] + times, 255)
 
     def blocks(self) -> Iterator[tuple[int, bytes]]:
         for i in range(0, len(self.counts), _BLOCK):
@@ -107,26 +111,33 @@ class _Sketch:
                 yield i // _BLOCK, zlib.compress(block.tobytes(), 1)
 
 
-_FIRST = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("sig", pa.binary()), ("block", pa.int32())])
+_FIRST = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("sig", pa.binary()), ("mark", pa.int64()),
+                    ("block", pa.int32())])
+
+
+def _signature(hashes: np.ndarray) -> bytes:
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
+def _mark(sig: bytes) -> int:
+    """Half a signature: enough to tell texts under one id apart."""
+    return int.from_bytes(sig[:8], "little", signed=True)
 
 
 def _first_pass(words: int, bits: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = _Sketch(bits)
-        for part in slices(batches, "text"):
-            sizes, signs = [], []
-            for text in part.column("text").to_pylist():
-                hashes = shingle_hashes(text, words)
-                sizes.append(len(hashes))
-                signs.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-                sketch.add(hashes)
+        for part in slices(batches, "text", TEXT_BYTES):
+            sets = [shingle_hashes(text, words) for text in part.column("text").to_pylist()]
+            signs = [_signature(hashes) for hashes in sets]
+            sketch.add(sets)
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(sizes, pa.int32()), pa.array(signs, pa.binary()),
-                 pa.nulls(len(sizes), pa.int32())], schema=_FIRST)
+                [part.column("id"), pa.array([len(h) for h in sets], pa.int32()), pa.array(signs, pa.binary()),
+                 pa.array(map(_mark, signs), pa.int64()), pa.nulls(len(sets), pa.int32())], schema=_FIRST)
         for block, data in sketch.blocks():
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([data], pa.binary()),
-                 pa.array([block], pa.int32())], schema=_FIRST)
+                 pa.nulls(1, pa.int64()), pa.array([block], pa.int32())], schema=_FIRST)
 
     return run
 
@@ -150,26 +161,30 @@ def _add_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if block is not None:
                     yield done()
                 block, total = number, np.zeros(_BLOCK, np.int64)
-            counts = np.frombuffer(zlib.decompress(data), np.uint32)
+            counts = np.frombuffer(zlib.decompress(data), np.uint8)
             total[: len(counts)] += counts
     if block is not None:
         yield done()
 
 
-_PREFIX = pa.schema([("cid", pa.int64()), ("n", pa.int32()), ("mark", pa.int64()),
+def _sets_of(part: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Class and set of each text; other texts under the same id are left out."""
+    for cid, mark, text in zip(*(part.column(c).to_pylist() for c in ("cid", "mark", "text")), strict=True):
+        hashes = shingle_hashes(text, words)
+        if _mark(_signature(hashes)) == mark:
+            yield cid, hashes
+
+
+_PREFIX = pa.schema([("cid", pa.int64()), ("n", pa.int32()), ("head", pa.int64()),
                      ("prefix", pa.list_(pa.int64())), ("hot", pa.list_(pa.bool_()))])
 
 
 def _prefix_pass(words: int, percent: int, heat, bits: int, hot: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heats, shift = np.frombuffer(heat.value, np.uint8), np.uint64(64 - bits)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_BYTES):
             out: list[list] = [[], [], [], [], []]
-            for cid, sig, text in zip(part.column("cid").to_pylist(), part.column("sig").to_pylist(),
-                                      part.column("text").to_pylist(), strict=True):
-                hashes = shingle_hashes(text, words)
-                if hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() != sig:
-                    continue  # another text under the same id
+            for cid, hashes in _sets_of(part, words):
                 heat_of = heats[(hashes >> shift).astype(np.int64)]
                 first = np.lexsort((hashes, heat_of))[: prefix_length(len(hashes), percent)]
                 prefix = hashes[first].view(np.int64)
@@ -189,15 +204,11 @@ _SETS = pa.schema([("cid", pa.int64()), ("hashes", pa.binary())])
 
 def _set_pass(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            ids, sets = [], []
-            for cid, sig, text in zip(part.column("cid").to_pylist(), part.column("sig").to_pylist(),
-                                      part.column("text").to_pylist(), strict=True):
-                data = shingle_hashes(text, words).tobytes()
-                if hashlib.blake2b(data, digest_size=16).digest() == sig:
-                    ids.append(cid)
-                    sets.append(data)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], schema=_SETS)
+        for part in slices(batches, "text", TEXT_BYTES):
+            found = list(_sets_of(part, words))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c for c, _ in found], pa.int64()),
+                 pa.array([h.tobytes() for _, h in found], pa.binary())], schema=_SETS)
 
     return run
 
@@ -208,7 +219,7 @@ _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 def _verify(percent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_data = None, None
-        for part in slices(batches, "x"):
+        for part in slices(batches, "x", TEXT_BYTES):
             a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
             xs, ys = part.column("x"), part.column("y")
             keep = []
@@ -229,7 +240,7 @@ def _verify(percent: int):
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
-    side = F.broadcast(pairs) if fits_broadcast(pairs) else pairs
+    side = _small(pairs)
     left = sets.join(side, sets.cid == side.a).select("a", "b", F.col("hashes").alias("x"))
     right = sets.join(
         _small(pairs.select("b").distinct()), F.col("cid") == F.col("b"), "left_semi"
@@ -239,7 +250,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df) else df
+    return F.broadcast(df) if fits_broadcast(df, SMALL_BYTES) else df
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
@@ -270,19 +281,18 @@ def near_duplicates(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    first = staged(rows.mapInArrow(_first_pass(words, sketch_bits), "id long, n int, sig binary, block int"), "signs")
+    first = staged(rows.mapInArrow(_first_pass(words, sketch_bits), "id long, n int, sig binary, mark long, block int"), "signs")
     signs = first.filter("block is null")
     classes = staged(
-        signs.filter("n > 0").groupBy("sig", "n").agg(F.min("id").alias("first"))
+        signs.filter("n > 0").groupBy("sig").agg(F.min("id").alias("first"), F.first("mark").alias("mark"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     heat, mean = _heat(spark, first.filter("block is not null"), sketch_bits)
-    wanted = classes.select(F.col("first").alias("id"), "cid", "sig")
-    one_each = _texts_of(rows, wanted)
+    one_each = _texts_of(rows, classes)
     hot = int(np.floor(2 * np.log2(mean + HOT_ROWS)))
     heads = staged(one_each.mapInArrow(
         _prefix_pass(words, percent, heat, sketch_bits, hot),
-        "cid long, n int, mark long, prefix array<long>, hot array<boolean>"), "prefixes")
+        "cid long, n int, head long, prefix array<long>, hot array<boolean>"), "prefixes")
     links = _links(rows, classes, heads, words, percent, rounds)
     roots = connected_components(links)
 
@@ -348,54 +358,60 @@ def _heat(spark: SparkSession, blocks: DataFrame, bits: int):
     return spark.sparkContext.broadcast(heat.tobytes()), total / len(heat)
 
 
-def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Texts of the documents that stand for a class, with ``cid`` and ``sig``."""
-    return lookup_join(rows, wanted, ["id"], how="inner", null_safe=True).select("cid", "sig", "text")
+def _texts_of(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Texts of the documents that stand for a class, with ``cid`` and ``mark``.
+
+    Only the smallest id of a class can be NULL, if all are; it goes by a number of its
+    own, and the mark tells its text from any other."""
+    key = F.coalesce(F.col("id"), F.lit(-(1 << 63)))
+    wanted = classes.select(F.col("first").alias("id"), "cid", "mark").withColumn("id", key)
+    return lookup_join(rows.withColumn("id", key), wanted, ["id"], how="inner").select("cid", "mark", "text")
 
 
 def _links(rows, classes, heads, words: int, percent: int, rounds: int) -> DataFrame:
     """Links between classes: enough of them to connect all that are linked."""
     spark = rows.sparkSession
-    groups = staged(heads.groupBy("mark", "n").agg(
+    groups = staged(heads.groupBy("head", "n").agg(
         F.min("cid").alias("gid"), F.count(F.lit(1)).alias("members")), "groups")
-    # distinct prefixes with one mark would only cost work: members are verified anyway
-    members = staged(heads.select("cid", "mark", "n").join(
-        groups.filter("members > 1"), ["mark", "n"]).select("gid", "cid"), "members")
+    # distinct prefixes with one hash would only cost work: members are verified anyway
+    members = staged(heads.select("cid", "head", "n").join(
+        groups.filter("members > 1"), ["head", "n"]).select("gid", "cid"), "members")
 
-    met = staged(_met(heads, groups), "met")
+    met = staged(_met(heads, groups, percent), "met")
     involved = met.select(F.col("gid").alias("cid")).unionByName(members.select("cid")).distinct()
-    sets = staged(_texts_of(rows, classes.join(involved, "cid").select(F.col("first").alias("id"), "cid", "sig"))
+    sets = staged(_texts_of(rows, classes.join(involved, "cid"))
                   .mapInArrow(_set_pass(words), "cid long, hashes binary"), "sets")
 
     inside = members.filter("cid != gid").select(F.col("cid").alias("a"), F.col("gid").alias("b"))
     tested = staged(inside.unionByName(_star(met, None, None, 0, percent)).distinct(), "tested")
     links = staged(_linked(tested, sets, percent), "links")
-    for turn in range(1, rounds + 1):
+    for turn in range(1, rounds + 2):
         labels = connected_components(links)
         open_rows, pairs = _open_rows(met, members, labels)
-        if pairs <= 4 * max(1, open_rows.count()):
+        if turn > rounds or pairs <= 4 * open_rows.count():
             break
         stars = staged(_star(open_rows, "label", tested, turn, percent), "stars")
         more = staged(_linked(stars, sets, percent), "links")
-        found = more.count()
         tested = staged(tested.unionByName(stars), "tested")
         links = staged(links.unionByName(more), "links")
-        if found * 50 < max(1, stars.count()):
-            break
-    labels = connected_components(links)
-    open_rows, _ = _open_rows(met, members, labels)
-    rest = staged(_rest(open_rows, heads, members, labels, tested, percent), "rest")
+        if more.count() * 50 < stars.count():
+            rounds = turn  # hardly any pair links now: the rest is for the exhaustive step
+    rest = staged(_rest(open_rows, members, labels, tested, percent), "rest")
     return links.unionByName(_linked(rest, sets, percent))
 
 
-def _met(heads: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows (token, gid, n, pos) of prefix shingles that at least two groups have."""
+def _met(heads: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Rows (token, gid, n, pos) of prefix shingles that at least two groups have, left
+    out where no other group's size fits."""
     leaders = heads.join(_small(groups.select(F.col("gid").alias("cid"))), "cid", "left_semi")
     rows = leaders.select(
         F.col("cid").alias("gid"), "n", F.posexplode(F.arrays_zip("prefix", "hot")).alias("pos", "item")
     ).select(F.col("item.prefix").alias("token"), "gid", "n", "pos", F.col("item.hot").alias("hot"))
-    cool = rows.filter("not hot").withColumn(
-        "groups", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("groups > 1")
+    # in the order of sizes only a neighbour can be the nearest: without one that fits, none does
+    by_size = Window.partitionBy("token").orderBy("n")
+    fits = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (
+        100 * F.col("n") >= percent * F.lead("n").over(by_size))
+    cool = rows.filter("not hot").withColumn("fits", F.coalesce(fits, F.lit(False))).filter("fits")
     hot = rows.filter("hot")
     shared = hot.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).filter("groups > 1")
     columns = ["token", "gid", "n", "pos"]
@@ -405,11 +421,12 @@ def _met(heads: DataFrame, groups: DataFrame) -> DataFrame:
 def _star(met: DataFrame, label: str | None, tested: DataFrame | None, turn: int, percent: int) -> DataFrame:
     """For each group the one untested partner it shares most prefix shingles with.
 
-    A shingle offers one partner per size band, a different one each turn.
+    A shingle offers one partner per size band: first the group with the fewest rarer
+    shingles, which is the nearest to what its like share, then others turn by turn.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)))
     rows = met.withColumn("band", band)
-    order = F.struct((F.xxhash64("gid", F.lit(turn)) if turn else F.col("gid")).alias("draw"), "gid", "n",
+    order = F.struct((F.xxhash64("gid", F.lit(turn)) if turn else F.col("pos")).alias("draw"), "gid", "n",
                      *([F.col(label)] if label else []))
     offered = rows.groupBy("token", "band").agg(F.min(order).alias("o")).select(
         "token", "band", F.col("o.gid").alias("b"), F.col("o.n").alias("nb"),
@@ -441,22 +458,19 @@ def _open_rows(met: DataFrame, members: DataFrame, labels: DataFrame) -> tuple[D
     return staged(rows.join(_small(still.select("token")), "token", "left_semi"), "open-rows"), int(pairs)
 
 
-def _rest(open_rows, heads, members, labels, tested, percent: int) -> DataFrame:
+def _rest(open_rows, members, labels, tested, percent: int) -> DataFrame:
     """All pairs of classes in different components that pass the filters and are untested."""
-    side = open_rows.join(heads.select(F.col("cid").alias("gid"), "prefix"), "gid")
-    left = side.select("token", *[F.col(c).alias(f"{c}_a") for c in ("gid", "n", "pos", "label", "prefix")])
-    right = side.select("token", *[F.col(c).alias(f"{c}_b") for c in ("gid", "n", "pos", "label", "prefix")])
+    columns = ("gid", "n", "pos", "label")
+    left = open_rows.select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = open_rows.select(F.col("token").alias("other"), *[F.col(c).alias(f"{c}_b") for c in columns])
     least = F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
-    ahead = F.arrays_overlap(F.slice("prefix_a", F.lit(1), F.col("pos_a")), F.slice("prefix_b", F.lit(1), F.col("pos_b")))
-    after = F.greatest(F.col("n_a") - F.size("prefix_a"), F.col("n_b") - F.size("prefix_b"))
-    met = left.join(right, "token").filter(
-        (F.col("gid_a") < F.col("gid_b"))
-        & ~F.coalesce(F.col("label_a") == F.col("label_b"), F.lit(False))
-        & _sizes_fit("n_a", "n_b", percent)
-        & (F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= least)
-        & ~ahead
-        & (F.size(F.array_intersect("prefix_a", "prefix_b")) + after >= least)
-    ).select(F.col("gid_a").alias("ga"), F.col("gid_b").alias("gb"))
+    # at its first shared shingle a pair must have enough of both sets ahead; a condition
+    # of the join, so that a frequent shingle does not put out all pairs of its groups
+    met = left.join(right, (F.col("token") == F.col("other")) & (F.col("gid_a") < F.col("gid_b"))
+                    & ~F.coalesce(F.col("label_a") == F.col("label_b"), F.lit(False))
+                    & _sizes_fit("n_a", "n_b", percent)
+                    & (F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= least)
+                    ).select(F.col("gid_a").alias("ga"), F.col("gid_b").alias("gb")).distinct()
     # groups stand for their members; within one, members of different components meet too
     within = members.select("gid").distinct().select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
     everyone = members.unionByName(
