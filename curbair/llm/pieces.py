@@ -160,21 +160,22 @@ class PieceModel:
                 end = start[end]
             yield out[::-1]
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of sorted distinct words."""
-        out = []
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of sorted distinct words, and their number per word."""
+        ids: list[int] = []
+        ends = []
         for parts in self.segment(words):
-            ids: list[int] = []
+            first = len(ids)
             for part in parts:
                 known = self.ids.get(part)
                 if known is not None:
                     ids.append(known)
                 elif self._fallback:
                     ids.extend(self._bytes[list(part.encode("utf-8", "surrogatepass"))].tolist())
-                elif not ids or ids[-1] != self._unknown:
+                elif len(ids) == first or ids[-1] != self._unknown:
                     ids.append(self._unknown)
-            out.append(np.array(ids, np.uint32))
-        return out
+            ends.append(len(ids))
+        return np.array(ids, np.uint32), np.diff(ends, prepend=0)
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of a sequence of ids; the blank put in front on encoding goes."""

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from curbair.llm.common import slices
 from curbair.llm.files import get, put, task_name
-from curbair.llm.words import WordTable, cut_at_blanks
+from curbair.llm.words import WordTable, cut_words
 from curbair.sources.staging import fresh_path, staged
 
 MAGIC = b"CBTOKEF1"
@@ -137,21 +137,19 @@ class TokenFile:
         return self.ids[slice(*self.span(i))]
 
 
-def library_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
+def library_encoder(path: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
     """Ids of words by the tokenizers library, many to a call, told apart by offsets."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
 
-    def encode(words: list[str]) -> list[np.ndarray]:
-        starts, at = [], 0
-        for w in words:
-            starts.append(at)
-            at += len(w) + 1
-        got = tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(got.ids, np.uint32)
-        where = np.searchsorted(starts, np.array([o[0] for o in got.offsets], np.int64), side="right") - 1
-        return np.split(ids, np.searchsorted(where, np.arange(1, len(words))))
+    def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        text = b" ".join(words).decode("utf-8", "surrogatepass")
+        blank = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) == 32
+        got = tokenizer.encode(text, add_special_tokens=False)
+        # the word a token is of: the number of blanks before its first character
+        word = np.cumsum(blank)[[first for first, _ in got.offsets]] if len(got) else np.empty(0, np.int64)
+        return np.array(got.ids, np.uint32), np.bincount(word, minlength=len(words))
 
     return encode
 
@@ -176,7 +174,7 @@ def _write(folder: str, tokenizer: str, end_id: int, file_ids: int):
                 [{"part": part, "number": number, "uri": uri, "documents": len(names), "tokens": held}], _MANIFEST)
 
         for batch in slices(batches, "text"):
-            flat, counts = table.ids([cut_at_blanks(t) for t in batch.column("text").to_pylist()])
+            flat, counts = table.ids(cut_words(batch.column("text").to_pylist()))
             ends = np.cumsum(counts)
             flat, counts = np.insert(flat, ends, end_id), counts + 1
             ends = np.cumsum(counts)
