@@ -407,11 +407,19 @@ def _met(heads: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     rows = leaders.select(
         F.col("cid").alias("gid"), "n", F.posexplode(F.arrays_zip("prefix", "hot")).alias("pos", "item")
     ).select(F.col("item.prefix").alias("token"), "gid", "n", "pos", F.col("item.hot").alias("hot"))
-    # in the order of sizes only a neighbour can be the nearest: without one that fits, none does
-    by_size = Window.partitionBy("token").orderBy("n")
-    fits = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (
-        100 * F.col("n") >= percent * F.lead("n").over(by_size))
-    cool = rows.filter("not hot").withColumn("fits", F.coalesce(fits, F.lit(False))).filter("fits")
+    # in the order of sizes only a neighbour can be the nearest: without one that fits,
+    # none does; of just two groups the positions tell as well
+    token = Window.partitionBy("token")
+    by_size = token.orderBy("n")
+
+    def fits(other) -> Column:
+        n, pos = other("n").over(by_size), other("pos").over(by_size)
+        near = 100 * F.least("n", n) >= percent * F.greatest("n", n)
+        least = F.ceil(F.lit(percent) * (F.col("n") + n) / F.lit(100 + percent))
+        ahead = F.least(F.col("n") - F.col("pos"), n - pos) >= least
+        return F.coalesce(near & (ahead | (F.count(F.lit(1)).over(token) > 2)) & n.isNotNull(), F.lit(False))
+
+    cool = rows.filter("not hot").withColumn("fits", fits(F.lag) | fits(F.lead)).filter("fits")
     hot = rows.filter("hot")
     shared = hot.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).filter("groups > 1")
     columns = ["token", "gid", "n", "pos"]
