@@ -378,6 +378,7 @@ def _links(rows, classes, heads, words: int, percent: int, rounds: int) -> DataF
         groups.filter("members > 1"), ["head", "n"]).select("gid", "cid"), "members")
 
     met = staged(_met(heads, groups, percent), "met")
+    discard(heads)
     involved = met.select(F.col("gid").alias("cid")).unionByName(members.select("cid")).distinct()
     sets = staged(_texts_of(rows, classes.join(involved, "cid"))
                   .mapInArrow(_set_pass(words), "cid long, hashes binary"), "sets")

@@ -27,8 +27,9 @@ from curbair.llm.words import WordTable
 MARK = "▁"
 #: Added to the lowest score for a character the model does not know.
 UNKNOWN_PENALTY = 10.0
-#: Pairs of pieces whose standing a task remembers.
-PAIRS = 1_000_000
+#: Pairs of pieces whose standing a task remembers, words it does, and bytes of text
+#: that it holds as words.
+PAIRS, REMEMBERED, TEXT_BYTES = 300_000, 250_000, 1 << 20
 
 
 class PieceModel:
@@ -186,8 +187,8 @@ class PieceModel:
 def _encoded(path: str, batches: Iterable[pa.RecordBatch], text_col: str):
     """(rows, texts, ids of all, bounds of each, model) slice by slice."""
     model = PieceModel(path)
-    table = WordTable(model.encode_words)
-    for part in slices(batches, text_col):
+    table = WordTable(model.encode_words, REMEMBERED)
+    for part in slices(batches, text_col, TEXT_BYTES):
         texts = [model.normal(t) for t in part.column(text_col).to_pylist()]
         flat, counts = table.ids([model.words(t) for t in texts])
         yield part, texts, flat, np.concatenate([[0], np.cumsum(counts)]), model

@@ -58,7 +58,7 @@ def _matrix(column: pa.ListArray, dim: int) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.asarray(column.value_lengths().to_numpy(zero_copy_only=False))
     at = np.flatnonzero(lengths == dim)
     values = column.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
-    return at, values.reshape(-1, dim)
+    return at, values.reshape(len(at), dim)
 
 
 def _pivot_distances(pivots):
@@ -67,7 +67,7 @@ def _pivot_distances(pivots):
             table = [None] * batch.num_rows
             for dim, points in pivots.value.items():
                 at, x = _matrix(batch.column("x"), dim)
-                if len(x) and np.abs(x).max() > LARGEST:
+                if x.size and np.abs(x).max() > LARGEST:
                     raise ValueError(f"components beyond {LARGEST} have no exact 64-bit score")
                 away = np.sqrt(np.maximum(((x[:, None, :] - points[None]) ** 2.0).sum(axis=2), 0))
                 for i, row in zip(at.tolist(), away, strict=True):

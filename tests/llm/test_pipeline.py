@@ -43,7 +43,7 @@ def test_stages_follow_their_operators(spark):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["language_id", "near_duplicates", "secret_scan", "target_mixture", "sentencepiece"]
 
-    kept = corpus_pipeline.language(spark, docs, DATA).localCheckpoint() if False else corpus_pipeline.language(spark, docs, DATA)
+    kept = corpus_pipeline.language(spark, docs, DATA)
     known = langid.identify(docs, docs.filter(~langid.held_out())).filter(
         f"lang_pred != 'und' and score >= {corpus_pipeline.LEAST_SCORE}")
     assert kept.columns == docs.columns and ids(kept) == ids(known) and len(ids(kept)) >= 0.99 * (docs.count() - 3)
