@@ -161,13 +161,13 @@ def upper_cut(
 
 
 def hotspots(
-    cells: DataFrame, share: float, top: int, by: Sequence[str] = ("parameter",),
+    cells: DataFrame, share: float, top: int | None = None, by: Sequence[str] = ("parameter",),
     x: str = "trips", y: str = "value_mean", order: Sequence[str] = (),
 ) -> DataFrame:
     """Cells whose demand and pollution both rank in the upper part of their group.
 
-    Both percent ranks must reach ``share``; the ``top`` cells by pollution, then
-    demand, then ``order`` are reported.
+    Both percent ranks must reach ``share``. All such cells are returned, or a report
+    of the ``top`` ones by pollution, then demand, then ``order``.
     """
     cells = staged(cells, "cells")
     measures = F.array(*[
@@ -183,6 +183,7 @@ def hotspots(
     for m in (x, y):
         cut = F.col(f"__cut_{m}")
         kept = kept.filter(F.col(m).isNotNull() & (cut.isNull() | (F.col(m) > cut)))
-    return kept.select(*cells.columns).orderBy(
-        F.col(y).desc(), F.col(x).desc(), *[F.col(c) for c in order]
-    ).limit(top)
+    kept = kept.select(*cells.columns)
+    if top is None:
+        return kept
+    return kept.orderBy(F.col(y).desc(), F.col(x).desc(), *[F.col(c) for c in order]).limit(top)

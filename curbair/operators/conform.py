@@ -18,16 +18,19 @@ class ConformError(ValueError):
 
 
 def lenient_cast(column: Column, source: T.DataType, target: str) -> Column:
-    """``column`` as ``target``; text that does not convert becomes NULL.
+    """``column`` as ``target``; what does not convert becomes NULL.
 
-    A column already of the target type stays a bare reference, which keeps
-    predicates on it pushable into the scan.
+    Integers may be written as decimals (``161.0``), which is how columns with gaps
+    are often saved. A column already of the target type stays a bare reference, which
+    keeps predicates on it pushable into the scan.
     """
     if source.simpleString() == target:
         return column
     if target in ("timestamp", "timestamp_ntz"):
         return as_time(column, source, target)
-    if isinstance(source, T.StringType):
+    if isinstance(source, T.StringType) and target in ("int", "bigint"):
+        return F.coalesce(column.try_cast(target), column.try_cast("double").try_cast(target))
+    if isinstance(source, (T.StringType, T.FractionalType)):
         return column.try_cast(target)
     return column.cast(target)
 

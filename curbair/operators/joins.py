@@ -88,6 +88,9 @@ def lookup_join(
         raise ValueError(f"unsupported join: {how}")
     keys = list(keys)
     extra = [] if "_" in how else [c for c in lookup.columns if c not in keys]
+    shared = sorted(set(extra) & set(fact.columns))
+    if shared:
+        raise ValueError(f"both sides have {shared}: rename or drop them on one side")
     side = _prefixed(lookup.select(*keys, *extra), keys)
 
     def meet(rows: DataFrame, other: DataFrame) -> DataFrame:
@@ -113,20 +116,25 @@ def lookup_join(
     )
 
 
+def unknown_ids(fact: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Every listed id that no row of ``fact`` has."""
+    return ids.select(key).distinct().join(fact.select(key).distinct(), key, "left_anti")
+
+
 def known_ids(
-    fact: DataFrame, ids: DataFrame, key: str, require_known: bool = False
+    fact: DataFrame, ids: DataFrame, key: str, require_known: bool = True
 ) -> DataFrame:
     """Rows whose ``key`` is listed in ``ids``.
 
-    With ``require_known`` a listed id without any row raises, as a request for
-    an unknown station does.
+    A listed id without any row raises, as a request for an unknown station does,
+    with the number of such ids; ``unknown_ids`` lists them all.
     """
     listed = staged(ids.select(key).distinct(), "listed-ids")
     if require_known:
-        unknown = listed.join(fact.select(key).distinct(), key, "left_anti")
-        missing = [r[0] for r in unknown.limit(5).collect()]
-        if missing:
-            raise LookupError(f"unknown {key}: {missing}")
+        unknown = staged(unknown_ids(fact, listed, key), "unknown-ids")
+        count = unknown.count()
+        if count:
+            raise LookupError(f"{count} unknown {key}, {unknown.first()[0]!r} among them")
     return lookup_join(fact, listed, [key], how="left_semi")
 
 

@@ -6,6 +6,7 @@ Every function takes a table of requests, so one call plans any number of them.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
@@ -83,15 +84,22 @@ def uncovered_ranges(
     """Day ranges of the periods that no covered range holds (all half-open).
 
     ``keys`` name a period. Runs of days are found within one period, so a window
-    never sees more days than a period has.
+    never sees more days than a period has. A day counts as wanted if a period holds
+    any of it, and as covered only if one covered range holds all of it.
     """
 
-    def days(df: DataFrame) -> Column:
-        last = F.date_sub(F.col(end).cast("date"), 1)
-        return F.explode(F.sequence(F.col(start).cast("date"), last))
-
-    wanted = periods.select(*keys, days(periods).alias("day"))
-    taken = staged(covered.select(days(covered).alias("day")).distinct(), "covered-days")
+    def days(df: DataFrame, whole: bool) -> Column:
+        first, last = F.col(start).cast("date"), F.date_sub(F.col(end).cast("date"), 1)
+        if whole:
+            part = F.col(start) > first.cast(df.schema[start].dataType)
+            first = F.when(part, F.date_add(first, 1)).otherwise(first)
+        else:
+            part = F.col(end) > F.col(end).cast("date").cast(df.schema[end].dataType)
+            last = F.when(part, F.date_add(last, 1)).otherwise(last)
+        return F.explode(F.when(first <= last, F.sequence(first, last, F.expr("interval 1 day"))))
+
+    wanted = periods.select(*keys, days(periods, whole=False).alias("day"))
+    taken = staged(covered.select(days(covered, whole=True).alias("day")).distinct(), "covered-days")
     open_days = lookup_join(wanted, taken, ["day"], how="left_anti")
     order = Window.partitionBy(*keys).orderBy("day")
     runs = open_days.withColumn("__run", F.date_sub("day", F.row_number().over(order)))
@@ -104,10 +112,15 @@ def hourly_spine(hourly: DataFrame, keys: Sequence[str], hour: str = "datetime_h
     """Every hour between a series' first and last, with the series' own columns.
 
     Hours without a row appear with NULL measures. Rows without an hour have no
-    place on the spine and are left out.
+    place on the spine and are left out. A NULL key names a series like any other.
+    The input is read once: the extent and the join use a staged copy.
     """
-    known = hourly.filter(F.col(hour).isNotNull())
+    known = staged(hourly.filter(F.col(hour).isNotNull()), "series")
     extent = known.groupBy(*keys).agg(F.min(hour).alias("__low"), F.max(hour).alias("__high"))
     every = F.sequence("__low", "__high", F.expr("interval 1 hour"))
     spine = extent.select(*keys, F.explode(every).alias(hour))
-    return spine.join(known, [*keys, hour], "left")
+    names = [*keys, hour]
+    measures = [c for c in known.columns if c not in names]
+    side = known.select(*[F.col(c).alias(f"__on_{c}") for c in names], *measures)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__on_{c}")) for c in names])
+    return spine.join(side, same, "left").select(*names, *measures)

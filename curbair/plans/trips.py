@@ -42,7 +42,9 @@ def _shape_groups(
     """Files grouped by shape, each group with its way of scanning some of them."""
     csv = [p for p in paths if p.lower().endswith(".csv")]
     parquet = [p for p in paths if not p.lower().endswith(".csv")]
-    numbers = {c: t for c, t in spec.columns.items() if t != "timestamp_ntz"}
+    # integers may be written as decimals: the cast to the declared type comes later
+    numbers = {c: "double" if t in ("int", "bigint") else t
+               for c, t in spec.columns.items() if t != "timestamp_ntz"}
 
     def csv_scan(header: tuple[str, ...]) -> Scan:
         schema = ", ".join(f"`{c}` {numbers.get(c, 'string')}" for c in header)
@@ -136,7 +138,8 @@ def cleaned_frames(spark: SparkSession, folder: str, spec: TripSpec, fmt: str =
     base = f"{folder}/{spec.taxi_type}"
     if fmt == "parquet":
         schema = ", ".join(f"{c} {t}" for c, t in spec.columns.items())
-        return [spark.read.schema(schema).parquet(base)]
+        # the folder's source_file level is not part of the cleaned form
+        return [spark.read.schema(schema).parquet(base).select(*spec.columns)]
     folders = files.folders_of(files.list_files(spark, base, "*.csv", recursive=True))
     frames = files.scan_csv_sets(spark, folders)
     numbers = {c: t for c, t in spec.columns.items() if t != "timestamp_ntz"}

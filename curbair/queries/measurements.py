@@ -206,7 +206,7 @@ def filter_id_list(spark: SparkSession, folder: str) -> DataFrame:
     flat = flat_measurements(spark, folder).drop("unit")
     listed = ops.filter_values(stations(spark, folder), timezone="BUILDING")
     wanted = ops.filter_values(flat, parameter=["purchase", "signup"])
-    return known_ids(wanted, listed, "location_id")
+    return known_ids(wanted, listed, "location_id", require_known=False)
 
 
 @query("SELECT * FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'F'")

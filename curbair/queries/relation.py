@@ -103,10 +103,8 @@ def moving_avg_24h(spark: SparkSession, folder: str) -> DataFrame:
       FROM cells)
     SELECT datetime_hour, parameter, trips, round(value_mean, 6) AS value_mean
     FROM ranked WHERE by_trips >= 0.8 AND by_air >= 0.8
-    ORDER BY ranked.value_mean DESC, trips DESC, datetime_hour, parameter LIMIT 50
 """)
 def hotspots(spark: SparkSession, folder: str) -> DataFrame:
-    """The top-50 report of hours high in both demand and pollution."""
+    """All hours high in both demand and pollution."""
     cells = ops.demand_air(demand(spark, folder), air(spark, folder).drop("value_max"))
-    found = ops.hotspots(cells, 0.8, 50, order=("datetime_hour", "parameter"))
-    return rounded(found, "value_mean")
+    return rounded(ops.hotspots(cells, 0.8), "value_mean")

@@ -63,18 +63,27 @@ def list_files(
 def list_inputs(spark: SparkSession, folder: str, pattern: str = ".*") -> DataFrame:
     """Data sets directly in a folder whose name matches: path, source_file.
 
-    A data set is a file, or a directory of part files named like one.
+    A data set is a file, or a directory of part files named like one. ``folder`` may
+    be written in any form its file system takes, globs included.
     """
     inputs = list_files(spark, folder, recursive=True).select(
         F.regexp_extract("path", _INPUT_PATH, 1).alias("path")
     ).distinct()
-    return inputs.filter(
-        F.regexp_extract("path", r"^(.*)/[^/]+$", 1).endswith(folder.rstrip("/"))
-    ).select("path", _input_name(F.col("path")).alias(SOURCE_FILE)).filter(
+    parent = F.regexp_extract(
+        F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", ""), r"^(.*)/[^/]+$", 1)
+    return inputs.filter(parent.isin(_folder_paths(spark, folder))).select("path", _input_name(F.col("path")).alias(SOURCE_FILE)).filter(
         F.col(SOURCE_FILE).rlike(f"^(?:{pattern})$")
     )
 
 
+def _folder_paths(spark: SparkSession, folder: str) -> list[str]:
+    """The folders a path or glob stands for, as the file system names them."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toUri().getPath().rstrip("/") for status in found or []]
+
+
 def _input_name(path: Column) -> Column:
     return base_name(F.regexp_extract(path, _INPUT_PATH, 1))
 
@@ -96,8 +105,12 @@ def paths_of(listing: DataFrame) -> list[str]:
 
 
 def with_source_file(df: DataFrame) -> DataFrame:
-    """Add the name of the data set each row came from; apply directly on a scan."""
-    return df.withColumn(SOURCE_FILE, _input_name(F.col("_metadata.file_path")))
+    """Add the name of the data set each row came from; apply directly on a scan.
+
+    A scan names its files percent-encoded (a plus stays a plus); listings do not.
+    """
+    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    return df.withColumn(SOURCE_FILE, _input_name(path))
 
 
 def with_taxi_type(df: DataFrame) -> DataFrame:

@@ -94,3 +94,4 @@ def test_hotspots(spark):
     df = spark.createDataFrame(cells, "datetime_hour timestamp_ntz, parameter string, trips int, value_mean double")
     got = relation.hotspots(df, 0.9, 3, order=["datetime_hour"]).collect()
     assert [r.trips for r in got] == [99, 98, 97]
+    assert sorted(r.trips for r in relation.hotspots(df, 0.9).collect()) == [95, 96, 97, 98, 99]

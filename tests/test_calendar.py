@@ -70,6 +70,21 @@ def test_uncovered_ranges(spark):
         ("p", date(2026, 1, 3), date(2026, 1, 5)), ("p", date(2026, 1, 7), date(2026, 1, 11))]
 
 
+def test_part_days_are_wanted_but_do_not_cover(spark):
+    schema = "period_name string, period_start timestamp_ntz, period_end timestamp_ntz"
+    periods = spark.createDataFrame([("p", datetime(2026, 1, 1, 6), datetime(2026, 1, 4, 12))], schema)
+    covered = spark.createDataFrame(
+        [("a", datetime(2026, 1, 1, 0), datetime(2026, 1, 1, 12)), ("b", datetime(2026, 1, 2, 12), datetime(2026, 1, 4))], schema)
+    assert rows(spines.uncovered_ranges(periods, covered)) == [
+        ("p", date(2026, 1, 1), date(2026, 1, 3)), ("p", date(2026, 1, 4), date(2026, 1, 5))]
+
+
+def test_hourly_spine_keeps_values_of_null_keys(spark):
+    df = spark.createDataFrame([(None, datetime(2026, 1, 1, 0), 1.0), (None, datetime(2026, 1, 1, 2), 2.0)],
+                               "k string, datetime_hour timestamp_ntz, v double")
+    assert sorted((r.datetime_hour.hour, r.v) for r in spines.hourly_spine(df, ["k"]).collect()) == [(0, 1.0), (1, None), (2, 2.0)]
+
+
 def test_hourly_spine_fills_gaps(spark):
     df = spark.createDataFrame([("a", datetime(2026, 1, 1, 0), 1.0), ("a", datetime(2026, 1, 1, 3), 2.0),
                                 ("b", datetime(2026, 1, 1, 5), 3.0), ("b", None, 4.0)],

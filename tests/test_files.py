@@ -72,6 +72,17 @@ def test_inputs_are_files_or_directories_of_parts(spark, tmp_path):
     assert files.scan_csv(spark, f"{out}/source_file=a.parquet", "id bigint").count() == 6
 
 
+def test_a_folder_may_be_written_in_any_form(spark, tmp_path):
+    write(tmp_path / "raw" / "a b+c.csv", "x\n1\n")
+    write(tmp_path / "old_raw" / "d.csv", "x\n1\n")
+    raw = str(tmp_path / "raw")
+    forms = [raw, raw + "/", f"file://{raw}", f"{tmp_path}/./raw", f"{tmp_path}/old_raw/../raw", f"{tmp_path}/ra*"]
+    for form in forms:
+        assert rows(files.list_inputs(spark, form), files.SOURCE_FILE) == [("a b+c.csv",)]
+    named = files.with_source_file(files.scan_csv(spark, raw, "x int"))
+    assert rows(named, files.SOURCE_FILE) == [("a b+c.csv",)]
+
+
 def test_parquet_type_drift_and_junk(spark, tmp_path):
     spark.createDataFrame([(1,)], "x bigint").write.parquet(str(tmp_path / "a.parquet"))
     spark.createDataFrame([(2.5,)], "x double").write.parquet(str(tmp_path / "b.parquet"))
@@ -158,6 +169,9 @@ def test_cluster_without_shared_folder_is_refused():
             return default
 
     class Context:
+        def getCheckpointDir(self):
+            return None
+
         master = "yarn"
 
     class Session:

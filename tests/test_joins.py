@@ -89,15 +89,24 @@ def test_measured_bytes(spark):
 def test_known_ids(spark):
     fact, dim = frames(spark, FACT, DIM)
     wanted = dim.filter("k < 3").union(dim.filter("k < 3"))
-    assert joins.known_ids(fact, wanted, "k").count() == 51
-    with pytest.raises(LookupError, match="7"):
-        joins.known_ids(fact, spark.createDataFrame([(7,), (1,)], "k int"), "k", require_known=True)
+    assert joins.known_ids(fact, wanted, "k", require_known=False).count() == 51
+    asked = spark.createDataFrame([(i,) for i in range(1, 20)], "k int")
+    with pytest.raises(LookupError, match="unknown k"):
+        joins.known_ids(fact, asked, "k")
+    known = {r.k for r in fact.select("k").collect()}
+    assert {r.k for r in joins.unknown_ids(fact, asked, "k").collect()} == set(range(1, 20)) - known
+
+
+def test_lookup_join_refuses_shared_columns(spark):
+    fact, dim = frames(spark, FACT, DIM)
+    with pytest.raises(ValueError, match="rename"):
+        joins.lookup_join(fact, dim.withColumn("v", F.lit(1)), ["k"])
 
 
 def test_known_ids_beyond_the_limit(spark, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     fact, dim = frames(spark, FACT, DIM)
-    got = joins.known_ids(fact, dim, "k")
+    got = joins.known_ids(fact, dim, "k", require_known=False)
     assert got.columns == ["k", "v"] and got.count() == 52
 
 
