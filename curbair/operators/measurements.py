@@ -40,15 +40,16 @@ _FLAT_ORDER = [
 ]
 
 
-def flatten_stations(pages: DataFrame) -> DataFrame:
+def flatten_stations(pages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Station -> sensors -> measurements as one row per measurement.
 
-    Stations without sensors and sensors without measurements give no row.
+    Stations without sensors and sensors without measurements give no row. ``carry``
+    names columns of the pages, such as a folder's, that every row keeps.
     """
     # outer, or a test for empty lists would evaluate a computed page a second time;
     # the inner explode below drops what has no measurements
     sensors = pages.select(
-        *station_attributes(pages.schema), F.explode_outer("sensors.measurements").alias("__list")
+        *carry, *station_attributes(pages.schema), F.explode_outer("sensors.measurements").alias("__list")
     )
     rows = sensors.withColumn("__m", F.explode("__list")).drop("__list")
     m = T.StructType([f for f in rows.schema.fields if f.name == "__m"])
@@ -59,7 +60,7 @@ def flatten_stations(pages: DataFrame) -> DataFrame:
         "datetimeUtc": field_or(m, "__m.period.datetimeFrom.utc", F.lit("")),
         "datetimeLocal": field_or(m, "__m.period.datetimeFrom.local", F.lit("")),
     })
-    return flat.select(*_FLAT_ORDER)
+    return flat.select(*_FLAT_ORDER, *carry)
 
 
 def attach_stations(
@@ -69,7 +70,8 @@ def attach_stations(
     return lookup_join(measurements, stations, [key], how=how)
 
 
-def _time_of(df: DataFrame, column: str) -> tuple[Column, T.DataType]:
+def time_of(df: DataFrame, column: str) -> tuple[Column, T.DataType]:
+    """The column as an instant, text parsed leniently, and the instant's type."""
     data_type = df.schema[column].dataType
     if isinstance(data_type, T.StringType):
         return lenient_time(F.col(column), "timestamp"), T.TimestampType()
@@ -86,7 +88,7 @@ def in_range(
     low, high = utc_bound(start), utc_bound(end)
     if low is None or high is None:
         return None
-    time, data_type = _time_of(df, column)
+    time, data_type = time_of(df, column)
     return time.isNull() | (
         (time >= bound_literal(low, data_type)) & (time <= bound_literal(high, data_type))
     )
@@ -104,7 +106,7 @@ def time_range_report(
 ) -> DataFrame:
     """One row: total, filtered_out, kept, and how many times were missing."""
     keep = in_range(df, column, start, end)
-    time, _ = _time_of(df, column)
+    time, _ = time_of(df, column)
     kept = F.lit(True) if keep is None else keep
     return df.agg(
         F.count(F.lit(1)).alias("total"),
@@ -166,7 +168,7 @@ def hourly_rows(
 ) -> DataFrame:
     """(datetime_hour, keys, __value): defaults filled, NaN as NULL, times floored."""
     filled = fill_defaults(df)
-    instant, data_type = _time_of(filled, time)
+    instant, data_type = time_of(filled, time)
     measure = without_nan(F.col(value), filled.schema[value].dataType).cast("double")
     return filled.select(
         floor_hour(instant, data_type).alias("datetime_hour"), *keys, measure.alias("__value")
@@ -194,7 +196,7 @@ def hourly_statistics(
 
 def sensor_extent(df: DataFrame, keys: Sequence[str], time: str = "datetimeUtc") -> DataFrame:
     """First and last measurement time and the number of rows per sensor."""
-    instant, _ = _time_of(df, time)
+    instant, _ = time_of(df, time)
     return df.groupBy(*keys).agg(
         F.min(instant).alias("first_time"),
         F.max(instant).alias("last_time"),

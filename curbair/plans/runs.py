@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date, datetime, time, timedelta
+from datetime import date, datetime, time
 
 from pyspark.sql import SparkSession, functions as F
 
@@ -43,9 +43,10 @@ def run_measurements(
     spark: SparkSession, pages: str, work: str, output: str, start: date, end: date, run_id: str,
     prefix: str = "air_data", fmt: str = "csv",
 ) -> air.OrganisedRun:
-    """Hourly statistics of every two-month period not covered yet, then one organised set.
+    """Hourly statistics of all days not covered yet, then one organised set.
 
-    Landed pages lie in ``<pages>/period=<name>``.
+    Landed pages lie in ``<pages>/period=<name>``, by two-month periods of the request.
+    Requests may overlap: a covered day is neither read again nor replaced.
     """
     request = spark.createDataFrame(
         [(datetime.combine(start, time.min), datetime.combine(end, time.max))],
@@ -56,12 +57,6 @@ def run_measurements(
     covered = log.finished(log.read_manifest(spark, manifest), air.DATASET).select(
         F.col("range_start").alias("period_start"), F.col("range_end").alias("period_end")
     )
-    open_names = uncovered_ranges(periods, covered).select("period_name").distinct()
     hourly = f"{work}/hourly"
-    # one row per two months of the request
-    for period in periods.join(open_names, "period_name", "left_semi").collect():
-        air.land_hourly(
-            spark, f"{pages}/period={period.period_name}", hourly, period.period_name,
-            period.period_start, period.period_end - timedelta(microseconds=1), run_id, manifest,
-        )
-    return air.organise_hourly(spark, air.read_hourly(spark, hourly), output, run_id, prefix, fmt)
+    air.land_ranges(spark, pages, hourly, uncovered_ranges(periods, covered), run_id, manifest)
+    return air.organise_hourly(spark, air.read_hourly(spark, hourly, manifest), output, run_id, prefix, fmt)

@@ -8,12 +8,15 @@ from curbair.functions.values import field_or
 from curbair.operators import impute as imputing, measurements as ops, organise, unions
 from curbair.operators.conform import fill_defaults as fill
 from curbair.operators.joins import known_ids, lookup_join
+from curbair.operators.spines import period_spine, uncovered_ranges
+from curbair.plans.manifest import finished, read_manifest
+from curbair.plans.measurements import DATASET, land_days, read_hourly
 from curbair.queries.registry import query
 from curbair.queries.views import (
     STATIONS, flat_measurements, rounded, stations, table,
 )
 from curbair.schemas import FACT_COLUMNS, STATION_COLUMNS
-from curbair.sources.staging import staged
+from curbair.sources.staging import fresh_path, staged
 
 STATS = """round(avg(value), 6) AS value_mean, min(value) AS value_min,
            max(value) AS value_max, count(value) AS value_count"""
@@ -34,6 +37,24 @@ def hourly_agg(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(hourly(spark, folder), "value_mean")
 
 
+@query(HOURLY)
+def rolling_land(spark: SparkSession, folder: str) -> DataFrame:
+    """Three requests that overlap, landed one after the other: every hour once."""
+    flat = flat_measurements(spark, folder)
+    first, last = flat.agg(F.min("datetimeUtc").cast("date"), F.max("datetimeUtc").cast("date")).first()
+    third = (last - first) // 3
+    out, manifest = fresh_path(spark, "rolling-hours"), fresh_path(spark, "rolling-manifest")
+    for number, (start, end) in enumerate([(first, first + 2 * third), (first + third, last - third // 2), (first, last)]):
+        request = spark.createDataFrame([(start, end)], "since date, until date").select(
+            F.col("since").cast("timestamp_ntz"), (F.col("until").cast("timestamp_ntz") + F.expr(
+                "interval '0 23:59:59.999999' day to second")).alias("until"))
+        covered = finished(read_manifest(spark, manifest), DATASET).select(
+            F.col("range_start").alias("period_start"), F.col("range_end").alias("period_end"))
+        ranges = staged(uncovered_ranges(period_spine(request, "since", "until"), covered), "open-ranges")
+        land_days(flat, out, ranges, f"r{number}", manifest)
+    return rounded(read_hourly(spark, out, manifest), "value_mean")
+
+
 @query(f"""
     SELECT date_trunc('hour', ts) AS datetime_hour, nullif(event_type, 'error') AS parameter,
            nullif(user_id, 8) AS location_id, {STATS}

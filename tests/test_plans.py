@@ -229,6 +229,52 @@ def test_whole_runs(spark, tmp_path):
     assert again["air"].folder.endswith("_r2")
 
 
+def station_page(*times):
+    page = json.loads(json.dumps(PAGES[0]))
+    sensor = next(s for s in page["sensors"] if s["measurements"])
+    like = sensor["measurements"][0]
+    page["sensors"] = [sensor]
+    sensor["measurements"] = []
+    for at in times:
+        one = json.loads(json.dumps(like))
+        one["period"]["datetimeFrom"]["utc"], one["value"] = at, 1.0
+        sensor["measurements"].append(one)
+    return json.dumps(page) + "\n"
+
+
+@pytest.mark.parametrize("requests", [
+    # one period name for both, and different names for the same months
+    [((2026, 1, 1), (2026, 2, 10)), ((2026, 1, 20), (2026, 2, 28))],
+    [((2026, 1, 1), (2026, 1, 31)), ((2026, 1, 20), (2026, 2, 10))],
+])
+def test_overlapping_requests_hold_every_hour_once(spark, tmp_path, requests):
+    at = ["2026-01-03T05:00:00Z", "2026-01-25T05:00:00Z", "2026-02-05T05:00:00Z", "not a time"]
+    for name in ("2026-01_to_2026-01", "2026-01_to_2026-02"):
+        (tmp_path / "pages" / f"period={name}").mkdir(parents=True)
+        (tmp_path / "pages" / f"period={name}" / "1.json").write_text(station_page(*at))
+    work = str(tmp_path / "work")
+    for number, (start, end) in enumerate(requests):
+        run_measurements(spark, str(tmp_path / "pages"), work, str(tmp_path / "out"), date(*start), date(*end), f"r{number}")
+    landed = air.read_hourly(spark, f"{work}/hourly", f"{work}/manifest").filter("datetime_hour is not null")
+    assert rows(landed.select(F.date_format("datetime_hour", "MM-dd").alias("d"), "value_count")) == [
+        ("01-03", 1), ("01-25", 1), ("02-05", 1)]
+    # what a broken run wrote without recording it is not read
+    os.makedirs(f"{work}/hourly/period=x/range=1_2")
+    landed.coalesce(1).write.mode("overwrite").parquet(f"{work}/hourly/period=x/range=a_b")
+    assert air.read_hourly(spark, f"{work}/hourly", f"{work}/manifest").filter("datetime_hour is not null").count() == 3
+
+
+@pytest.mark.parametrize("text", [station_page("2026-01-03T05:00:00Z")[:-20], json.dumps(PAGES[0], indent=1), ""])
+def test_unreadable_or_empty_pages_are_not_done(spark, tmp_path, text):
+    folder = tmp_path / "pages" / "period=2026-01_to_2026-01"
+    folder.mkdir(parents=True)
+    (folder / "1.json").write_text(text)
+    work = str(tmp_path / "work")
+    with pytest.raises(Exception, match="MALFORMED|no measurements"):
+        run_measurements(spark, str(tmp_path / "pages"), work, str(tmp_path / "out"), date(2026, 1, 1), date(2026, 1, 31), "r")
+    assert log.finished(log.read_manifest(spark, f"{work}/manifest"), air.DATASET).count() == 0
+
+
 def test_page_completeness(spark):
     df = spark.createDataFrame([("a", 1, 2), ("a", 2, 2), ("b", 1, 3), ("b", 1, 3)],
                                "sensor_id string, page int, expected_pages int")
