@@ -17,6 +17,9 @@ shingles, and runs in these steps:
    the positions of the shared shingle filter the pairs of groups, and survivors are
    expanded to members and verified.
 
+Before two sets are fetched, the parities of their hashes' low bits, a few bits a
+shingle, bound what they can share; most pairs that do not link end there.
+
 Sets are verified as sorted arrays in Arrow batches. No group is ever held whole.
 """
 
@@ -175,15 +178,40 @@ def _sets_of(part: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray
             yield cid, hashes
 
 
+def parities(hashes: np.ndarray) -> bytes:
+    """Size of a set (8 bytes), then how often each value of its low bits occurs, modulo 2.
+
+    There are at least as many parities as hashes, and a power of two of them.
+    """
+    count = max(64, 1 << (len(hashes) - 1).bit_length())
+    times = np.bincount((hashes & np.uint64(count - 1)).astype(np.int64), minlength=count)
+    return len(hashes).to_bytes(8, "little") + np.packbits(times & 1, bitorder="little").tobytes()
+
+
+def may_link(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether sets with these parities can be similar enough; never wrongly False.
+
+    Each parity that differs stands for at least one hash that only one set has.
+    """
+    total = int.from_bytes(x[:8], "little") + int.from_bytes(y[:8], "little")
+    a, b = np.frombuffer(x, np.uint64, offset=8), np.frombuffer(y, np.uint64, offset=8)
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    shared = (total - int(np.bitwise_count(a ^ b).sum())) // 2
+    return (100 + percent) * shared >= percent * total
+
+
 _PREFIX = pa.schema([("cid", pa.int64()), ("n", pa.int32()), ("head", pa.int64()),
-                     ("prefix", pa.list_(pa.int64())), ("hot", pa.list_(pa.bool_()))])
+                     ("prefix", pa.list_(pa.int64())), ("hot", pa.list_(pa.bool_())), ("parity", pa.binary())])
 
 
 def _prefix_pass(words: int, percent: int, heat, bits: int, hot: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heats, shift = np.frombuffer(heat.value, np.uint8), np.uint64(64 - bits)
         for part in slices(batches, "text", TEXT_BYTES):
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[] for _ in _PREFIX]
             for cid, hashes in _sets_of(part, words):
                 heat_of = heats[(hashes >> shift).astype(np.int64)]
                 first = np.lexsort((hashes, heat_of))[: prefix_length(len(hashes), percent)]
@@ -193,6 +221,7 @@ def _prefix_pass(words: int, percent: int, heat, bits: int, hot: int):
                 out[2].append(int(np.bitwise_xor.reduce(_mixed(hashes[first])).view(np.int64)))
                 out[3].append(prefix)
                 out[4].append(heat_of[first] >= hot)
+                out[5].append(parities(hashes))
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, _PREFIX, strict=True)],
                                              schema=_PREFIX)
 
@@ -238,15 +267,33 @@ def _verify(percent: int):
     return run
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def _hopeful(percent: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "x", TEXT_BYTES):
+            ends = zip(part.column("x").to_pylist(), part.column("y").to_pylist(), strict=True)
+            keep = pa.array([may_link(x, y, percent) for x, y in ends], pa.bool_())
+            yield part.select(["a", "b"]).filter(keep)
+
+    return run
+
+
+def _judged(pairs: DataFrame, values: DataFrame, column: str, judge) -> DataFrame:
+    """The pairs (a, b) that ``judge`` keeps, given the values (cid, ``column``) of both."""
     side = _small(pairs)
-    left = sets.join(side, sets.cid == side.a).select("a", "b", F.col("hashes").alias("x"))
-    right = sets.join(
+    left = values.join(side, values.cid == side.a).select("a", "b", F.col(column).alias("x"))
+    right = values.join(
         _small(pairs.select("b").distinct()), F.col("cid") == F.col("b"), "left_semi"
-    ).select(F.col("cid").alias("b"), F.col("hashes").alias("y"))
+    ).select(F.col("cid").alias("b"), F.col(column).alias("y"))
     met = left.hint("merge").join(right, "b").select("a", "b", "x", "y")
-    return met.mapInArrow(_verify(percent), "a long, b long")
+    return met.mapInArrow(judge, "a long, b long")
+
+
+def _linked(pairs: DataFrame, parity: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough, staged."""
+    hopeful = staged(_judged(pairs, parity, "parity", _hopeful(percent)), "hopeful")
+    links = staged(_judged(hopeful, sets, "hashes", _verify(percent)), "links")
+    discard(hopeful)
+    return links
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -292,7 +339,7 @@ def near_duplicates(
     hot = int(np.floor(2 * np.log2(mean + HOT_ROWS)))
     heads = staged(one_each.mapInArrow(
         _prefix_pass(words, percent, heat, sketch_bits, hot),
-        "cid long, n int, head long, prefix array<long>, hot array<boolean>"), "prefixes")
+        "cid long, n int, head long, prefix array<long>, hot array<boolean>, parity binary"), "prefixes")
     links = _links(rows, classes, heads, words, percent, rounds)
     roots = connected_components(links)
 
@@ -302,7 +349,7 @@ def near_duplicates(
     named = staged(
         classes_rooted.groupBy("root").agg(F.min("first").alias("component_id")), "names")
     by_sig = staged(classes_rooted.join(named, "root").select("sig", "component_id", "root"), "by-sig")
-    discard(named)
+    discard(named, classes, links)
     joined = lookup_join(signs, by_sig, ["sig"])
     return joined.select(
         F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
@@ -378,27 +425,33 @@ def _links(rows, classes, heads, words: int, percent: int, rounds: int) -> DataF
         groups.filter("members > 1"), ["head", "n"]).select("gid", "cid"), "members")
 
     met = staged(_met(heads, groups, percent), "met")
-    discard(heads)
-    involved = met.select(F.col("gid").alias("cid")).unionByName(members.select("cid")).distinct()
+    involved = staged(met.select(F.col("gid").alias("cid")).unionByName(members.select("cid")).distinct(), "involved")
+    parity = staged(heads.select("cid", "parity").join(_small(involved), "cid", "left_semi"), "parities")
+    discard(heads, groups)
     sets = staged(_texts_of(rows, classes.join(involved, "cid"))
                   .mapInArrow(_set_pass(words), "cid long, hashes binary"), "sets")
+    discard(involved)
 
     inside = members.filter("cid != gid").select(F.col("cid").alias("a"), F.col("gid").alias("b"))
     tested = staged(inside.unionByName(_star(met, None, None, 0, percent)).distinct(), "tested")
-    links = staged(_linked(tested, sets, percent), "links")
+    links = _linked(tested, parity, sets, percent)
     for turn in range(1, rounds + 2):
         labels = connected_components(links)
         open_rows, pairs = _open_rows(met, members, labels)
         if turn > rounds or pairs <= 4 * open_rows.count():
             break
         stars = staged(_star(open_rows, "label", tested, turn, percent), "stars")
-        more = staged(_linked(stars, sets, percent), "links")
+        more = _linked(stars, parity, sets, percent)
+        discard(open_rows)
         tested = staged(tested.unionByName(stars), "tested")
         links = staged(links.unionByName(more), "links")
         if more.count() * 50 < stars.count():
             rounds = turn  # hardly any pair links now: the rest is for the exhaustive step
     rest = staged(_rest(open_rows, members, labels, tested, percent), "rest")
-    return links.unionByName(_linked(rest, sets, percent))
+    discard(met, members, open_rows, tested)
+    links = links.unionByName(_linked(rest, parity, sets, percent))
+    discard(sets, parity, rest)
+    return links
 
 
 def _met(heads: DataFrame, groups: DataFrame, percent: int) -> DataFrame:

@@ -102,6 +102,21 @@ def test_shingle_hashes_follow_words():
     assert len(jaccard.shingle_hashes("é É")) == 1 and (jaccard.shingle_hashes("É x") != jaccard.shingle_hashes("é x")).all()
 
 
+def test_parities_never_part_what_links():
+    rng = np.random.default_rng(3)
+    parted = 0
+    for _ in range(400):
+        both = rng.integers(0, 2**64, rng.integers(1, 700), dtype=np.uint64)
+        more = [rng.integers(0, 2**64, rng.integers(0, 1 + len(both) // rng.integers(1, 9)), dtype=np.uint64) for _ in "ab"]
+        x, y = (np.unique(np.append(both, m)) for m in more)
+        shared = len(np.intersect1d(x, y))
+        links = 100 * shared >= 80 * (len(x) + len(y) - shared)
+        may = jaccard.may_link(jaccard.parities(x), jaccard.parities(y), 80)
+        assert may or not links
+        parted += not may
+    assert parted > 100
+
+
 # language
 
 @needs_tables
