@@ -13,11 +13,22 @@ from curbair.sources.staging import staged
 HOUR = "datetime_hour"
 
 
-def demand_air(demand: DataFrame, air: DataFrame, on: Sequence[str] = (HOUR,)) -> DataFrame:
+def _at_grain(demand: DataFrame, keys: Sequence[str], x: str) -> None:
+    """Demand must have no key beside those it is met by, or all its places meet all readings."""
+    loose = [c for c in demand.columns if c not in {*keys, x}]
+    if loose:
+        raise ValueError(f"demand has {loose} beside {list(keys)}: aggregate it to these keys, or join by them")
+
+
+def demand_air(
+    demand: DataFrame, air: DataFrame, on: Sequence[str] = (HOUR,), x: str = "trips"
+) -> DataFrame:
     """Hours (and places) where both demand and pollution are known.
 
-    Both sides are aggregates already, so rows, not raw readings, meet here.
+    Both sides are aggregates already, so rows, not raw readings, meet here. Demand with
+    further keys (places that are not in ``on``) raises.
     """
+    _at_grain(demand, on, x)
     return air.join(demand, list(on))
 
 
@@ -26,7 +37,7 @@ def demand_air_correlation(
     on: Sequence[str] = (HOUR,), x: str = "trips", y: str = "value_mean",
 ) -> DataFrame:
     """Pearson correlation of demand and pollution per pollutant."""
-    return demand_air(demand, air, on).groupBy(*by).agg(
+    return demand_air(demand, air, on, x).groupBy(*by).agg(
         F.corr(F.col(x).cast("double"), F.col(y)).alias("correlation"),
         F.count(F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), 1)).alias("hours"),
     )
@@ -40,8 +51,10 @@ def lag_correlation(
 
     The lag is a shift in *time*: each demand hour is offered to the pollution
     hours it may act on, and the two meet by equality. Gaps therefore never make
-    a lag of one row out of several hours, and no series is held in one task.
+    a lag of one row out of several hours, and no series is held in one task. Demand
+    with keys beside ``places`` and the hour raises.
     """
+    _at_grain(demand, (*places, HOUR), x)
     lags = F.sequence(F.lit(0), F.lit(max_lag))
     shifted = demand.select(*places, F.col(HOUR), x, F.explode(lags).alias("lag_hours")).withColumn(
         HOUR, F.col(HOUR) + F.make_dt_interval(hours=F.col("lag_hours"))

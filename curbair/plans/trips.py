@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from curbair.operators import quality
-from curbair.operators.conform import ConformError
+from curbair.operators.conform import ConformError, conform
 from curbair.operators.joins import unprocessed
 from curbair.operators.organise import dataset_name
 from curbair.operators.trips import clean_trips
@@ -137,9 +137,12 @@ def cleaned_frames(spark: SparkSession, folder: str, spec: TripSpec, fmt: str =
     """Cleaned files of one type: declared columns, one frame per shape."""
     base = f"{folder}/{spec.taxi_type}"
     if fmt == "parquet":
-        schema = ", ".join(f"{c} {t}" for c, t in spec.columns.items())
-        # the folder's source_file level is not part of the cleaned form
-        return [spark.read.schema(schema).parquet(base).select(*spec.columns)]
+        folders = files.folders_of(files.list_files(spark, base, "*.parquet", recursive=True))
+        shapes, unreadable = files.parquet_shapes(spark, folders)
+        if unreadable:
+            raise OSError(f"{len(unreadable)} cleaned inputs cannot be read: {next(iter(unreadable.items()))}")
+        # a time column without its partner was kept as it came; here it becomes a time
+        return [conform(files.scan_parquet(spark, some, shape), spec.columns) for shape, some in shapes]
     folders = files.folders_of(files.list_files(spark, base, "*.csv", recursive=True))
     frames = files.scan_csv_sets(spark, folders)
     numbers = {c: t for c, t in spec.columns.items() if t != "timestamp_ntz"}
@@ -167,6 +170,8 @@ def merge_files(
             if not files.path_missing(error):
                 raise
             continue  # no file of this type was cleaned
+        if not frames:
+            continue
         merged = merge_trips(frames, spec, date_range, dedup_keys)
         path = f"{base}/{MERGED_TRIPS.format(taxi_type=spec.taxi_type)}"
         if fmt == "csv":

@@ -5,6 +5,8 @@ Everything is written below the session's shared folder, to a new path each time
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curbair.functions.names import base_name
@@ -12,11 +14,12 @@ from curbair.operators import partials, quality, spines
 from curbair.operators.measurements import hourly_statistics
 from curbair.operators.organise import organised_fact, time_extent
 from curbair.operators.unions import distinct_rows, union_all
+from curbair.plans.runs import run_trips
 from curbair.queries.measurements import HOURLY
 from curbair.queries.registry import query
 from curbair.queries.trips import clean_report as trip_report
 from curbair.queries.views import CLEAN_TRIPS, RAW_TRIPS, flat_measurements, raw_trips, rounded, table
-from curbair.schemas import YELLOW
+from curbair.schemas import TRIP_SPECS, YELLOW
 from curbair.sources import files, sinks
 from curbair.sources.catalogue import explode_catalogue
 from curbair.sources.staging import fresh_path
@@ -86,6 +89,53 @@ def incremental_clean(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(kept).parquet(output).drop("source_file")
 
 
+@query(f"""
+    SELECT taxi_type, VendorID, strftime(pickup_ts, '%Y%m%d%H%M%S') AS pickup,
+           strftime(dropoff_ts, '%Y%m%d%H%M%S') AS dropoff,
+           passenger_count, trip_distance, PULocationID, DOLocationID
+    FROM ({CLEAN_TRIPS}) clean
+""")
+def merge_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips as CSV files per taxi type, ids written as decimals, cleaned and merged by one run."""
+    raw, work, output = (fresh_path(spark, name) for name in ("raw", "work", "merged"))
+    decimals = {c: F.col(c).cast("double") for c in ("VendorID", "PULocationID", "DOLocationID")}
+    for taxi_type, spec in TRIP_SPECS.items():
+        mine = raw_trips(spark, folder, spec).filter(F.col("taxi_type") == taxi_type)
+        sinks.write_csv(mine.drop("taxi_type").withColumns(decimals), f"{raw}/{taxi_type}_all.csv")
+    paths = run_trips(spark, raw, work, output, date(1992, 1, 1), date(1998, 12, 31), "run")
+    return union_all([
+        spark.read.parquet(paths[taxi_type]).select(
+            F.lit(taxi_type).alias("taxi_type"), "VendorID", F.col(spec.pickup).alias("pickup"),
+            F.col(spec.dropoff).alias("dropoff"), "passenger_count", "trip_distance", "PULocationID", "DOLocationID")
+        for taxi_type, spec in TRIP_SPECS.items() if taxi_type in paths
+    ])
+
+
+@query("""
+    WITH kept AS (SELECT * FROM orders WHERE o_orderkey % 7 <> 0 OR o_orderstatus <> 'P')
+    SELECT o.o_custkey, CAST(max(n) AS BIGINT) AS expected, count(*) AS received, count(*) >= max(n) AS complete
+    FROM kept o JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) a USING (o_custkey)
+    GROUP BY o.o_custkey
+""")
+def page_completeness(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as landed pages of their customer; some of the pending ones did not arrive."""
+    orders = table(spark, folder, "orders")
+    announced = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("expected_pages"))
+    landed = orders.filter("o_orderkey % 7 <> 0 OR o_orderstatus <> 'P'")
+    pages = landed.join(announced, "o_custkey").withColumn("page", F.col("o_orderkey"))
+    return quality.page_completeness(pages, ["o_custkey"])
+
+
+@query("""
+    SELECT o_orderpriority AS dataset, o_orderstatus AS status, count(*) AS files FROM orders GROUP BY 1, 2
+""")
+def status_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as files of a manifest, counted by data set and status."""
+    manifest = table(spark, folder, "orders").select(
+        F.col("o_orderpriority").alias("dataset"), F.col("o_orderstatus").alias("status"))
+    return quality.status_totals(manifest)
+
+
 @query(HOURLY)
 def hourly_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """Hourly statistics merged from increments that overlap in time."""

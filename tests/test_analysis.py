@@ -70,6 +70,20 @@ def test_lag_is_in_hours_not_rows(spark):
     assert "Window" not in plan_of(relation.lag_correlation(d, a, 5))
 
 
+def test_demand_by_place_does_not_meet_all_readings(spark):
+    trips = spark.createDataFrame([(T0, z) for z in range(3)], "pickup_ts timestamp_ntz, PULocationID int")
+    air = spark.createDataFrame(
+        [(T0, s, "no2", 1.0) for s in range(4)],
+        "datetime_hour timestamp_ntz, PULocationID int, parameter string, value_mean double")
+    places = demand.hourly_demand(trips)
+    for call in (relation.demand_air, relation.demand_air_correlation):
+        with pytest.raises(ValueError, match="PULocationID"):
+            call(places, air)
+    with pytest.raises(ValueError, match="PULocationID"):
+        relation.lag_correlation(places, air, 2)
+    assert relation.demand_air(places, air, ("PULocationID", "datetime_hour")).count() == 3
+
+
 def test_zones_by_id_on_both_ends(spark):
     zones = spark.createDataFrame([(56, "Q", "Corona"), (57, "Q", "Corona")], "LocationID int, Borough string, Zone string")
     trips = spark.createDataFrame([(56, 57), (57, 1)], "PULocationID bigint, DOLocationID bigint")

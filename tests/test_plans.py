@@ -31,6 +31,20 @@ def trip_file(folder, name, *days, extra=""):
         f.write("\n".join([head + extra, *[line + (",q" if extra else "") for line in lines]]) + "\n")
 
 
+def test_merge_takes_files_with_one_time_column(spark, tmp_path):
+    raw, out, man = (str(tmp_path / n) for n in ("raw", "clean", "manifest"))
+    trip_file(raw, "yellow_a.csv", 2)
+    trip_file(raw, "yellow_b.csv", 1)
+    spark.read.option("header", True).csv(f"{raw}/yellow_a.csv").drop(YELLOW.dropoff).coalesce(1).write.option(
+        "header", True).csv(f"{raw}/yellow_lone.csv")
+    assert set(taxi.clean_files(spark, raw, out, man, "r1").status.values()) == {"done"}
+    merged = taxi.merge_files(spark, out, str(tmp_path / "merged"), "20260101", "20260131", "r1")
+    got = spark.read.parquet(merged["yellow"])
+    assert sorted(got.columns) == sorted(YELLOW.columns)
+    assert [(r[YELLOW.pickup][:8], r[YELLOW.dropoff] is None) for r in got.collect() if r.VendorID == 2] == [
+        ("20260102", False), ("20260102", True)] and got.count() >= 3
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_incremental_clean_and_merge(spark, tmp_path, fmt):
     raw, out, man = (str(tmp_path / n) for n in ("raw", "clean", "manifest"))
