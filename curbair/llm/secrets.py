@@ -1,14 +1,17 @@
 """Secret scan: fixed patterns, and random strings told from text by a test battery.
 
 Patterns give the base spans. Besides, every run of characters that secrets are written
-in is a candidate; its encoding is inferred from the characters it has, and three tests
+in is a candidate, up to an ``=`` that is not padding at its end; so is every part of it
+between characters that only one of base64 and base64url has (``+/`` and ``_-``), so that
+what stands before or behind a secret does not hide it. A candidate's encoding is
+inferred from the characters it has, and three tests
 ask whether it could be drawn evenly from that encoding's alphabet: chi-squared
 uniformity of the symbols, the number of runs above and below the middle of the
 alphabet, and serial correlation of neighbouring symbols. Text fails them. The three
 p-values are combined (Bonferroni), and among candidates of one encoding and length band
 the Benjamini-Hochberg rule decides which ones are not random at a false-discovery rate
 of ``rate``. What the rule does not reject, and is long enough for the tests to have
-power, is reported as ``random``.
+power, is reported as ``random``, but not what lies within another reported candidate.
 
 Everything is a native expression: positions come from the lengths of what a pattern
 matches and of what lies between. Ranks of p-values come from a histogram of fixed size,
@@ -32,6 +35,29 @@ KINDS = ("assign", "access", "hex", "random")
 CANDIDATE, CANDIDATE_CHARS = r"[A-Za-z0-9+/_=-]+", 20
 
 
+def _parts(inside: str, bounds: tuple[tuple[str, str], ...] = ()) -> str:
+    """Maximal runs of ``inside`` with their padding, in runs of CANDIDATE that are long
+    enough. With ``bounds``, only runs that have a character of one of these pairs of
+    classes before and behind them; an empty class asks for nothing.
+
+    A match starts only where a run does, so each character is read a few times at most."""
+    padding = "=++(?![A-Za-z0-9+/_=-])"
+    run, least = f"[{inside}]++(?:{padding})?+", CANDIDATE_CHARS
+    long = f"(?=[{inside}]{{{least}}}|(?=[={inside}]{{{least}}})[{inside}]++{padding})"
+    asked = "|".join((f"(?<=[{a}])" if a else "") + run + (f"(?=[{b}])" if b else "") for a, b in bounds)
+    return f"(?<![{inside}]){long}(?:{asked or run})"
+
+
+#: Whole runs; parts between base64's own characters, between base64url's, and between
+#: one of each. A part with no such neighbour is the same as one of a line before.
+WHOLE = _parts("A-Za-z0-9+/_-")
+PARTS = (
+    _parts("A-Za-z0-9_-", (("+/", ""), ("", "+/"))),
+    _parts("A-Za-z0-9+/", (("_-", ""), ("", "_-"))),
+    _parts("A-Za-z0-9", (("+/", "_-"), ("_-", "+/"))),
+)
+
+
 @dataclass(frozen=True)
 class Encoding:
     """An alphabet in the order of its symbols, and the pattern that infers it."""
@@ -165,22 +191,28 @@ def _band(length: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    """Candidates of a text: (start, end, stratum, bin). The stratum is encoding and
-    length band; the bin grows with the evidence against randomness."""
-    found = _matches(text, _long_runs(CANDIDATE, CANDIDATE_CHARS), 0, CANDIDATE_CHARS)
+    """Candidates of a text: (start, end, stratum, bin, part). The stratum is encoding and
+    length band; the bin grows with the evidence against randomness; parts are flagged."""
+    level = lambda pattern, part: F.transform(
+        _matches(text, pattern, 0, CANDIDATE_CHARS), lambda m: m.withField("part", F.lit(part)))
+    found = F.concat(level(WHOLE, False), *[level(p, True) for p in PARTS])
+    # most texts have no run that is long enough, which one look tells
+    found = F.when(text.rlike(_long_runs(CANDIDATE, CANDIDATE_CHARS)), found).otherwise(
+        F.array().cast("array<struct<start:int,end:int,value:string,part:boolean>>"))
 
     def encoded(m: Column) -> Column:
         code = F.lit(None).cast("int")
         for i, e in reversed(list(enumerate(ENCODINGS))):
             code = F.when(m["value"].rlike(e.pattern) & (F.length(m["value"]) >= e.shortest), F.lit(i)).otherwise(code)
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), code.alias("code"))
+        return m.withField("code", code)
 
     def judged(m: Column) -> Column:
         alphabet = F.element_at(F.array(*[F.lit(e.alphabet) for e in ENCODINGS]), m["code"] + 1)
         p = _p_value(F.rtrim(m["value"], F.lit("=")), alphabet)
         level = F.floor(F.least(-F.log10(p), F.lit(float(BIN_TOP))) * BINS).cast("int")
         return F.struct(m["start"].alias("start"), m["end"].alias("end"),
-                        (m["code"] * (len(BANDS) + 1) + _band(F.length(m["value"]))).alias("stratum"), level.alias("bin"))
+                        (m["code"] * (len(BANDS) + 1) + _band(F.length(m["value"]))).alias("stratum"), level.alias("bin"),
+                        m["part"].alias("part"))
 
     return F.transform(F.filter(F.transform(found, encoded), lambda m: m["code"].isNotNull()), judged)
 
@@ -208,12 +240,27 @@ def rejection_bins(docs: DataFrame, text_col: str = "text", rate: float = RATE)
 
 
 def random_spans(text: Column, limits: dict[int, int]) -> Column:
-    """Candidates that the battery leaves standing, as ``candidates`` gives them."""
+    """Candidates that the battery leaves standing, as ``candidates`` gives them, without
+    those that lie within another."""
     if not limits:
-        return candidates(text)
+        return _outermost(candidates(text))
     table = F.create_map(*[F.lit(v) for pair in sorted(limits.items()) for v in pair])
     above = F.lit(BINS * BIN_TOP + 1)
-    return F.filter(candidates(text), lambda c: c["bin"] < F.coalesce(F.try_element_at(table, c["stratum"]), above))
+    return _outermost(F.filter(candidates(text), lambda c: c["bin"] < F.coalesce(F.try_element_at(table, c["stratum"]), above)))
+
+
+def _outermost(spans: Column) -> Column:
+    """The candidates that no other one holds, by start."""
+    def by_start(found: Column) -> Column:
+        ordered = F.array_sort(F.transform(found, lambda c: F.struct(c["start"].alias("start"), (-c["end"]).alias("back"), c.alias("c"))))
+        # one held by another comes after it, and ends no later than the furthest so far
+        state = F.aggregate(
+            ordered, F.struct(F.slice(found, 1, 0).alias("kept"), F.lit(0).alias("reach")),
+            lambda a, o: F.when(-o["back"] > a["reach"], F.struct(F.concat(a["kept"], F.array(o["c"])).alias("kept"), (-o["back"]).alias("reach"))).otherwise(a))
+        return state["kept"]
+
+    # whole runs never overlap
+    return F.transform(F.array(spans), lambda s: F.when(F.exists(s, lambda c: c["part"]), by_start(s)).otherwise(s))[0]
 
 
 def _joined(spans: Column) -> Column:

@@ -342,6 +342,33 @@ def test_battery_tells_random_strings_from_text(spark):
     assert not any(found[i] for i in range(len(good), len(found)))
 
 
+def test_what_stands_beside_a_secret_does_not_hide_it(spark):
+    rng = random.Random(5)
+    draw = lambda name, n: "".join(rng.choice(next(e.alphabet for e in secrets.ENCODINGS if e.name == name)) for _ in range(n))
+    forms = [("AWS_SECRET_ACCESS_KEY=", "base62", ""), ("https://a.b/c?sig=", "base62", "&x=1"), ("/users/sk_live_", "base62", ""),
+             ("a=b=", "base64", "==;"), ("cfg_some_long_name-", "base64", ""), ("/files/of/somebody/", "base64url", "/raw_text"),
+             ("/api/version/accounts/keys/of_", "base62", "/show"), ("x_of_the_", "base62", "/and/more/text/here")]
+    rows, want = [], []
+    for before, name, after in forms * 25:
+        key = draw(name, 44)
+        rows.append((len(rows), f"é {before}{key}{after} y"))
+        want.append((key, 2 + len(before), 46 + len(before) + 2 * after.startswith("==")))
+    plain = ["/users/of/the_application/with-some-long/path1/name_2/index", "a=b=c=d=e=f=g=h=i=j=k=l=m=n", "=" * 40,
+             "DEFAULT_CONNECTION_TIMEOUT_SECONDS=30", "key=aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1B/_"]
+    rows += [(len(rows) + i, t) for i, t in enumerate(plain)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("random")]
+             for r in secrets.scan_secrets(df).collect()}
+    for k in range(len(forms)):
+        hit = [any(a <= s and e <= b for a, b in found[i]) for i, (_, s, e) in enumerate(want) if i % len(forms) == k]
+        assert sum(hit) >= 23, forms[k]
+    assert not any(found[i] for i in range(len(want), len(rows)))
+    for spans in found.values():
+        assert not any(a <= c and d <= b for i, (a, b) in enumerate(spans) for j, (c, d) in enumerate(spans) if i != j)
+    clean = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert all((key in clean[i]) != any(a <= s and e <= b for a, b in found[i]) for i, (key, s, e) in enumerate(want))
+
+
 def test_scan_is_native(spark):
     from conftest import plan_of
 
