@@ -74,6 +74,7 @@ ENCODINGS = (
     Encoding("hex", _DIGITS + "abcdef", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$", 20),
     Encoding("HEX", _DIGITS + "ABCDEF", r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", 20),
     Encoding("base32", _UPPER + "234567", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+=*$", 24),
+    Encoding("BASE36", _DIGITS + _UPPER, r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z]+$", 24),
     Encoding("base36", _DIGITS + _LOWER, r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]+$", 24),
     Encoding("base62", _DIGITS + _UPPER + _LOWER, r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z]+$", 24),
     Encoding("base64", _UPPER + _LOWER + _DIGITS + "+/", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/]+=*$", 24),

@@ -342,6 +342,24 @@ def test_battery_tells_random_strings_from_text(spark):
     assert not any(found[i] for i in range(len(good), len(found)))
 
 
+def test_every_encoding_is_tested(spark):
+    rng = random.Random(6)
+    names = [e.name for e in secrets.ENCODINGS]
+    forms = [(n, "") for n in names] + [("base36", "key-"), ("base36", "a_long-prefix_"), ("BASE36", "KEY_"), ("BASE36", "LICENCE-")]
+    rows = []
+    for name, before in forms * 40:
+        alphabet = next(e.alphabet for e in secrets.ENCODINGS if e.name == name)
+        rows.append((len(rows), f"é {before}{''.join(rng.choice(alphabet) for _ in range(40))} y"))
+    rows += [(len(rows), "é K7Q09XJ2M5N8B1V4C6Z3L0P9D8 y"), (len(rows) + 1, "é key-3ax6xnjp29jd6fds4gc373sgvjxteol0 y")]
+    plain = ["AAAAAAAAAAAAAAAABBBBBBBBBBBBBBBB0011", "a-very-long-hyphenated-expression-of-2024", "XXXXXXXXYYYYYYYYZZZZZZZZ00000011111"]
+    rows += [(len(rows) + i, t) for i, t in enumerate(plain * 10)]
+    found = {r.doc_id: "random" in r.spans for r in secrets.scan_secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for k, form in enumerate(forms):
+        assert sum(found[i] for i in range(k, 40 * len(forms), len(forms))) >= 38, form
+    n = 40 * len(forms)
+    assert found[n] and found[n + 1] and not any(found[i] for i in range(n + 2, len(rows)))
+
+
 def test_what_stands_beside_a_secret_does_not_hide_it(spark):
     rng = random.Random(5)
     draw = lambda name, n: "".join(rng.choice(next(e.alphabet for e in secrets.ENCODINGS if e.name == name)) for _ in range(n))
