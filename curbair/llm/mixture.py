@@ -36,6 +36,24 @@ def tempered(cells: DataFrame, margin: str, power: float) -> dict[str | None, fl
     return {k: v**power / total for k, v in got.items()}
 
 
+def _targets(cells: DataFrame, margin: str, targets: Mapping[str | None, float] | float) -> DataFrame:
+    """(margin, target) for every value of a marginal, by the rules of ``calibrated``."""
+    got = staged(cells.groupBy(margin).agg(F.coalesce(F.sum("tokens"), F.lit(0)).cast("double").alias("tokens")), "margin")
+    present = F.col("tokens") > 0
+    if isinstance(targets, (int, float)):
+        raw = got.withColumn("target", F.when(present, F.pow("tokens", F.lit(float(targets)))).otherwise(0.0))
+    else:
+        kind = got.select(margin).schema.add("given", "double")
+        given = got.sparkSession.createDataFrame([(k, float(v)) for k, v in targets.items()], kind)
+        met = staged(lookup_join(got, given, [margin], null_safe=True), "given")
+        others = met.filter(present & F.col("given").isNull()).agg(F.sum("tokens")).first()[0] or 1.0
+        left = max(0.0, 1.0 - sum(targets.values()))
+        raw = met.withColumn("target", F.when(present, F.coalesce("given", F.col("tokens") * F.lit(left / others))).otherwise(0.0))
+    raw = staged(raw.select(margin, "target"), "raw")
+    total = raw.agg(F.sum("target")).first()[0] or 1.0
+    return staged(raw.withColumn("target", F.col("target") / F.lit(total)), "targets")
+
+
 def _rake_here(codes: list[np.ndarray], tokens: np.ndarray, targets: list[np.ndarray]) -> list[np.ndarray]:
     factors = [np.ones(len(t)) for t in targets]
     for _ in range(STEPS):
@@ -54,17 +72,18 @@ def _rake_here(codes: list[np.ndarray], tokens: np.ndarray, targets: list[np.nda
 def _rake_spread(cells: DataFrame, margins: Sequence[str], targets: Mapping[str, DataFrame]) -> DataFrame:
     """The same steps with the cells in a table; ``factor`` is the product of all."""
     now = staged(cells.withColumn("factor", F.lit(1.0)), "cells")
+    weight = F.sum(F.coalesce("tokens", F.lit(0)) * F.col("factor"))
     for _ in range(STEPS):
         worst = 0.0
         for margin in margins:
-            total = now.agg(F.sum(F.col("tokens") * F.col("factor"))).first()[0]
-            share = now.groupBy(margin).agg((F.sum(F.col("tokens") * F.col("factor")) / F.lit(total)).alias("share"))
-            change = staged(share.join(targets[margin], margin).select(
+            total = now.agg(weight).first()[0] or 1.0
+            share = staged(now.groupBy(margin).agg((weight / F.lit(total)).alias("share")), "share")
+            change = staged(lookup_join(share, targets[margin], [margin], null_safe=True).select(
                 margin, "share", "target", F.when(F.col("share") > 0, F.col("target") / F.col("share")).otherwise(0.0).alias("change")), "change")
             worst = max(worst, change.filter("share > 0").agg(F.max(F.abs(F.col("share") - F.col("target")))).first()[0] or 0.0)
-            after = staged(now.join(change.select(margin, "change"), margin).withColumn(
+            after = staged(lookup_join(now, change.select(margin, "change"), [margin], null_safe=True).withColumn(
                 "factor", F.col("factor") * F.col("change")).drop("change"), "cells")
-            discard(now, change)
+            discard(now, share, change)
             now = after
         if worst <= TOLERANCE:
             break
@@ -72,26 +91,30 @@ def _rake_spread(cells: DataFrame, margins: Sequence[str], targets: Mapping[str,
 
 
 def calibrated(
-    spark: SparkSession, cells: DataFrame, margins: Sequence[str], targets: Mapping[str, Mapping[str | None, float]],
+    spark: SparkSession, cells: DataFrame, margins: Sequence[str], targets: Mapping[str, Mapping[str | None, float] | float],
     driver_cells: int = DRIVER_CELLS,
 ) -> DataFrame:
     """The cells (margins, tokens) with their keeping probability.
 
     A value without a target shares what the targets leave of 1 with its like, by
     tokens; with nothing left its documents go. Targets of absent values are left out
-    and the others brought to sum 1. Cells without tokens get probability 1.
+    and the others brought to sum 1. A number instead of targets takes the present shares
+    to that power. Cells without tokens get probability 1. Beyond ``driver_cells`` cells
+    the targets are staged tables, and neither cells nor values reach the driver.
     """
-    wanted: dict[str, dict] = {}
-    for margin in margins:
-        got = {r[0]: float(r[1] or 0) for r in cells.groupBy(margin).agg(F.sum("tokens")).collect()}
-        given = {k: v for k, v in targets[margin].items() if got.get(k, 0) > 0}
-        other = {k: v for k, v in got.items() if k not in targets[margin] and v > 0}
-        left = max(0.0, 1.0 - sum(targets[margin].values()))
-        given |= {k: left * v / sum(other.values()) for k, v in other.items()}
-        total = sum(given.values())
-        wanted[margin] = {k: given.get(k, 0.0) / total if total else 0.0 for k in got}
-
     if cells.count() <= driver_cells:
+        wanted: dict[str, dict] = {}
+        for margin in margins:
+            asked = targets[margin]
+            if isinstance(asked, (int, float)):
+                asked = tempered(cells, margin, float(asked))
+            got = {r[0]: float(r[1] or 0) for r in cells.groupBy(margin).agg(F.sum("tokens")).collect()}
+            given = {k: v for k, v in asked.items() if got.get(k, 0) > 0}
+            other = {k: v for k, v in got.items() if k not in asked and v > 0}
+            left = max(0.0, 1.0 - sum(asked.values()))
+            given |= {k: left * v / sum(other.values()) for k, v in other.items()}
+            total = sum(given.values())
+            wanted[margin] = {k: given.get(k, 0.0) / total if total else 0.0 for k in got}
         rows = sorted(cells.select(*margins, "tokens").collect(), key=lambda r: tuple((v is not None, str(v)) for v in r[:-1]))
         values = {m: sorted({r[m] for r in rows}, key=lambda v: (v is not None, str(v))) for m in margins}
         at = {m: {v: i for i, v in enumerate(values[m])} for m in margins}
@@ -105,15 +128,7 @@ def calibrated(
         schema = cells.select(*margins, "tokens").schema.add("factor", "double")
         fitted = spark.createDataFrame([(*r, f) for r, f in zip(rows, ratio, strict=True)], schema)
     else:
-        tables = {}
-        for m in margins:
-            # a NULL value is told from the text by a prefix
-            kind = cells.select(m).schema.add("target", "double")
-            tables[m] = spark.createDataFrame([(k, v) for k, v in wanted[m].items() if k is not None], kind)
-        if cells.filter(" or ".join(f"`{m}` is null" for m in margins)).isEmpty():
-            fitted = _rake_spread(cells.select(*margins, "tokens"), margins, tables)
-        else:
-            raise ValueError("NULL margins must be named before that many cells are fitted")
+        fitted = _rake_spread(cells.select(*margins, "tokens"), margins, {m: _targets(cells, m, targets[m]) for m in margins})
     top = fitted.filter("tokens > 0").agg(F.max("factor")).first()[0] or 1.0
     return fitted.withColumn(
         "probability", F.when(F.col("tokens") > 0, F.col("factor") / F.lit(top)).otherwise(1.0)).drop("factor")
@@ -146,7 +161,7 @@ def mix(
     keys = list(names.values())
     cells = staged(rows.groupBy(*keys).agg(F.sum("tokens").alias("tokens")), "cells")
     if isinstance(targets, (int, float)):
-        wanted = {names[m]: tempered(cells, names[m], float(targets)) for m in margins}
+        wanted = {names[m]: float(targets) for m in margins}
     else:
         wanted = {names[m]: targets[m] for m in margins}
     fitted = staged(calibrated(spark, cells, keys, wanted, driver_cells).drop("tokens"), "mixture")

@@ -290,6 +290,20 @@ def test_mixture_of_odd_rows(spark):
     assert gone.probability == 0 and not gone.kept
 
 
+@pytest.mark.parametrize("targets", [0.7, {"source": {"a": 0.4, None: 0.1}, "lang": {"x": 0.6, None: 0.2, "gone": 0.1}}])
+def test_raking_spread_takes_null_margins(spark, monkeypatch, targets):
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.randint(0, 9), rng.choice(["a", "a", "b", None]), rng.choice(["x", "y", "", None])) for i in range(300)]
+    rows += [(300, None, "empty", None), (301, "", None, "none")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    margins = {"source": F.col("source"), "lang": F.col("lang")}
+    here = mixture.mix(df, margins, targets).orderBy("doc_id").collect()
+    monkeypatch.setattr(mixture, "tempered", None)  # collects the values
+    spread = mixture.mix(df, margins, targets, driver_cells=0).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.source, r.lang, r.kept) for r in here] == [(r.doc_id, r.source, r.lang, r.kept) for r in spread]
+    assert np.allclose([r.probability for r in here], [r.probability for r in spread], atol=1e-7)
+
+
 # secrets
 
 ASSIGN = re.compile(
