@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curbair.llm import caps, jaccard, langid, mixture, pieces, secrets, tokenfile, topk, urlrules, warc
+from curbair.llm import align, caps, jaccard, langid, mixture, pieces, secrets, tokenfile, topk, urlrules, warc
 from curbair.session import pin_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,3 +226,10 @@ FROM embeddings e LEFT JOIN k ON k.x = e.vec_id LEFT JOIN c ON c.node = e.vec_id
 def op10_cap_filters(spark, folder):
     """Near-duplicate vectors within a label."""
     return caps.near_vectors(_table(spark, folder, "embeddings"))
+
+
+@_query()
+def op13_token_alignment(spark, folder):
+    """Two tokenizers aligned over all documents, each distinct text once."""
+    return align.alignments(
+        _table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
