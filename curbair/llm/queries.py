@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curbair.llm import align, caps, jaccard, langid, mixture, pieces, secrets, tokenfile, topk, urlrules, warc
+from curbair.llm import align, caps, jaccard, langid, lexical, mixture, pieces, secrets, tokenfile, topk, urlrules, warc
 from curbair.session import pin_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,6 +228,30 @@ def op10_cap_filters(spark, folder):
     return caps.near_vectors(_table(spark, folder, "embeddings"))
 
 
+@_query(r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+i AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+q AS (SELECT item_id, term, count(*) AS times FROM i GROUP BY ALL),
+f AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY 1),
+g AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM n),
+m AS (SELECT doc_id, 100 - 25 + ((25 * n * docs) // total) AS m FROM n, g),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, g GROUP BY term, docs),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM q JOIN f USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20
+""")
+def op12_lexical_search(spark, folder):
+    """The twenty highest-scoring documents of every benchmark item."""
+    return lexical.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), 20)
+
+
 @_query()
 def op13_token_alignment(spark, folder):
     """Two tokenizers aligned over all documents, each distinct text once."""
