@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curbair.llm import align, caps, jaccard, langid, lexical, mixture, pieces, secrets, tokenfile, topk, urlrules, warc
+from curbair.llm import align, caps, jaccard, langid, lexical, mixture, pieces, pii, secrets, tokenfile, topk, urlrules, warc
 from curbair.session import pin_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,6 +228,12 @@ def op10_cap_filters(spark, folder):
     return caps.near_vectors(_table(spark, folder, "embeddings"))
 
 
+@_query()
+def op11_personal_data(spark, folder):
+    """Spans of personal data in every document."""
+    return pii.personal_data_digests(_table(spark, folder, "documents"))
+
+
 @_query(r"""
 WITH d AS (
   SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
