@@ -17,6 +17,7 @@ from curbair.operators.unions import merge_trips
 from curbair.plans import manifest as log
 from curbair.schemas import MERGED_TRIPS, TRIP_FILES, TRIP_PREFIX, TRIP_SPECS, TripSpec
 from curbair.sources import files, sinks
+from curbair.sources.staging import staged
 
 DATASET = "clean_trips"
 
@@ -94,8 +95,9 @@ def clean_files(
             mark([path], "failed", error)
         target = f"{output}/{spec.taxi_type}"
         for scan, members in groups:
+            made: list[DataFrame] = []
 
-            def clean(some: list[str], scan: Scan = scan) -> None:
+            def clean(some: list[str], scan: Scan = scan, made: list[DataFrame] = made) -> None:
                 named = files.with_source_file(scan(some))
                 if quarantine and files.CORRUPT in named.columns:
                     named, malformed = files.split_corrupt(named)
@@ -105,11 +107,10 @@ def clean_files(
                     )
                 cleaned = clean_trips(named, spec, fmt == "csv", carry=(files.SOURCE_FILE,))
                 sinks.replace_sources(cleaned, target, fmt)
-                if not incremental:  # an earlier output must not outlive its last valid row
-                    sinks.empty_sources(cleaned, [_name(p) for p in some], target, fmt)
+                made[:] = [cleaned]
 
             try:
-                failed = sinks.each_or_all(clean, members)
+                failed = sinks.halving(clean, members)
             except ConformError as error:
                 mark(members, "failed", str(error))
                 continue
@@ -117,14 +118,19 @@ def clean_files(
                 mark([path], "failed", error)
             done = [p for p in members if p not in failed]
             mark(done, "done")
-            if report and done:
+            if done and (report or not incremental):
                 named = files.with_source_file(scan(done))
                 if files.CORRUPT in named.columns:
                     named, _ = files.split_corrupt(named)
-                counts = quality.clean_report(named, spec, by=(files.SOURCE_FILE,))
-                result.reports.append(
-                    quality.as_report(counts, run_id, spec.taxi_type, files.SOURCE_FILE)
-                )
+                counts = staged(quality.clean_report(named, spec, by=(files.SOURCE_FILE,)), "clean-counts")
+                if report:
+                    result.reports.append(
+                        quality.as_report(counts, run_id, spec.taxi_type, files.SOURCE_FILE)
+                    )
+                if not incremental:  # an earlier output must not outlive its last valid row
+                    kept = {r[0] for r in counts.filter("rows_kept > 0").select(files.SOURCE_FILE).toLocalIterator()}
+                    gone = sorted({_name(p) for p in done} - kept)
+                    sinks.clear_sources(spark, gone, target, made[0], fmt)
     log.record(spark, manifest, [
         {"run_id": run_id, "dataset": DATASET, "source_file": name, "status": status,
          "detail": details.get(name)}

@@ -37,10 +37,17 @@ def hourly_agg(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(hourly(spark, folder), "value_mean")
 
 
-@query(HOURLY)
+@query(f"""
+    SELECT date_trunc('hour', CASE WHEN event_type = 'error' AND user_id % 2 = 0 THEN NULL ELSE ts END) AS datetime_hour,
+           user_id AS location_id, event_type AS parameter, 'unit' AS unit, {STATS}
+    FROM events GROUP BY 1, 2, 3, 4
+""")
 def rolling_land(spark: SparkSession, folder: str) -> DataFrame:
-    """Three requests that overlap, landed one after the other: every hour once."""
-    flat = flat_measurements(spark, folder)
+    """Three requests that overlap, landed one after the other: every hour once, and so
+    are the rows without a time."""
+    untimed = (F.col("parameter") == "error") & (F.col("location_id") % 2 == 0)
+    flat = flat_measurements(spark, folder).withColumn(
+        "datetimeUtc", F.when(untimed, None).otherwise(F.col("datetimeUtc")))
     first, last = flat.agg(F.min("datetimeUtc").cast("date"), F.max("datetimeUtc").cast("date")).first()
     third = (last - first) // 3
     out, manifest = fresh_path(spark, "rolling-hours"), fresh_path(spark, "rolling-manifest")

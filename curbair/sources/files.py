@@ -1,16 +1,14 @@
 """File scans.
 
 Parquet sets and CSV files are grouped by their shape before reading: one scan
-per distinct shape, however many inputs share it. Shapes are probed per *input*
-(a file, or a directory or glob of like files), never per part file.
+per distinct shape, however many inputs share it. Shapes are found by tasks, per *input*
+(a file, or a directory of like files), never per part file.
 """
 
 from __future__ import annotations
 
-import json
 import logging
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -18,13 +16,13 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from curbair.functions.names import base_name, taxi_type_of
+from curbair.sources.shapes import grouped_inputs, schema_of
 
 log = logging.getLogger(__name__)
 
 READ_ERRORS = (PySparkException, Py4JJavaError)
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "source_file"
-_PROBES = 16
 # up to the first path component that is named like a data file
 _INPUT_PATH = r"^(.*?/[^/]+\.(?:csv|parquet|parq))(?:/.*)?$"
 
@@ -121,33 +119,31 @@ def first_line(error: Exception) -> str:
     return next(iter(str(error).splitlines()), type(error).__name__)
 
 
-def _probe(paths: Sequence[str], shape_of: Callable) -> tuple[dict, dict[str, str]]:
-    """Group inputs by shape; inputs that cannot be read are reported, not fatal."""
+def parquet_shapes(
+    spark: SparkSession, paths: Sequence[str]
+) -> tuple[list[tuple[T.StructType, list[str]]], dict[str, str]]:
+    """Inputs grouped by schema, plus the inputs that could not be opened.
 
-    def one(path: str):
+    Footers are read by tasks; the driver reads the schema of one input per shape. A
+    shape that Spark cannot read counts as unreadable, all its inputs with it.
+    """
+    groups, failed = grouped_inputs(spark, paths, "parquet")
+    shapes: dict[str, tuple[T.StructType, list[str]]] = {}
+    for members in groups:
         try:
-            return path, shape_of(path), None
+            schema = schema_of(spark, members[0])
         except READ_ERRORS as error:
-            return path, None, first_line(error)
-
-    groups: dict = {}
-    failed: dict[str, str] = {}
-    with ThreadPoolExecutor(_PROBES) as pool:
-        for path, shape, error in pool.map(one, paths):
-            if error is not None:
-                log.warning("skipping unreadable input %s: %s", path, error)
-                failed[path] = error
-            else:
-                groups.setdefault(shape, []).append(path)
-    return groups, failed
+            failed.update(dict.fromkeys(members, first_line(error)))
+            continue
+        # footers can differ where the schemas Spark makes of them do not
+        shapes.setdefault(schema.json(), (schema, []))[1].extend(members)
+    _warn(failed)
+    return list(shapes.values()), failed
 
 
-def parquet_shapes(
-    spark: SparkSession, paths: Sequence[str]
-) -> tuple[list[tuple[T.StructType, list[str]]], dict[str, str]]:
-    """Inputs grouped by schema, plus the inputs that could not be opened."""
-    groups, failed = _probe(paths, lambda p: spark.read.parquet(p).schema.json())
-    return [(T.StructType.fromJson(json.loads(s)), ps) for s, ps in groups.items()], failed
+def _warn(failed: dict[str, str]) -> None:
+    for path, error in failed.items():
+        log.warning("skipping unreadable input %s: %s", path, error)
 
 
 def scan_parquet_sets(
@@ -203,10 +199,19 @@ def scan_csv(
 def csv_shapes(
     spark: SparkSession, paths: Sequence[str]
 ) -> tuple[list[tuple[tuple[str, ...], list[str]]], dict[str, str]]:
-    """CSV inputs grouped by their header line."""
+    """CSV inputs grouped by their header line, which tasks read from the first block."""
     reader = spark.read.option("header", True).option("escape", '"')
-    groups, failed = _probe(paths, lambda p: tuple(reader.csv(p).columns))
-    return list(groups.items()), failed
+    groups, failed = grouped_inputs(spark, paths, "csv")
+    shapes: dict[tuple[str, ...], list[str]] = {}
+    for members in groups:
+        try:
+            header = tuple(reader.csv(members[0]).columns)
+        except READ_ERRORS as error:
+            failed.update(dict.fromkeys(members, first_line(error)))
+            continue
+        shapes.setdefault(header, []).extend(members)
+    _warn(failed)
+    return list(shapes.items()), failed
 
 
 def scan_csv_sets(

@@ -186,3 +186,40 @@ def test_staged_keeps_schema(spark):
     back = staging.staged(df)
     assert back.schema == df.schema and rows(back) == [(1, None)]
     assert isinstance(back.schema["a"].dataType, T.IntegerType)
+
+
+def test_shapes_of_many_inputs_take_a_fixed_number_of_jobs(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    tables = [pa.table({"a": [1], "b": ["x"]}), pa.table({"b": ["x"], "a": [1.5]})]
+    paths = []
+    for i in range(1000):
+        path = tmp_path / f"in {i}+.parquet"
+        pq.write_table(tables[i % 2], path) if i != 500 else path.write_text("junk")
+        paths.append(str(path))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("shapes", "shapes")
+    shapes, failed = files.parquet_shapes(spark, paths)
+    jobs = len(tracker.getJobIdsForGroup("shapes"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(failed) == [paths[500]]
+    assert sorted((s.simpleString(), len(m)) for s, m in shapes) == [
+        ("struct<a:bigint,b:string>", 499), ("struct<b:string,a:double>", 500)]
+    assert jobs <= 12
+
+
+def test_csv_headers_are_read_from_the_first_block(spark, tmp_path):
+    import gzip
+    texts = {"a.csv": "x,y\n1,2\n", "b.csv": "\ufeffx,y\r\n3,4\r\n", "c.csv": '"x ""q""\nz",y\n5,6\n', "e.csv": "x,y", "f.csv": "y,x\n1,2\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    (tmp_path / "d.csv.gz").write_bytes(gzip.compress(b"x,y\n7,8\n"))
+    (tmp_path / "g.csv.gz").write_text("not compressed")
+    paths = [str(tmp_path / n) for n in (*texts, "d.csv.gz", "g.csv.gz")]
+    shapes, failed = files.csv_shapes(spark, paths)
+    found = {h: sorted(os.path.basename(p) for p in m) for h, m in shapes}
+    assert found[("x", "y")] == ["a.csv", "b.csv", "d.csv.gz", "e.csv"] and found[("y", "x")] == ["f.csv"]
+    assert [os.path.basename(p) for p in failed] == ["g.csv.gz"]
+    (tmp_path / "dir.parquet").mkdir()
+    assert list(files.parquet_shapes(spark, [str(tmp_path / "dir.parquet"), str(tmp_path / "absent")])[1]) == [
+        str(tmp_path / "dir.parquet"), str(tmp_path / "absent")]

@@ -114,7 +114,7 @@ def test_measurement_run(spark, tmp_path):
     assert spark.read.option("header", True).csv(run.stations).count() == 1
     assert {r.metric: r.value for r in run.report.collect()}["rows"] == 1.0
 
-    merged = air.merge_hourly(spark, hourly, str(tmp_path / "merged"))
+    merged = air.merge_hourly(spark, hourly, str(tmp_path / "merged"), man)
     assert spark.read.parquet(merged).count() == 1
 
 
@@ -320,3 +320,43 @@ def test_damaged_file_costs_its_own_rows_only(spark, tmp_path):
     status = taxi.clean_files(spark, str(raw), str(tmp_path / "out"), str(tmp_path / "m"), "r").status
     assert status == {"green_1.parquet": "done", "green_2.parquet": "failed"}
     assert spark.read.parquet(str(tmp_path / "out" / "green")).count() == 5000
+
+
+def test_rows_without_a_time_are_landed_once(spark, tmp_path):
+    """Two landings with different periods, from input without a period column."""
+    flat = spark.createDataFrame(
+        [(datetime(2026, 1, 3, 5), "7", 1.0), (datetime(2026, 3, 4, 5), "7", 2.0), (None, "7", 9.0)],
+        "datetimeUtc timestamp_ntz, location_id string, value double")
+    hourly, man = str(tmp_path / "hourly"), str(tmp_path / "man")
+    for name, first, end in (("a", date(2026, 1, 1), date(2026, 2, 1)), ("b", date(2026, 3, 1), date(2026, 4, 1))):
+        ranges = spark.createDataFrame([(name, first, end)], "period_name string, range_start date, range_end date")
+        air.land_days(flat, hourly, ranges, name, man)
+    landed = air.read_hourly(spark, hourly, man)
+    assert sorted((str(r.datetime_hour)[:7], r.value_count) for r in landed.collect()) == [
+        ("2026-01", 1), ("2026-03", 1), ("None", 1)]
+    # what no manifest holds is not merged
+    landed.limit(1).write.parquet(f"{hourly}/period=x/range=broken")
+    merged = air.merge_hourly(spark, hourly, str(tmp_path / "merged"), man)
+    assert spark.read.parquet(merged).count() == 3
+
+
+def test_one_damaged_file_of_many_costs_few_jobs():
+    from pyspark.errors import PySparkException
+
+    from curbair.sources.sinks import halving
+    jobs, done = [], set()
+    bad = {"f700"}
+
+    def job(some):
+        jobs.append(len(some))
+        if bad & set(some):
+            raise PySparkException("damaged")
+        done.update(some)
+
+    members = [f"f{i}" for i in range(1000)]
+    assert halving(job, members) == {"f700": "damaged"}
+    assert done == set(members) - bad and len(jobs) <= 2 * 10 + 1 and sum(jobs) <= 3 * 1000
+    bad |= {"f3", "f4"}
+    jobs.clear()
+    assert set(halving(job, members)) == bad and len(jobs) <= 3 * 21
+    assert halving(job, []) == {}
