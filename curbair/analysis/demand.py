@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from curbair.functions.times import floor_hour
 from curbair.operators.joins import fits_broadcast, lookup_join
+from curbair.sources.staging import staged
 
 ENDS = {"pickup": "PULocationID", "dropoff": "DOLocationID"}
 
@@ -64,3 +66,46 @@ def demand_rollup(trips: DataFrame, zones: DataFrame, place: str = "PULocationID
         F.grouping("at_borough").cast("long").alias("all_boroughs"),
         F.grouping("at_zone").cast("long").alias("all_zones"),
     )
+
+
+def demand_lattice(
+    trips: DataFrame, zones: DataFrame, place: str = "PULocationID", time: str = "pickup_ts"
+) -> DataFrame:
+    """Trips at every scale of time (hour, day, month) and place (zone, borough, all).
+
+    (time_unit, period_start, place_level, borough, zone, trips). The trips are read once:
+    hours of zones are counted from them, and every other level from the nearest finer
+    one, so each aggregation reads counts that are already small. A place that the zone
+    table does not have counts under borough and zone NULL; a NULL time is a period of
+    its own.
+    """
+    kind = trips.schema[time].dataType
+    counted = hourly_demand(trips, (place,), time)
+    named = attach_zones(counted, zones, {"at": place}, computed=True)
+
+    def rolled(df: DataFrame, unit: str, keys: Sequence[str]) -> DataFrame:
+        start = F.date_trunc(unit, F.col("period_start"))
+        if isinstance(kind, T.TimestampNTZType):
+            start = start.cast("timestamp_ntz")
+        return df.groupBy(start.alias("period_start"), *keys).agg(F.sum("trips").alias("trips"))
+
+    zone, borough = ["borough", "zone"], ["borough"]
+    hours = named.select(F.col("datetime_hour").alias("period_start"), F.col("at_borough").alias("borough"),
+                         F.col("at_zone").alias("zone"), "trips")
+    levels: dict[tuple[str, str], DataFrame] = {}
+    # each level is staged where coarser ones start from it
+    levels["hour", "zone"] = staged(rolled(hours, "hour", zone), "hour-zone")
+    levels["day", "zone"] = staged(rolled(levels["hour", "zone"], "day", zone), "day-zone")
+    levels["month", "zone"] = rolled(levels["day", "zone"], "month", zone)
+    levels["hour", "borough"] = staged(rolled(levels["hour", "zone"], "hour", borough), "hour-borough")
+    levels["day", "borough"] = staged(rolled(levels["hour", "borough"], "day", borough), "day-borough")
+    levels["month", "borough"] = rolled(levels["day", "borough"], "month", borough)
+    levels["hour", "all"] = rolled(levels["hour", "borough"], "hour", [])
+    levels["day", "all"] = staged(rolled(levels["day", "borough"], "day", []), "day-all")
+    levels["month", "all"] = rolled(levels["day", "all"], "month", [])
+    text = F.lit(None).cast("string")
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(unit).alias("time_unit"), "period_start", F.lit(level).alias("place_level"),
+                  (F.col("borough") if level != "all" else text).alias("borough"),
+                  (F.col("zone") if level == "zone" else text).alias("zone"), "trips")
+        for (unit, level), df in levels.items()])

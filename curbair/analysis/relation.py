@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from curbair.operators.joins import lookup_join
-from curbair.operators.spines import hourly_spine
+from curbair.operators.spines import hour_number, hourly_spine
 from curbair.sources.staging import staged
 
 HOUR = "datetime_hour"
@@ -66,6 +66,69 @@ def lag_correlation(
     )
 
 
+def lag_correlation_blocks(
+    demand: DataFrame, air: DataFrame, max_lag: int, by: Sequence[str] = ("parameter",),
+    places: Sequence[str] = (), x: str = "trips", y: str = "value_mean", block_hours: int = 744,
+) -> DataFrame:
+    """``lag_correlation`` on dense arrays: what is shuffled does not grow with the lags.
+
+    Demand becomes one array per place and block of ``block_hours`` hours, with a halo of
+    the ``max_lag`` hours before it, so a demand hour is sent to two blocks at most. A
+    block of readings meets its array by equality, and one pass gives the sums of all lags.
+    Both sides must have one row per hour (a second one raises); hours without a value are
+    no pair, and a lag without pairs has no row.
+    """
+    _at_grain(demand, (*places, HOUR), x)
+    if not 0 <= max_lag <= block_hours:
+        raise ValueError("the lags must not be longer than a block")
+    number = hour_number(F.col(HOUR))
+    ahead = demand.filter(F.col(x).isNotNull() & F.col(HOUR).isNotNull()).select(
+        *places, number.alias("__n"), F.col(x).cast("double").alias("__x"))
+    behind = air.filter(F.col(y).isNotNull() & F.col(HOUR).isNotNull()).select(
+        *dict.fromkeys([*places, *by]), number.alias("__n"), F.col(y).cast("double").alias("__y"))
+    ahead, behind = staged(ahead, "demand-hours"), staged(behind, "air-hours")
+    # sums of values near their mean keep their digits; one row each
+    mean_x, mean_y = (df.agg(F.coalesce(F.avg(c), F.lit(0.0))).first()[0] for df, c in ((ahead, "__x"), (behind, "__y")))
+
+    own = F.floor(F.col("__n") / block_hours)
+    halo = F.pmod("__n", F.lit(block_hours)) >= block_hours - max_lag
+    sent = ahead.withColumn("__block", F.explode(F.when(halo, F.array(own, own + 1)).otherwise(F.array(own))))
+    place = (F.col("__n") - F.col("__block") * block_hours + max_lag).cast("int")
+    arrays = sent.groupBy(*places, "__block").agg(
+        F.map_from_entries(F.collect_list(F.struct(place, F.col("__x") - mean_x))).alias("__map")
+    ).select(*places, "__block", F.transform(
+        F.sequence(F.lit(0), F.lit(block_hours + max_lag - 1)), lambda i: F.try_element_at("__map", i)).alias("__xs"))
+    keys = list(dict.fromkeys([*places, *by]))
+    offset = (F.col("__n") - own * block_hours).cast("int").alias("at")
+    blocks = behind.withColumn("__block", own).groupBy(*keys, "__block").agg(
+        F.collect_list(F.struct(offset, (F.col("__y") - mean_y).alias("y"))).alias("__ys"),
+        F.countDistinct("__n").alias("__hours"))
+    once = F.when(F.size("__ys") == F.col("__hours"), F.col("__ys")).otherwise(
+        F.raise_error(F.lit("readings have more than one row of an hour")))
+    met = blocks.withColumn("__ys", once).join(arrays, [*places, "__block"])
+
+    def sums(lag: Column) -> Column:
+        zero = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+
+        def add(s: Column, pair: Column) -> Column:
+            value = F.get("__xs", pair["at"] + max_lag - lag)
+            more = F.struct(
+                (s["n"] + 1).alias("n"), (s["x"] + value).alias("x"), (s["y"] + pair["y"]).alias("y"),
+                (s["xx"] + value * value).alias("xx"), (s["yy"] + pair["y"] * pair["y"]).alias("yy"),
+                (s["xy"] + value * pair["y"]).alias("xy"))
+            return F.when(value.isNull(), s).otherwise(more)
+
+        return F.struct(lag.alias("lag_hours"), F.aggregate("__ys", zero, add).alias("s"))
+
+    each = met.select(*by, F.inline(F.transform(F.sequence(F.lit(0), F.lit(max_lag)), sums)))
+    total = each.groupBy(*by, "lag_hours").agg(*[F.sum(f"s.{c}").alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    n = F.col("n")
+    spread = lambda a, b: F.col(a + b) - F.col(a) * F.col(b) / n
+    scale = F.sqrt(F.greatest(spread("x", "x"), F.lit(0.0)) * F.greatest(spread("y", "y"), F.lit(0.0)))
+    return total.filter("n > 0").select(
+        *by, "lag_hours", (spread("x", "y") / F.nullif(scale, F.lit(0.0))).alias("correlation"), n.cast("long").alias("hours"))
+
+
 def moving_average(
     hourly: DataFrame, keys: Sequence[str], value: str, hours: int = 24, block_days: int = 31,
     fill_gaps: bool = True,
@@ -83,9 +146,8 @@ def moving_average(
         raise ValueError("the window must be shorter than a block")
     series = hourly.select(*keys, HOUR, value)
     series = hourly_spine(series, keys) if fill_gaps else series.filter(F.col(HOUR).isNotNull())
-    days = F.datediff(F.col(HOUR).cast("date"), F.lit("1970-01-01").cast("date"))
-    hour_number = (days * 24 + F.hour(HOUR)).cast("bigint")
-    placed = series.withColumns({"__n": hour_number, "__block": F.floor(hour_number / block_hours)})
+    number = hour_number(F.col(HOUR))
+    placed = series.withColumns({"__n": number, "__block": F.floor(number / block_hours)})
     tail = F.pmod("__n", F.lit(block_hours)) > block_hours - hours
     blocks = F.when(tail, F.array(F.col("__block"), F.col("__block") + 1)).otherwise(
         F.array("__block")

@@ -6,8 +6,6 @@ Every function takes a table of requests, so one call plans any number of them.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from curbair.functions.times import month_start
@@ -108,19 +106,50 @@ def uncovered_ranges(
     ).drop("__run")
 
 
+def hour_number(hour: Column) -> Column:
+    """Hours since 1970-01-01 of a floored hour."""
+    days = F.datediff(hour.cast("date"), F.lit("1970-01-01").cast("date"))
+    return (days * 24 + F.hour(hour)).cast("bigint")
+
+
+def series_gaps(
+    hourly: DataFrame, keys: Sequence[str], hour: str = "datetime_hour", block_days: int = 31
+) -> DataFrame:
+    """Runs of hours without a row between a series' first and last: one row per gap, with
+    the keys, ``gap_start``, ``gap_end`` (half-open) and ``hours``.
+
+    A series is cut into blocks of ``block_days`` days. Within a block each hour looks at
+    the next one; between blocks only their first and last hours are compared, so no
+    window holds a whole series. Rows without an hour take no part; repeated hours count
+    once; a NULL key names a series like any other. The input is read twice: stage what
+    is costly to compute.
+    """
+    placed = hourly.filter(F.col(hour).isNotNull()).select(
+        *keys, F.col(hour).alias("__at"), F.floor(hour_number(F.col(hour)) / (24 * block_days)).alias("__block"))
+    inside = placed.withColumn("__next", F.lead("__at").over(Window.partitionBy(*keys, "__block").orderBy("__at")))
+    ends = placed.groupBy(*keys, "__block").agg(F.min("__at").alias("__first"), F.max("__at").alias("__at"))
+    between = ends.withColumn("__next", F.lead("__first").over(Window.partitionBy(*keys).orderBy("__block")))
+    columns = [*keys, "__at", "__next"]
+    steps = inside.select(columns).unionByName(between.select(columns))
+    missing = hour_number(F.col("__next")) - hour_number(F.col("__at")) - 1
+    return steps.filter(missing > 0).select(
+        *keys, (F.col("__at") + F.expr("interval 1 hour")).alias("gap_start"), F.col("__next").alias("gap_end"),
+        missing.alias("hours"))
+
+
 def hourly_spine(hourly: DataFrame, keys: Sequence[str], hour: str = "datetime_hour") -> DataFrame:
     """Every hour between a series' first and last, with the series' own columns.
 
-    Hours without a row appear with NULL measures. Rows without an hour have no
-    place on the spine and are left out. A NULL key names a series like any other.
-    The input is read once: the extent and the join use a staged copy.
+    Hours without a row appear with NULL measures: the known rows as they are, and the
+    gaps' hours beside them. Rows without an hour have no place on the spine and are left
+    out. A NULL key names a series like any other. The input is read once: gaps and rows
+    use a staged copy.
     """
     known = staged(hourly.filter(F.col(hour).isNotNull()), "series")
-    extent = known.groupBy(*keys).agg(F.min(hour).alias("__low"), F.max(hour).alias("__high"))
-    every = F.sequence("__low", "__high", F.expr("interval 1 hour"))
-    spine = extent.select(*keys, F.explode(every).alias(hour))
     names = [*keys, hour]
     measures = [c for c in known.columns if c not in names]
-    side = known.select(*[F.col(c).alias(f"__on_{c}") for c in names], *measures)
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__on_{c}")) for c in names])
-    return spine.join(side, same, "left").select(*names, *measures)
+    step = F.expr("interval 1 hour")
+    absent = series_gaps(known, keys, hour).select(
+        *keys, F.explode(F.sequence("gap_start", F.col("gap_end") - step, step)).alias(hour))
+    nothing = [F.lit(None).cast(known.schema[c].dataType).alias(c) for c in measures]
+    return known.select(*names, *measures).unionByName(absent.select(*names, *nothing))

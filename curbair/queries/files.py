@@ -10,10 +10,11 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curbair.functions.names import base_name
-from curbair.operators import partials, quality, spines
+from curbair.operators import intervals, partials, quality, spines
 from curbair.operators.measurements import hourly_statistics
 from curbair.operators.organise import organised_fact, time_extent
 from curbair.operators.unions import distinct_rows, union_all
+from curbair.plans import sorted_set
 from curbair.plans.runs import run_trips
 from curbair.queries.measurements import HOURLY
 from curbair.queries.registry import query
@@ -24,7 +25,7 @@ from curbair.sources import files, sinks
 from curbair.sources.catalogue import explode_catalogue
 from curbair.sources.staging import fresh_path
 from curbair.streaming.arrivals import write_once
-from curbair.streaming.hourly import closed_hours
+from curbair.streaming.hourly import closed_hours, write_parts
 from curbair.streaming.trips import clean_arrivals, trip_stream
 
 
@@ -247,6 +248,76 @@ def merge_distinct(spark: SparkSession, folder: str) -> DataFrame:
     return distinct_rows(union_all([orders, late]), ["o_orderkey"])
 
 
+_REQUESTS = """
+    SELECT o_orderpriority, min(o_orderdate) + INTERVAL 5 HOUR AS since,
+           max(o_orderdate) + INTERVAL 13 HOUR AS until FROM orders GROUP BY 1
+"""
+_COVERED = """
+    SELECT o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS since,
+           CAST(o_custkey % 50 + 1 AS INTEGER) AS hours FROM orders WHERE o_totalprice > 450000
+"""
+
+
+@query(f"""
+    WITH c AS (
+      SELECT DISTINCT unnest(generate_series(since, since + to_hours(hours - 1), INTERVAL 1 HOUR)) AS h FROM ({_COVERED}) x),
+    w AS (SELECT o_orderpriority, unnest(generate_series(since, until - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS h FROM ({_REQUESTS}) r),
+    o AS (SELECT * FROM w WHERE h NOT IN (SELECT h FROM c)),
+    r AS (SELECT *, h - to_hours(CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY h) AS INTEGER)) AS run FROM o)
+    SELECT o_orderpriority, min(h) AS range_start, max(h) + INTERVAL 1 HOUR AS range_end FROM r GROUP BY o_orderpriority, run
+""")
+def uncovered_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """What landed ranges leave of each priority's request, both cut at any hour."""
+    orders = table(spark, folder, "orders")
+    hours = lambda n: F.make_dt_interval(hours=n.cast("int"))
+    wanted = orders.groupBy("o_orderpriority").agg(
+        (F.min("o_orderdate") + hours(F.lit(5))).alias("range_start"), (F.max("o_orderdate") + hours(F.lit(13))).alias("range_end"))
+    start = F.col("o_orderdate") + hours(F.col("o_orderkey") % 24)
+    covered = orders.filter("o_totalprice > 450000").select(
+        start.alias("range_start"), (start + hours(F.col("o_custkey") % 50 + 1)).alias("range_end"))
+    return intervals.interval_difference(wanted, covered, ["o_orderpriority"])
+
+
+@query(f"""
+    WITH c AS (
+      SELECT DISTINCT unnest(generate_series(since, since + to_hours(hours - 1), INTERVAL 1 HOUR)) AS h FROM ({_COVERED}) x),
+    r AS (SELECT h, h - to_hours(CAST(row_number() OVER (ORDER BY h) AS INTEGER)) AS run FROM c)
+    SELECT min(h) AS range_start, max(h) + INTERVAL 1 HOUR AS range_end FROM r GROUP BY run
+""")
+def covered_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed ranges of any length as disjoint ones."""
+    start = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    covered = table(spark, folder, "orders").filter("o_totalprice > 450000").select(
+        start.alias("range_start"),
+        (start + F.make_dt_interval(hours=(F.col("o_custkey") % 50 + 1).cast("int"))).alias("range_end"))
+    return intervals.interval_union(covered)
+
+
+@query("SELECT * FROM orders")
+def sorted_take_in(spark: SparkSession, folder: str) -> DataFrame:
+    """A sorted set of the early orders that takes in the late ones and a few others."""
+    orders = table(spark, folder, "orders")
+    late, few = F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"), F.col("o_orderkey") % 97 == 0
+    path = fresh_path(spark, "sorted-orders")
+    sorted_set.create(orders, path, "o_orderdate", 16)
+    for version, rows in (("first", orders.filter(~late & ~few)), ("late", orders.filter(late & ~few)), ("few", orders.filter(few))):
+        sorted_set.take_in(rows, path, "o_orderdate", version)
+    sorted_set.clear_superseded(spark, path)
+    return sorted_set.read_sorted(spark, path, "o_orderdate")
+
+
+@query(f"SELECT * EXCLUDE (unit) FROM ({HOURLY}) h")
+def hourly_stream_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact hours of a stream whose files are in no order: rows come later than any delay."""
+    source, parts, progress = (fresh_path(spark, n) for n in ("unordered", "parts", "progress"))
+    flat = flat_measurements(spark, folder).drop("unit").withColumn("datetimeUtc", F.col("datetimeUtc").cast("timestamp"))
+    flat.repartition(9, F.xxhash64("value", "datetimeUtc")).write.parquet(source)
+    stream = spark.readStream.schema(flat.schema).option("maxFilesPerTrigger", 4).parquet(source)
+    write_parts(stream, parts, progress, ["location_id", "parameter"]).awaitTermination()
+    hours = partials.read_increments(spark, parts)
+    return rounded(hours.withColumn("datetime_hour", F.col("datetime_hour").cast("timestamp_ntz")), "value_mean")
+
+
 @query("""
     WITH last AS (SELECT max(ts) AS seen FROM events)
     SELECT date_trunc('hour', ts) AS datetime_hour, event_type AS parameter,

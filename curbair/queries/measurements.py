@@ -16,6 +16,7 @@ from curbair.queries.views import (
     STATIONS, flat_measurements, rounded, stations, table,
 )
 from curbair.schemas import FACT_COLUMNS, STATION_COLUMNS
+from curbair.sources import extents
 from curbair.sources.staging import fresh_path, staged
 
 STATS = """round(avg(value), 6) AS value_mean, min(value) AS value_min,
@@ -242,6 +243,53 @@ def filter_parameter_station(spark: SparkSession, folder: str) -> DataFrame:
     return ops.filter_values(table(spark, folder, "lineitem"), l_returnflag="A", l_linestatus="F")
 
 
+EXTENT_BOX = (0.0, 0.0, 12.0, 5000.0)
+_LOCATED = f"""
+    SELECT ts AS datetimeUtc, user_id AS location_id, event_type AS parameter, value, longitude, latitude
+    FROM events JOIN ({STATIONS}) s ON user_id = s.location_id
+"""
+
+
+def _landed_files(spark: SparkSession, folder: str) -> str:
+    """Located measurements as many files, each of a few hours; the folder."""
+    where = stations(spark, folder).select("location_id", "longitude", "latitude")
+    flat = ops.attach_stations(flat_measurements(spark, folder).drop("unit"), where)
+    path = fresh_path(spark, "extent-files")
+    flat.repartitionByRange(64, "datetimeUtc").write.parquet(path)
+    return path
+
+
+@query(f"""
+    SELECT * FROM ({_LOCATED}) l
+    WHERE date_trunc('second', datetimeUtc) BETWEEN TIMESTAMP '2024-01-08 00:00:00' AND TIMESTAMP '2024-01-09 11:59:59'
+      AND longitude BETWEEN {EXTENT_BOX[0]} AND {EXTENT_BOX[2]} AND latitude BETWEEN {EXTENT_BOX[1]} AND {EXTENT_BOX[3]}
+""")
+def extent_range(spark: SparkSession, folder: str) -> DataFrame:
+    """A range and a box from landed files, of which only those are opened that the index
+    says can match."""
+    path, index = _landed_files(spark, folder), fresh_path(spark, "extents")
+    scan = extents.parquet_rows(spark)
+    extents.update_index(spark, path, index, scan)
+    return extents.read_range(spark, path, index, scan, "2024-01-08T00:00:00Z", "2024-01-09T11:59:59Z", EXTENT_BOX)
+
+
+@query(f"""
+    SELECT count(*) AS measurements, count(*) FILTER (datetimeUtc IS NULL) AS untimed,
+           min(datetimeUtc) AS first_time, max(datetimeUtc) AS last_time,
+           min(longitude) AS min_longitude, max(latitude) AS max_latitude
+    FROM ({_LOCATED}) l
+""")
+def extent_index(spark: SparkSession, folder: str) -> DataFrame:
+    """What the index holds of all files together."""
+    path, index = _landed_files(spark, folder), fresh_path(spark, "extents")
+    extents.update_index(spark, path, index, extents.parquet_rows(spark))
+    extents.update_index(spark, path, index, extents.parquet_rows(spark))  # nothing is new
+    return extents.read_index(spark, index).agg(
+        F.sum("measurements").alias("measurements"), F.sum("untimed").alias("untimed"),
+        F.min("first_time").cast("timestamp_ntz").alias("first_time"), F.max("last_time").cast("timestamp_ntz").alias("last_time"),
+        F.min("min_longitude").alias("min_longitude"), F.max("max_latitude").alias("max_latitude"))
+
+
 # --- imputation --------------------------------------------------------------
 
 
@@ -264,6 +312,25 @@ def impute_group_mean(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(imputing.impute(item, ["l_returnflag", "l_linestatus"]), "value")
 
 
+@query(f"""
+    SELECT l_orderkey, l_partkey, l_suppkey, l_returnflag, l_linestatus,
+           {_fill('l_discount', 'l_returnflag, l_linestatus')} AS value
+    FROM lineitem
+""")
+def impute_from_increments(spark: SparkSession, folder: str) -> DataFrame:
+    """Three increments landed one after the other; the fill uses their kept parts."""
+    keys = ["l_returnflag", "l_linestatus"]
+    item = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", *keys, "l_linenumber", F.col("l_discount").alias("value"))
+    path = fresh_path(spark, "mean-parts")
+    for number in range(3):
+        new = item.filter(F.col("l_linenumber") % 3 == number)
+        imputing.add_mean_increment(new, path, f"i{number}", keys, ["value"])
+    imputing.add_mean_increment(item.filter("l_linenumber % 3 = 1"), path, "i1", keys, ["value"])  # landed again
+    filled = imputing.impute(item.drop("l_linenumber"), keys, ["value"], means=imputing.read_means(spark, path))
+    return rounded(filled, "value")
+
+
 @query(f"""
     SELECT l_orderkey, l_returnflag AS parameter, l_suppkey AS location_id,
            {_fill('l_discount', 'l_returnflag, l_suppkey')} AS value_mean,

@@ -9,6 +9,7 @@ from curbair.analysis.demand import hourly_demand
 from curbair.operators import measurements, spines
 from curbair.queries.registry import query
 from curbair.queries.views import rounded, table
+from curbair.sources.staging import staged
 
 DEMAND = """
     SELECT date_trunc('hour', ts) AS datetime_hour, count(*) AS trips
@@ -66,6 +67,20 @@ def lag_corr(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(f"""
+    WITH lags AS (SELECT unnest(generate_series(0, 24)) AS lag_hours)
+    SELECT parameter, CAST(lag_hours AS INTEGER) AS lag_hours,
+           round(corr(CAST(trips AS DOUBLE), value_mean), 6) AS correlation, count(*) AS hours
+    FROM ({DEMAND}) d CROSS JOIN lags JOIN ({AIR}) a
+         ON a.datetime_hour = d.datetime_hour + to_hours(CAST(lag_hours AS BIGINT))
+    GROUP BY 1, 2
+""")
+def lag_corr_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """All lags from dense blocks, each demand hour sent to two of them at most."""
+    found = ops.lag_correlation_blocks(demand(spark, folder), air(spark, folder), 24, block_hours=168)
+    return rounded(found, "correlation")
+
+
 _SPINE = f"""
     SELECT s.parameter, s.datetime_hour, a.value_mean, a.value_max FROM (
       SELECT parameter, unnest(generate_series(min(datetime_hour), max(datetime_hour),
@@ -108,3 +123,17 @@ def hotspots(spark: SparkSession, folder: str) -> DataFrame:
     """All hours high in both demand and pollution."""
     cells = ops.demand_air(demand(spark, folder), air(spark, folder).drop("value_max"))
     return rounded(ops.hotspots(cells, 0.8), "value_mean")
+
+
+@query("""
+    WITH h AS (SELECT DISTINCT user_id, date_trunc('hour', ts) AS h FROM events),
+    n AS (SELECT *, lead(h) OVER (PARTITION BY user_id ORDER BY h) AS following FROM h)
+    SELECT user_id AS location_id, h + INTERVAL 1 HOUR AS gap_start, following AS gap_end,
+           date_diff('hour', h, following) - 1 AS hours
+    FROM n WHERE date_diff('hour', h, following) > 1
+""")
+def series_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of hours without a reading, per station."""
+    named = table(spark, folder, "events").withColumn("location_id", F.col("user_id"))
+    stats = measurements.hourly_statistics(named, time="ts", keys=["location_id"])
+    return spines.series_gaps(staged(stats.select("location_id", "datetime_hour"), "hours"), ["location_id"], block_days=7)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from curbair.analysis.demand import (
-    attach_zones, demand_by_unit, demand_rollup as rollup_demand, hourly_demand,
+    attach_zones, demand_by_unit, demand_lattice as all_scales, demand_rollup as rollup_demand, hourly_demand,
 )
 from curbair.operators import quality, trips as trip_ops, unions
 from curbair.operators.conform import conform
@@ -152,6 +152,20 @@ def demand_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return rollup_demand(cleaned, zones(spark, folder), "DOLocationID")
 
 
+_PLACES = {"zone": "Borough AS borough, Zone AS zone", "borough": "Borough AS borough, NULL AS zone", "all": "NULL AS borough, NULL AS zone"}
+
+
+@query(" UNION ALL ".join(f"""
+    SELECT '{unit}' AS time_unit, CAST(date_trunc('{unit}', pickup_ts) AS TIMESTAMP) AS period_start,
+           '{level}' AS place_level, {place}, count(*) AS trips
+    FROM ({CLEAN_TRIPS}) t LEFT JOIN ({ZONES}) z ON t.DOLocationID = z.LocationID GROUP BY 1, 2, 3, 4, 5
+""" for unit in ("hour", "day", "month") for level, place in _PLACES.items()))
+def demand_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    """Demand at every scale of time and place, the trips read once."""
+    cleaned = trip_ops.clean_trips(raw_trips(spark, folder), YELLOW, stamped=False)
+    return all_scales(cleaned, zones(spark, folder), "DOLocationID", YELLOW.pickup)
+
+
 @query("""
     SELECT 'part_' || CAST(p_partkey AS VARCHAR) || '.csv' AS source_file, p_brand AS dataset
     FROM part WHERE p_partkey NOT IN

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from curbair.functions.values import without_nan
 from curbair.operators.measurements import flatten_stations, time_column
+from curbair.operators.partials import add_increment
 from curbair.schemas import STATION_PAGE_USED
 
 
@@ -43,3 +45,21 @@ def closed_hours(
         .select(F.col("__w.start").alias("datetime_hour"), *keys, "value_mean", "value_min",
                 "value_max", "value_count")
     )
+
+
+def write_parts(
+    stream: DataFrame, path: str, progress: str, keys: Sequence[str] | None = None,
+    time: str = "datetimeUtc", value: str = "value",
+) -> StreamingQuery:
+    """Store the parts of every batch of a stream, once all of its input is there.
+
+    Each batch becomes the increment of its number. A batch that is replayed after a
+    failure replaces its own increment, and a row counts however late it comes, so
+    ``partials.read_increments`` over ``path`` is exact at any time. ``path`` belongs to
+    ``progress``: a stream that starts anew needs a new folder.
+    """
+    def store(batch: DataFrame, number: int) -> None:
+        add_increment(batch, path, f"batch-{number}", time=time, value=value, keys=keys)
+
+    return stream.writeStream.foreachBatch(store).option("checkpointLocation", progress).trigger(
+        availableNow=True).start()
