@@ -177,21 +177,22 @@ def hourly_rows(
 
 def hourly_statistics(
     df: DataFrame, time: str = "datetimeUtc", value: str = "value",
-    keys: Sequence[str] | None = None, drop_all_null: bool = False,
+    keys: Sequence[str] | None = None, drop_all_null: bool = False, ordered: bool = False,
 ) -> DataFrame:
     """Mean, minimum, maximum and non-missing count of ``value`` per hour and key.
 
     Missing keys form groups of their own, unparseable times the NULL hour. All
     four aggregates combine map-side, so one hot group costs one row per task in
-    the shuffle.
+    the shuffle. ``ordered`` sorts the result by hour and keys, missing ones last.
     """
     keys = list(keys) if keys is not None else group_keys(df, drop_all_null)
-    return hourly_rows(df, time, value, keys).groupBy("datetime_hour", *keys).agg(
+    found = hourly_rows(df, time, value, keys).groupBy("datetime_hour", *keys).agg(
         F.avg("__value").alias("value_mean"),
         F.min("__value").alias("value_min"),
         F.max("__value").alias("value_max"),
         F.count("__value").alias("value_count"),
     )
+    return found.orderBy(*[F.col(c).asc_nulls_last() for c in ("datetime_hour", *keys)]) if ordered else found
 
 
 def sensor_extent(df: DataFrame, keys: Sequence[str], time: str = "datetimeUtc") -> DataFrame:

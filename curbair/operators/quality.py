@@ -37,6 +37,12 @@ def status_totals(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("dataset", "status").agg(F.count(F.lit(1)).alias("files"))
 
 
+def record(path: str, *reports: DataFrame) -> None:
+    """Append quality rows to the table of all runs."""
+    for report in reports:
+        report.coalesce(1).write.mode("append").parquet(path)
+
+
 def as_report(
     wide: DataFrame, run_id: str, dataset: str, source: str | None = None
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from datetime import date, datetime, time
 
 from pyspark.sql import SparkSession, functions as F
 
+from curbair.operators import quality
 from curbair.operators.spines import period_spine, uncovered_ranges
 from curbair.plans import manifest as log
 from curbair.plans import measurements as air
@@ -32,9 +33,13 @@ def run_trips(
     spark: SparkSession, raw: str, work: str, output: str, start: date, end: date, run_id: str,
     incremental: bool = True, fmt: str = "parquet",
 ) -> dict[str, str]:
-    """Clean the trip files not cleaned yet, then merge all cleaned ones per taxi type."""
+    """Clean the trip files not cleaned yet, then merge all cleaned ones per taxi type.
+
+    What was read, kept and rejected per file goes to ``<work>/quality``.
+    """
     cleaned = f"{work}/cleaned"
-    taxi.clean_files(spark, raw, cleaned, f"{work}/manifest", run_id, incremental, fmt, report=False)
+    done = taxi.clean_files(spark, raw, cleaned, f"{work}/manifest", run_id, incremental, fmt)
+    quality.record(f"{work}/quality", *done.reports)
     days = (d.strftime("%Y%m%d") for d in (start, end))
     return taxi.merge_files(spark, cleaned, output, *days, run_id, fmt)
 
@@ -46,7 +51,8 @@ def run_measurements(
     """Hourly statistics of all days not covered yet, then one organised set.
 
     Landed pages lie in ``<pages>/period=<name>``, by two-month periods of the request.
-    Requests may overlap: a covered day is neither read again nor replaced.
+    Requests may overlap: a covered day is neither read again nor replaced. The run's
+    counts go to ``<work>/quality``.
     """
     request = spark.createDataFrame(
         [(datetime.combine(start, time.min), datetime.combine(end, time.max))],
@@ -59,4 +65,6 @@ def run_measurements(
     )
     hourly = f"{work}/hourly"
     air.land_ranges(spark, pages, hourly, uncovered_ranges(periods, covered), run_id, manifest)
-    return air.organise_hourly(spark, air.read_hourly(spark, hourly, manifest), output, run_id, prefix, fmt)
+    done = air.organise_hourly(spark, air.read_hourly(spark, hourly, manifest), output, run_id, prefix, fmt)
+    quality.record(f"{work}/quality", done.report)
+    return done

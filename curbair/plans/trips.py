@@ -15,6 +15,7 @@ from curbair.operators.organise import dataset_name
 from curbair.operators.trips import clean_trips
 from curbair.operators.unions import merge_trips
 from curbair.plans import manifest as log
+from curbair.plans.errors import EmptyResult
 from curbair.schemas import MERGED_TRIPS, TRIP_FILES, TRIP_PREFIX, TRIP_SPECS, TripSpec
 from curbair.sources import files, sinks
 from curbair.sources.staging import staged
@@ -72,9 +73,12 @@ def clean_files(
     be read or lacks required columns is recorded as failed and does not stop the
     others. Outputs are replaced per file, so a repeated run cannot duplicate rows.
     With ``quarantine`` the malformed CSV rows go there instead of counting as
-    rejected.
+    rejected. A folder without any trip file raises ``EmptyResult``; one without new
+    files has nothing to do.
     """
-    listing = files.list_inputs(spark, folder, TRIP_FILES)
+    listing = staged(files.list_inputs(spark, folder, TRIP_FILES), "trip-files")
+    if listing.isEmpty():
+        raise EmptyResult(f"no trip files in {folder}")
     if incremental:
         listing = unprocessed(listing, log.finished(log.read_manifest(spark, manifest), DATASET))
     paths = files.paths_of(listing)
@@ -165,7 +169,8 @@ def merge_files(
 ) -> dict[str, str]:
     """Merge the cleaned files of each taxi type in pickup order; paths by type.
 
-    Each result is a directory whose files, in name order, are sorted by pickup.
+    Each result is a directory whose files, in name order, are sorted by pickup. Nothing
+    cleaned of any type raises ``EmptyResult``.
     """
     base = f"{output}/{dataset_name(prefix, first_day, last_day, run_id)}"
     written = {}
@@ -185,4 +190,6 @@ def merge_files(
         else:
             sinks.write_parquet(merged, path)
         written[spec.taxi_type] = path
+    if not written:
+        raise EmptyResult(f"no cleaned trips in {cleaned}")
     return written
