@@ -18,7 +18,12 @@ LEAST_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language the network recognises; ``und`` and guesses go."""
+    """Documents in a language the network recognises; ``und`` and guesses go.
+
+    A text that is NULL, empty or without a letter is ``und`` and goes. Very long texts are
+    read whole, repeated rows are judged alike, an empty table stays empty; extra columns
+    stay, whatever their names.
+    """
     lang, score = fresh(docs, "__lang_pred"), fresh(docs, "__score")
     found = langid.identify(docs, docs.filter(~langid.held_out()), lang_out=lang, score_out=score)
     kept = (F.col(lang) != langid.UNDETERMINED) & (F.col(score) >= LEAST_SCORE)
@@ -26,23 +31,39 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
+    """One document of each group of near duplicates: the one with the smallest id.
+
+    Documents without words (NULL, empty, blanks) all stay, as they are alike with nothing.
+    Of repeated rows one stays; rows that share an id but not a text are judged by their
+    texts, and a NULL id leads a group only if no member has one.
+    """
     return jaccard.one_of_each(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in them replaced; ``n_chars`` follows the text."""
+    """All documents, secrets in them replaced; ``n_chars`` follows the text.
+
+    A NULL text stays NULL with its ``n_chars``, an empty one empty; repeated rows change
+    alike.
+    """
     clean = secrets.redact(docs)
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(docs.columns)
 
 
 def target_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn towards tempered shares of source, language and topic."""
+    """Documents drawn towards tempered shares of source, language and topic.
+
+    A NULL source or language is a value of its own. Texts that are NULL or without words
+    weigh nothing and stay; rows with equal ids are drawn alike.
+    """
     return mixture.mix(docs, queries.margins(), queries.TEMPER).filter("kept").select(docs.columns)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of what is left: per document n_tokens, ids_crc32 and round_trip."""
+    """Ids of what is left: per document n_tokens, ids_crc32 and round_trip.
+
+    A NULL or empty text has no ids; repeated rows give repeated results.
+    """
     return pieces.piece_digests(docs, queries.tokenizer_path("piece_bpe_32k.model"))
 
 
