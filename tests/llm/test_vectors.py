@@ -103,3 +103,59 @@ def test_components_of_long_paths_and_loops(spark):
     found = {r.node: r.root for r in connected_components(spark.createDataFrame(path, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(1, 41)}, 201: 200}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_top_products_of_large_components_and_repeated_queries(spark):
+    """Nothing is refused: products beyond 64 bits are exact, their report is the nearest."""
+    big = [2.0**70, -(2.0**70), 3e38, 2.0**40, 1.0, 0.0]
+    rows = [(i, [big[i % 6], big[(i + 1) % 6] / 3, 1.5]) for i in range(60)]
+    rows += [(10, [5.0, 1.0, 0.5]), (10, [5.0, 1.0, 0.5]), (20, [2.0**45, 2.0**45, -1.0]), (21, [2.0**45, 2.0**45, -1.001])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    held = [(i, [int(np.floor(1024 * v)) for v in x]) for i, x in rows]
+    expected = []
+    for q, x in held:
+        if q % 10 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in held if i != q)[:4]
+            expected += [(q, n, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(scores, 1)]
+    found = top_inner_products(df, F.col("vec_id") % 10 == 0, k=4)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
+
+
+def test_most_candidates_are_eliminated():
+    """The joint bound of all pivots is never too low and leaves few candidates."""
+    from curbair.llm import topk
+
+    rng = np.random.default_rng(2)
+    x = np.floor(1024 * np.array(clustered(rng, 3000, dim=64, spread=0.3)))
+    x = np.floor(1024 * x / np.linalg.norm(x, axis=1)[:, None])
+    for count, most in ((64, 0.05), (48, 1.0), (5, 1.0)):
+        span = topk.pivot_span(topk.choose_pivots(x[:2000].tolist(), count))
+        place = topk.places(x, span)
+        scores = x.astype(np.int64) @ x[:40].astype(np.int64).T
+        assert (place @ place[:40].T + 1e-6 + topk.SLACK * 2 * (x**2).sum(axis=1)[:, None] >= scores).all()
+        best = topk._Best(np.arange(40), np.arange(40), x[:40], place[:40], 10)
+        for at in range(0, 3000, 500):
+            part = slice(at, at + 500)
+            best.offer(np.arange(3000)[part], np.arange(3000)[part], x[part], place[part])
+        for i in range(40):
+            order = sorted((-int(s), j) for j, s in enumerate(scores[:, i]) if j != i)[:10]
+            assert [(s, v) for s, v, _ in best.found[i]] == order
+        assert best.evaluated <= most * best.offered
+
+
+def test_near_vectors_close_to_the_limit(spark):
+    """Recall for pairs whose cosine lies between 0.98 and 0.985."""
+    rng = np.random.default_rng(8)
+    rows, pairs = [], 0
+    for i in range(300):
+        a = rng.normal(size=32)
+        a /= np.linalg.norm(a)
+        side = rng.normal(size=32)
+        side -= (side @ a) * a
+        side /= np.linalg.norm(side)
+        cosine = rng.uniform(0.9802, 0.985)
+        b = cosine * a + np.sqrt(1 - cosine**2) * side
+        rows += [(2 * i, a.tolist(), 0), (2 * i + 1, b.tolist(), 0)]
+        pairs += 1
+    found = near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sum(r.n_links for r in found) / 2 >= 0.95 * pairs
