@@ -20,14 +20,13 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from curbair.llm.common import slices
+from curbair.llm.common import pack, pack_sorted, slices, summed, unpack, unpack_sorted
 from curbair.operators.joins import fits_broadcast, lookup_join
 from curbair.sources.staging import discard, staged
 
@@ -47,35 +46,6 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Non-negative integers by byte planes, compressed."""
-    top = int(values.max()) if len(values) else 0
-    width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w))
-    planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
-    return bytes([width]) + zlib.compress(planes, 1)
-
-
-def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data[1:]), np.uint8).reshape(data[0], -1)
-    return np.ascontiguousarray(planes.T).view(f"<u{data[0]}").ravel().astype(np.int64)
-
-
-def pack_sorted(values: np.ndarray) -> bytes:
-    return pack(np.diff(values, prepend=0))
-
-
-def unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(unpack(data))
-
-
-def summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in ascending order and the sum of each one's weights."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.diff(keys, prepend=-1))
-    return keys[first], np.add.reduceat(weights[order], first) if len(first) else weights[:0]
-
-
 def _byte_alphabet() -> dict[str, int]:
     """The characters by which byte-level vocabularies write bytes: printable ones stand
     for themselves, the others follow from U+0100 on."""

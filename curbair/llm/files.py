@@ -34,6 +34,12 @@ def get(uri: str) -> bytes:
         return source.read()
 
 
+def remove(spark, folder: str) -> None:
+    """Remove a folder that tasks have written to."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def task_name(prefix: str, number: int, suffix: str) -> str:
     """A file name no other attempt of any task uses."""
     context = TaskContext.get()

@@ -4,15 +4,19 @@ Two documents link when their sets of word shingles have a Jaccard similarity of
 least ``percent`` / 100. The join is exact up to the 64-bit hashes that stand for
 shingles, and runs in these steps:
 
-1. One pass over all texts gives each document its set's size and 128-bit signature,
-   and counts shingles in a sketch of fixed size. Equal sets form one class; only one
-   document of a class goes on.
-2. Shingles are ordered rare first (by the sketch, then by hash). Linked sets share one
-   of the first ``n - ceil(n * percent / 100) + 1`` shingles of either. Classes with
-   identical prefixes and sizes collapse into one group.
+1. One pass over all texts gives each document its set's size and 128-bit signature.
+   Equal sets form one class; only one document of a class goes on. The pass also counts
+   shingles, by as many upper bits of their hashes as the amount of text asks for: a
+   block of documents sends its distinct values to the tasks that hold their ranges, each
+   once with a count, and learns which of them occur elsewhere too.
+2. Shingles are ordered rare first (by count, then by value). Linked sets share one of the
+   first ``n - ceil(n * percent / 100) + 1`` shingles of either; those that occur once
+   meet nothing, and a document with enough of them is done. Classes with identical
+   prefixes and sizes collapse into one group.
 3. Groups meet on prefix shingles. Only links between different components matter, so
    each group first tests the one partner it shares most prefix shingles with (a star,
-   not all pairs); this repeats with other partners while it pays.
+   not all pairs); then any two components that meet test one pair, turn by turn, as
+   long as it pays.
 4. What then still lies in different components is paired exhaustively: sizes,
    the positions of the shared shingle filter the pairs of groups, and survivors are
    expanded to members and verified.
@@ -26,40 +30,31 @@ Sets are verified as sorted arrays in Arrow batches. No group is ever held whole
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from curbair.llm.common import LOWER, fresh, slices
+from curbair.llm.common import LOWER, fresh, pack, pack_sorted, slices, summed, unpack, unpack_sorted
 from curbair.llm.components import connected_components
+from curbair.llm.files import get, put, remove, task_name
 from curbair.operators.joins import fits_broadcast, lookup_join
-from curbair.sources.staging import discard, staged
+from curbair.sources.staging import discard, fresh_path, staged
 
-#: log2 of the sketch's counters; a byte each when broadcast.
-SKETCH_BITS = 24
-_BLOCK = 1 << 16
+#: Bytes of text whose shingles are counted together before they are sent on, and
+#: shingles of one range of hashes.
+BLOCK_BYTES, RANGE_SHINGLES = 8 << 20, 1 << 21
 #: Bytes of text, and of sets to verify, that a task holds as objects.
 TEXT_BYTES = 1 << 20
 #: A side of a join up to this size is broadcast.
 SMALL_BYTES = 8 << 20
-#: A shingle the sketch counts this often above the mean is met by a split join.
+#: A shingle that occurs about this often is met by a split join.
 HOT_ROWS = 5000
 
-_MIX = np.random.default_rng(20240229).integers(1, 2**64, 256, dtype=np.uint64, endpoint=False)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    base = np.full(n, _BASE, dtype=np.uint64)
-    inverse = np.full(n, pow(int(_BASE), -1, 1 << 64), dtype=np.uint64)
-    base[:1] = inverse[:1] = 1
-    return np.cumprod(base, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
-
-
-_POWERS = _powers(1 << 16)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_CHUNK = 1 << 20
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -68,54 +63,52 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words that stand in ``data``, one blank between neighbours: sums
+    of a mixed value of every byte and its place in the word, mixed with the length."""
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + _CHUNK)))
+        low, high = starts[first], ends[last - 1]
+        at, part = starts[first:last] - low, data[low:high]
+        place = np.arange(high - low) - np.repeat(at, np.diff(at, append=high - low))
+        values = _mixed((place << 8 | part).astype(np.uint64) * _ODD)
+        values[part == 32] = 0
+        out[first:last] = np.add.reduceat(values, at)
+        first = last
+    return _mixed(out + (ends - starts).astype(np.uint64) * _ODD)
+
+
 def shingle_hashes(text: str | None, words: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles of ``words`` words.
 
     A-Z is lower-cased; words are runs of anything but blanks (0x20, 0x09-0x0D). Fewer
-    words form one shingle, none an empty set.
+    words form one shingle, none an empty set. Words are hashed one by one and combined
+    in order by a mixing step each.
     """
-    global _POWERS
     found = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not found:
         return np.empty(0, np.uint64)
     data = np.frombuffer(b" ".join(found), dtype=np.uint8)
-    if len(data) + 1 > len(_POWERS[0]):
-        power, inverse = _powers(2 * len(data))
-    else:
-        power, inverse = _POWERS
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_MIX[data] * power[: len(data)], out=total[1:])
     ends = np.append(np.flatnonzero(data == 32), len(data))
     starts = np.append(0, ends[:-1] + 1)
-    k = min(words, len(starts))
-    first, last = starts[: len(starts) - k + 1], ends[k - 1 :]
-    length = (last - first).astype(np.uint64)
-    return np.unique(_mixed((total[last] - total[first]) * inverse[first] + length))
+    hashed = _word_hashes(data, starts, ends)
+    k = min(words, len(hashed))
+    out = np.full(len(hashed) - k + 1, k, np.uint64)
+    for i in range(k):
+        out = _mixed(out * _ODD + hashed[i : len(hashed) - k + 1 + i])
+    return np.unique(out)
 
 
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-n * percent // 100) + 1
 
 
-class _Sketch:
-    """Counts by the upper bits of a hash, up to 255, sent on as compressed blocks."""
-
-    def __init__(self, bits: int):
-        self.shift, self.counts = np.uint64(64 - bits), np.zeros(1 << bits, np.uint8)
-
-    def add(self, sets: list[np.ndarray]) -> None:
-        buckets, times = np.unique((np.concatenate(sets) >> self.shift).astype(np.int64), return_counts=True)
-        self.counts[buckets] = np.minimum(self.counts[buckets] + times, 255)
-
-    def blocks(self) -> Iterator[tuple[int, bytes]]:
-        for i in range(0, len(self.counts), _BLOCK):
-            block = self.counts[i : i + _BLOCK]
-            if block.any():
-                yield i // _BLOCK, zlib.compress(block.tobytes(), 1)
-
-
 _FIRST = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("sig", pa.binary()), ("mark", pa.int64()),
-                    ("block", pa.int32())])
+                    ("block", pa.int64()), ("uri", pa.string()), ("range", pa.int32()), ("values", pa.binary()),
+                    ("counts", pa.binary())])
+_FIRST_DDL = "id long, n int, sig binary, mark long, block long, uri string, range int, values binary, counts binary"
 
 
 def _signature(hashes: np.ndarray) -> bytes:
@@ -127,46 +120,98 @@ def _mark(sig: bytes) -> int:
     return int.from_bytes(sig[:8], "little", signed=True)
 
 
-def _first_pass(words: int, bits: int):
+def _joined(parts: list[bytes]) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+
+
+def _parted(data: bytes) -> Iterator[bytes]:
+    at = 0
+    while at < len(data):
+        size = int.from_bytes(data[at : at + 8], "little")
+        yield data[at + 8 : at + 8 + size]
+        at += 8 + size
+
+
+def _first_pass(words: int, bits: int, range_bits: int, folder: str):
+    """Sizes and signatures of documents. Of every block of documents a file keeps the
+    upper ``bits`` of all shingles in ascending order and whose each is; rows hold the
+    distinct values and their counts, range by range."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = _Sketch(bits)
+        number, size = 0, 0
+        held: tuple[list, list, list] = ([], [], [])
+
+        def close() -> pa.RecordBatch:
+            ids, signs, sets = held
+            sizes = np.array(list(map(len, sets)), np.int64)
+            values = (np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64)
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], np.repeat(np.arange(len(sets)), sizes)[order]
+            known = np.array([i is not None for i in ids], np.int64)
+            block = TaskContext.get().partitionId() << 32 | number
+            uri = f"{folder}/{task_name('block', number, '.bin')}"
+            put(uri, _joined([
+                np.array([i or 0 for i in ids], np.int64).tobytes(), pack(known), b"".join(signs), pack(sizes),
+                pack_sorted(values), pack(owner)]))
+            values, counts = summed(values, np.ones_like(values))
+            part = values >> (bits - range_bits)
+            bounds = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+            rows = [{"block": block, "uri": uri, "range": int(part[a]),
+                     "values": pack_sorted(values[a:b] & ((1 << (bits - range_bits)) - 1)), "counts": pack(counts[a:b])}
+                    for a, b in zip(bounds, [*bounds[1:], len(values)], strict=False)]
+            for column in held:
+                column.clear()
+            return pa.RecordBatch.from_pylist(rows, _FIRST)
+
         for part in slices(batches, "text", TEXT_BYTES):
             sets = [shingle_hashes(text, words) for text in part.column("text").to_pylist()]
             signs = [_signature(hashes) for hashes in sets]
-            sketch.add(sets)
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array([len(h) for h in sets], pa.int32()), pa.array(signs, pa.binary()),
-                 pa.array(map(_mark, signs), pa.int64()), pa.nulls(len(sets), pa.int32())], schema=_FIRST)
-        for block, data in sketch.blocks():
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([data], pa.binary()),
-                 pa.nulls(1, pa.int64()), pa.array([block], pa.int32())], schema=_FIRST)
+                 pa.array(map(_mark, signs), pa.int64()), *(pa.nulls(len(sets), t) for t in _FIRST.types[4:])],
+                schema=_FIRST)
+            for column, values in zip(held, (part.column("id").to_pylist(), signs, sets), strict=True):
+                column += values
+            size += part.column("text").nbytes
+            if size >= BLOCK_BYTES:
+                yield close()
+                number, size = number + 1, 0
+        if held[0]:
+            yield close()
 
     return run
 
 
-_HEAT = pa.schema([("block", pa.int32()), ("total", pa.int64()), ("heat", pa.binary())])
+_REPEATED = pa.schema([("block", pa.int64()), ("uri", pa.string()), ("range", pa.int32()), ("values", pa.binary()),
+                       ("heats", pa.binary())])
 
 
-def _add_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum the blocks of a partition sorted by block number, one at a time."""
-    block, total = None, None
+def _repeated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each block's values those that occur twice or more in all blocks, with twice the
+    logarithm of their count. The partition is sorted by range; one range is held."""
+    held: list[dict] = []
 
     def done() -> pa.RecordBatch:
-        heat = np.floor(2 * np.log2(total + 1.0)).astype(np.uint8)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int32()), pa.array([int(total.sum())], pa.int64()),
-             pa.array([heat.tobytes()], pa.binary())], schema=_HEAT)
+        values = [unpack_sorted(r["values"]) for r in held]
+        ends = np.cumsum(list(map(len, values))).tolist()
+        flat, at = np.unique(np.concatenate(values), return_inverse=True)
+        counts = np.zeros(len(flat), np.int64)
+        np.add.at(counts, at, np.concatenate([unpack(r["counts"]) for r in held]))
+        heat = np.floor(2 * np.log2(counts)).astype(np.int64)
+        out = []
+        for row, own, start, end in zip(held, values, [0, *ends], ends, strict=False):
+            heats = heat[at[start:end]]
+            if heats.any():
+                out.append({k: row[k] for k in ("block", "uri", "range")} | {
+                    "values": pack_sorted(own[heats > 0]), "heats": pack(heats[heats > 0])})
+        held.clear()
+        return pa.RecordBatch.from_pylist(out, _REPEATED)
 
     for batch in batches:
-        for number, data in zip(batch.column("block").to_pylist(), batch.column("sig").to_pylist(), strict=True):
-            if number != block:
-                if block is not None:
-                    yield done()
-                block, total = number, np.zeros(_BLOCK, np.int64)
-            counts = np.frombuffer(zlib.decompress(data), np.uint8)
-            total[: len(counts)] += counts
-    if block is not None:
+        for row in (r for i in range(0, batch.num_rows, 64) for r in batch.slice(i, 64).to_pylist()):
+            if held and row["range"] != held[0]["range"]:
+                yield done()
+            held.append(row)
+    if held:
         yield done()
 
 
@@ -203,27 +248,66 @@ def may_link(x: bytes, y: bytes, percent: int) -> bool:
     return (100 + percent) * shared >= percent * total
 
 
-_PREFIX = pa.schema([("cid", pa.int64()), ("n", pa.int32()), ("head", pa.int64()),
-                     ("prefix", pa.list_(pa.int64())), ("hot", pa.list_(pa.bool_())), ("parity", pa.binary())])
-
-
-def _prefix_pass(words: int, percent: int, heat, bits: int, hot: int):
+_PREFIX = pa.schema([("id", pa.int64()), ("sig", pa.binary()), ("n", pa.int32()), ("head", pa.int64()),
+                     ("skip", pa.int32()), ("prefix", pa.list_(pa.int64())), ("hot", pa.list_(pa.bool_())),
+                     ("parity", pa.binary())])
+_PREFIX_DDL = "id long, sig binary, n int, head long, skip int, prefix array<long>, hot array<boolean>, parity binary"
+
+
+def _prefixes(uri: str, values: np.ndarray, heats: np.ndarray, percent: int, hot: int) -> pa.RecordBatch:
+    """Prefixes of the documents of one block, given its repeated values. ``skip`` of a
+    prefix's shingles occur nowhere else and are left out; a document whose prefix has no
+    others cannot link."""
+    ids, known, signs, sizes, every, owner = _parted(get(uri))
+    ids, known, sizes = np.frombuffer(ids, np.int64), unpack(known), unpack(sizes)
+    every, owner = unpack_sorted(every), unpack(owner)
+    at = np.searchsorted(values, every)
+    at[at == len(values)] = 0
+    found = values[at] == every
+    again, heat, own = every[found], heats[at[found]], owner[found]
+    order = np.lexsort((again, heat, own))
+    again, heat, own = again[order], heat[order], own[order]
+    shared = np.bincount(own, minlength=len(sizes))
+    length = sizes - -(-sizes * percent // 100) + 1
+    single = sizes - shared
+    start = np.cumsum(shared) - shared
+    picked = np.flatnonzero((sizes > 0) & (single < length))
+    by_doc = np.argsort(owner, kind="stable")
+    first = np.cumsum(sizes) - sizes
+    out: list[list] = [[] for _ in _PREFIX]
+    for doc in picked.tolist():
+        a, b = int(start[doc]), int(start[doc] + length[doc] - single[doc])
+        prefix = again[a:b]
+        head = np.bitwise_xor.reduce(_mixed(prefix.astype(np.uint64) * _ODD))
+        if single[doc]:  # no other document has this prefix
+            head ^= np.frombuffer(signs, np.uint64, 1, 16 * doc)[0]
+        whole = every[by_doc[first[doc] : first[doc] + sizes[doc]]]
+        for column, value in zip(out, (
+                int(ids[doc]) if known[doc] else None, signs[16 * doc : 16 * doc + 16], int(sizes[doc]), int(head.view(np.int64)),
+                int(single[doc]), prefix, heat[a:b] >= hot, parities(whole.astype(np.uint64))), strict=True):
+            column.append(value)
+    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, _PREFIX, strict=True)], schema=_PREFIX)
+
+
+def _prefix_pass(percent: int, bits: int, range_bits: int, hot: int):
+    """Prefixes block by block. The partition is sorted by block and range."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heats, shift = np.frombuffer(heat.value, np.uint8), np.uint64(64 - bits)
-        for part in slices(batches, "text", TEXT_BYTES):
-            out: list[list] = [[] for _ in _PREFIX]
-            for cid, hashes in _sets_of(part, words):
-                heat_of = heats[(hashes >> shift).astype(np.int64)]
-                first = np.lexsort((hashes, heat_of))[: prefix_length(len(hashes), percent)]
-                prefix = hashes[first].view(np.int64)
-                out[0].append(cid)
-                out[1].append(len(hashes))
-                out[2].append(int(np.bitwise_xor.reduce(_mixed(hashes[first])).view(np.int64)))
-                out[3].append(prefix)
-                out[4].append(heat_of[first] >= hot)
-                out[5].append(parities(hashes))
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, _PREFIX, strict=True)],
-                                             schema=_PREFIX)
+        held: list[dict] = []
+
+        def done() -> pa.RecordBatch:
+            values = np.concatenate([unpack_sorted(r["values"]) + (r["range"] << (bits - range_bits)) for r in held])
+            heats = np.concatenate([unpack(r["heats"]) for r in held])
+            uri = held[0]["uri"]
+            held.clear()
+            return _prefixes(uri, values, heats, percent, hot)
+
+        for batch in batches:
+            for row in (r for i in range(0, batch.num_rows, 64) for r in batch.slice(i, 64).to_pylist()):
+                if held and row["block"] != held[0]["block"]:
+                    yield done()
+                held.append(row)
+        if held:
+            yield done()
 
     return run
 
@@ -310,8 +394,8 @@ def near_duplicates(
     text_col: str = "text",
     words: int = 5,
     percent: int = 80,
-    sketch_bits: int = SKETCH_BITS,
-    rounds: int = 6,
+    sketch_bits: int | None = None,
+    rounds: int = 1,
 ) -> DataFrame:
     """One row per document: its id, ``n_shingles``, ``component_id``, ``sig`` and ``root``.
 
@@ -322,26 +406,37 @@ def near_duplicates(
     part but is the component's name only if no member has one. Other columns of
     ``docs`` are not read, whatever their names. An empty table gives an empty table.
 
-    ``rounds`` bounds the star rounds before the exhaustive one: it changes the work,
-    never the result.
+    ``rounds`` bounds the star rounds before the exhaustive one, ``sketch_bits`` sets the
+    bits of a hash by which shingles are counted (by default enough for the amount of
+    text): both change the work, never the result.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    first = staged(rows.mapInArrow(_first_pass(words, sketch_bits), "id long, n int, sig binary, mark long, block int"), "signs")
-    signs = first.filter("block is null")
+    # a shingle takes about as many bytes of text as a word
+    about = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6 + 1
+    bits = sketch_bits or min(60, about.bit_length() + 4)
+    range_bits = min(bits, (about // RANGE_SHINGLES).bit_length())
+    folder = fresh_path(spark, "shingles")
+    first = staged(rows.mapInArrow(_first_pass(words, bits, range_bits, folder), _FIRST_DDL), "signs")
+    signs = first.filter("range is null").select("id", "n", "sig", "mark")
     classes = staged(
         signs.filter("n > 0").groupBy("sig").agg(F.min("id").alias("first"), F.first("mark").alias("mark"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
 
-    heat, mean = _heat(spark, first.filter("block is not null"), sketch_bits)
-    one_each = _texts_of(rows, classes)
-    hot = int(np.floor(2 * np.log2(mean + HOT_ROWS)))
-    heads = staged(one_each.mapInArrow(
-        _prefix_pass(words, percent, heat, sketch_bits, hot),
-        "cid long, n int, head long, prefix array<long>, hot array<boolean>, parity binary"), "prefixes")
-    links = _links(rows, classes, heads, words, percent, rounds)
-    roots = connected_components(links)
+    blocks = first.filter("range is not null").select("block", "uri", "range", "values", "counts")
+    repeated = blocks.repartition("range").sortWithinPartitions("range", "block").mapInArrow(
+        _repeated, "block long, uri string, range int, values binary, heats binary")
+    found = staged(repeated.repartition("block").sortWithinPartitions("block", "range").mapInArrow(
+        _prefix_pass(percent, bits, range_bits, int(2 * np.log2(max(1, HOT_ROWS)))), _PREFIX_DDL), "candidates")
+    # a class has one row: that of the document that stands for it
+    named = classes.select("sig", F.col("first").alias("leader"), "cid")
+    heads = staged(
+        lookup_join(found, named, ["sig"], how="inner").filter(F.col("id").eqNullSafe(F.col("leader")))
+        .dropDuplicates(["cid"]).drop("id", "sig", "leader"), "prefixes")
+    discard(found)
+    remove(spark, folder)
+    roots = _components(rows, classes, heads, words, percent, rounds)
 
     # members of a component are classes; its name is the smallest id of them all
     classes_rooted = classes.join(roots, classes.cid == roots.node, "left").select(
@@ -349,7 +444,7 @@ def near_duplicates(
     named = staged(
         classes_rooted.groupBy("root").agg(F.min("first").alias("component_id")), "names")
     by_sig = staged(classes_rooted.join(named, "root").select("sig", "component_id", "root"), "by-sig")
-    discard(named, classes, links)
+    discard(named, classes)
     joined = lookup_join(signs, by_sig, ["sig"])
     return joined.select(
         F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
@@ -392,19 +487,6 @@ def _signed(text_col: str, words: int):
     return run
 
 
-def _heat(spark: SparkSession, blocks: DataFrame, bits: int):
-    """The sketch as one byte a counter (fixed size, broadcast) and its mean."""
-    heat, total = np.zeros(1 << bits, np.uint8), 0
-    parts = (blocks.repartition(max(1, (1 << bits) // _BLOCK // 8), "block")
-             .sortWithinPartitions("block").select("block", "sig")
-             .mapInArrow(_add_blocks, "block int, total long, heat binary"))
-    for row in parts.collect():  # one row per block: 2 ** bits bytes in all, whatever the input
-        at = row.block * _BLOCK
-        heat[at : at + _BLOCK] = np.frombuffer(row.heat, np.uint8)[: len(heat) - at]
-        total += row.total
-    return spark.sparkContext.broadcast(heat.tobytes()), total / len(heat)
-
-
 def _texts_of(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Texts of the documents that stand for a class, with ``cid`` and ``mark``.
 
@@ -415,8 +497,9 @@ def _texts_of(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return lookup_join(rows.withColumn("id", key), wanted, ["id"], how="inner").select("cid", "mark", "text")
 
 
-def _links(rows, classes, heads, words: int, percent: int, rounds: int) -> DataFrame:
-    """Links between classes: enough of them to connect all that are linked."""
+def _components(rows, classes, heads, words: int, percent: int, rounds: int) -> DataFrame:
+    """(node, root) of the classes that links connect; only links that connect something
+    more are looked for."""
     spark = rows.sparkSession
     groups = staged(heads.groupBy("head", "n").agg(
         F.min("cid").alias("gid"), F.count(F.lit(1)).alias("members")), "groups")
@@ -433,25 +516,28 @@ def _links(rows, classes, heads, words: int, percent: int, rounds: int) -> DataF
     discard(involved)
 
     inside = members.filter("cid != gid").select(F.col("cid").alias("a"), F.col("gid").alias("b"))
-    tested = staged(inside.unionByName(_star(met, None, None, 0, percent)).distinct(), "tested")
+    tested = staged(inside.unionByName(_star(met, percent)).distinct(), "tested")
     links = _linked(tested, parity, sets, percent)
     for turn in range(1, rounds + 2):
         labels = connected_components(links)
         open_rows, pairs = _open_rows(met, members, labels)
         if turn > rounds or pairs <= 4 * open_rows.count():
             break
-        stars = staged(_star(open_rows, "label", tested, turn, percent), "stars")
+        stars = staged(_between(open_rows, tested, turn, percent), "stars")
         more = _linked(stars, parity, sets, percent)
-        discard(open_rows)
         tested = staged(tested.unionByName(stars), "tested")
         links = staged(links.unionByName(more), "links")
         if more.count() * 50 < stars.count():
-            rounds = turn  # hardly any pair links now: the rest is for the exhaustive step
+            break  # hardly any pair links now: the rest is for the exhaustive step
     rest = staged(_rest(open_rows, members, labels, tested, percent), "rest")
     discard(met, members, open_rows, tested)
-    links = links.unionByName(_linked(rest, parity, sets, percent))
+    if rest.isEmpty():
+        found = labels
+    else:
+        stars = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        found = connected_components(stars.unionByName(links).unionByName(_linked(rest, parity, sets, percent)))
     discard(sets, parity, rest)
-    return links
+    return found
 
 
 def _met(heads: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -459,8 +545,9 @@ def _met(heads: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     out where no other group's size fits."""
     leaders = heads.join(_small(groups.select(F.col("gid").alias("cid"))), "cid", "left_semi")
     rows = leaders.select(
-        F.col("cid").alias("gid"), "n", F.posexplode(F.arrays_zip("prefix", "hot")).alias("pos", "item")
-    ).select(F.col("item.prefix").alias("token"), "gid", "n", "pos", F.col("item.hot").alias("hot"))
+        F.col("cid").alias("gid"), "n", "skip", F.posexplode(F.arrays_zip("prefix", "hot")).alias("pos", "item")
+    ).select(F.col("item.prefix").alias("token"), "gid", "n", (F.col("pos") + F.col("skip")).alias("pos"),
+             F.col("item.hot").alias("hot"))
     # in the order of sizes only a neighbour can be the nearest: without one that fits,
     # none does; of just two groups the positions tell as well
     token = Window.partitionBy("token")
@@ -480,28 +567,48 @@ def _met(heads: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     return cool.select(columns).unionByName(hot.join(shared, "token").select(columns))
 
 
-def _star(met: DataFrame, label: str | None, tested: DataFrame | None, turn: int, percent: int) -> DataFrame:
-    """For each group the one untested partner it shares most prefix shingles with.
-
-    A shingle offers one partner per size band: first the group with the fewest rarer
-    shingles, which is the nearest to what its like share, then others turn by turn.
-    """
+def _star(met: DataFrame, percent: int) -> DataFrame:
+    """For each group the one partner it shares most prefix shingles with, of those that a
+    shingle offers: per size band the group with the fewest rarer shingles, which is the
+    nearest to what its like share."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)))
     rows = met.withColumn("band", band)
-    order = F.struct((F.xxhash64("gid", F.lit(turn)) if turn else F.col("pos")).alias("draw"), "gid", "n",
-                     *([F.col(label)] if label else []))
-    offered = rows.groupBy("token", "band").agg(F.min(order).alias("o")).select(
-        "token", "band", F.col("o.gid").alias("b"), F.col("o.n").alias("nb"),
-        *([F.col(f"o.{label}").alias("lb")] if label else []))
+    offered = rows.groupBy("token", "band").agg(F.min(F.struct("pos", "gid", "n")).alias("o")).select(
+        "token", "band", F.col("o.gid").alias("b"), F.col("o.n").alias("nb"))
     pairs = rows.join(offered, ["token", "band"]).filter(_sizes_fit("n", "nb", percent) & (F.col("gid") != F.col("b")))
-    if label:
-        pairs = pairs.filter(~F.col(label).eqNullSafe(F.col("lb")) | F.col(label).isNull())
     counted = pairs.groupBy(F.col("gid").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared"))
-    if tested is not None:
-        counted = counted.join(tested, ["a", "b"], "left_anti")
     return counted.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
 
 
+def _between(open_rows: DataFrame, tested: DataFrame, turn: int, percent: int) -> DataFrame:
+    """One untested pair of groups (a, b) for any two components that meet on a shingle.
+
+    A component has one group per shingle to stand for it, another one every turn: what
+    meets are components, however many groups they have. A group whose members are of
+    different components stands for itself.
+    """
+    own = F.coalesce(F.col("label"), -F.col("gid") - 1).alias("own")
+    # the draw is by component and turn, so that a pair is found on many shingles alike
+    chosen = open_rows.groupBy("token", own).agg(
+        F.min(F.struct(F.xxhash64("gid", F.lit(turn)).alias("draw"), "gid", "n", "pos")).alias("r")).select("token", "own", "r.gid", "r.n", "r.pos")
+    columns = ("own", "gid", "n", "pos")
+    left = chosen.select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = chosen.select(F.col("token").alias("other"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    met = left.join(right, (F.col("token") == F.col("other")) & (F.col("own_a") < F.col("own_b")) & _may_share(percent))
+    pairs = met.groupBy("own_a", "own_b").agg(F.min(F.struct(
+        F.xxhash64("gid_a", "gid_b", F.lit(turn)), F.greatest("gid_a", "gid_b").alias("a"), F.least("gid_a", "gid_b").alias("b"))).alias("p"))
+    seen = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return pairs.select("p.a", "p.b").distinct().join(seen, ["a", "b"], "left_anti")
+
+
+def _may_share(percent: int) -> Column:
+    """Whether two groups (n_a, pos_a, n_b, pos_b) can have enough in common behind the
+    shingle they meet on, if it is the first that they share."""
+    least = F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
+    return _sizes_fit("n_a", "n_b", percent) & (
+        F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= least)
+
+
 def _open_rows(met: DataFrame, members: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
     """Rows of shingles that still meet different components, with the group's label,
     and a bound on the pairs they hold. A group whose members differ has label NULL."""
@@ -525,13 +632,10 @@ def _rest(open_rows, members, labels, tested, percent: int) -> DataFrame:
     columns = ("gid", "n", "pos", "label")
     left = open_rows.select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
     right = open_rows.select(F.col("token").alias("other"), *[F.col(c).alias(f"{c}_b") for c in columns])
-    least = F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
-    # at its first shared shingle a pair must have enough of both sets ahead; a condition
-    # of the join, so that a frequent shingle does not put out all pairs of its groups
+    # a condition of the join, so that a frequent shingle does not put out all pairs
     met = left.join(right, (F.col("token") == F.col("other")) & (F.col("gid_a") < F.col("gid_b"))
                     & ~F.coalesce(F.col("label_a") == F.col("label_b"), F.lit(False))
-                    & _sizes_fit("n_a", "n_b", percent)
-                    & (F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= least)
+                    & _may_share(percent)
                     ).select(F.col("gid_a").alias("ga"), F.col("gid_b").alias("gb")).distinct()
     # groups stand for their members; within one, members of different components meet too
     within = members.select("gid").distinct().select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
@@ -543,6 +647,7 @@ def _rest(open_rows, members, labels, tested, percent: int) -> DataFrame:
     a = owned.select(F.col("gid").alias("ga"), F.col("cid").alias("x"), F.col("own").alias("own_a"))
     b = owned.select(F.col("gid").alias("gb"), F.col("cid").alias("y"), F.col("own").alias("own_b"))
     expanded = pairs.join(a, "ga").join(b, "gb").filter("own_a != own_b and (ga != gb or x < y)")
-    ends = expanded.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    ends = expanded.select(
+        F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
     seen = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     return ends.join(seen, ["a", "b"], "left_anti")

@@ -102,6 +102,20 @@ def test_shingle_hashes_follow_words():
     assert len(jaccard.shingle_hashes("é É")) == 1 and (jaccard.shingle_hashes("É x") != jaccard.shingle_hashes("é x")).all()
 
 
+def test_words_that_polynomial_hashes_confuse_are_apart(spark):
+    bits = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    words = bits, bits.translate(str.maketrans("ab", "ba"))
+    assert jaccard.shingle_hashes(words[0]) != jaccard.shingle_hashes(words[1])
+    df = spark.createDataFrame([(1, words[0]), (2, words[1])], SCHEMA)
+    assert sorted(r.component_id for r in jaccard.near_duplicates(df).collect()) == [1, 2]
+
+
+def test_long_words_and_texts_hash_like_their_parts():
+    long = "x" * 3_000_000 + " " + " ".join(f"w{i}" for i in range(300_000))
+    expected = np.unique(np.concatenate([jaccard.shingle_hashes(" ".join(long.split()[i : i + 5])) for i in (0, 1, 200_000)]))
+    assert np.isin(expected, jaccard.shingle_hashes(long)).all()
+
+
 def test_parities_never_part_what_links():
     rng = np.random.default_rng(3)
     parted = 0
@@ -117,6 +131,46 @@ def test_parities_never_part_what_links():
     assert parted > 100
 
 
+def test_network_equals_a_naive_convolution():
+    """Every filter at every position, one product after the other."""
+    rng = np.random.default_rng(4)
+    widths = np.repeat(langid.WIDTHS, 2)
+    span, size = max(langid.WIDTHS), langid.EMBED
+    filters = rng.normal(size=(span * size, len(widths)))
+    for f, width in enumerate(widths):
+        filters[width * size :, f] = 0
+    net = langid.ByteConvNet(["a", "b", "c"], rng.normal(size=(256, size)), filters, rng.normal(size=len(widths)),
+                             rng.normal(size=(len(widths), 3)), rng.normal(size=3))
+    windows = langid.windows_of("Ein Satz, été 日本. ".encode() * 20)
+    assert len(windows) == 2
+    for window, found in zip(windows, net.probabilities(windows)):
+        hidden = []
+        for f, width in enumerate(widths):
+            best = max(sum(net.embed[window[p + j]][d] * filters[j * size + d, f] for j in range(width) for d in range(size))
+                       for p in range(len(window) - span + 1))
+            hidden.append(max(0.0, best + net.bias[f]))
+        z = [sum(h * net.dense[f][k] for f, h in enumerate(hidden)) + net.offset[k] for k in range(3)]
+        e = np.exp(np.array(z) - max(z))
+        assert np.allclose(found, e / e.sum())
+    empty = langid.windows_of(b"")
+    assert len(empty) == 1 and not empty.any()
+
+
+# mixture
+
+@pytest.mark.parametrize("cells", [100, 0])
+def test_targets_that_cannot_be_met_are_told(spark, caplog, cells):
+    table = spark.createDataFrame([("a", "x", 10), ("b", "y", 10)], "source string, lang string, tokens long")
+
+    def missed(targets):
+        found = mixture.calibrated(spark, table, ["source", "lang"], targets, cells)
+        return {round(r.residual, 6) for r in found.collect()}
+
+    assert missed({"source": {"a": 0.7, "b": 0.3}, "lang": {"x": 0.7, "y": 0.3}}) == {0.0} and not caplog.records
+    assert min(missed({"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}})) > 0.7
+    assert "contradict" in caplog.text
+
+
 # language
 
 @needs_tables
