@@ -9,6 +9,7 @@ the largest is one. In expectation the kept tokens have the target marginals.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -21,6 +22,10 @@ from curbair.sources.staging import discard, staged
 #: Cells that are fitted on the driver; more are fitted by Spark, by the same steps.
 DRIVER_CELLS = 200_000
 STEPS, TOLERANCE = 50, 1e-9
+#: A share that misses its target by more than this is warned of.
+MISSED = 0.01
+
+log = logging.getLogger(__name__)
 
 
 def word_count(text: Column) -> Column:
@@ -90,11 +95,32 @@ def _rake_spread(cells: DataFrame, margins: Sequence[str], targets: Mapping[str,
     return now
 
 
+def _miss_here(factors: np.ndarray, codes: list[np.ndarray], tokens: np.ndarray, targets: list[np.ndarray]) -> float:
+    weight = tokens * factors
+    total = weight.sum() or 1.0
+    return max(float(np.abs(np.bincount(c, weight, len(t)) / total - t).max(initial=0)) for c, t in zip(codes, targets, strict=True))
+
+
+def _miss_spread(fitted: DataFrame, margins: Sequence[str], targets: Mapping[str, DataFrame]) -> float:
+    weight, worst = F.sum(F.coalesce("tokens", F.lit(0)) * F.col("factor")), 0.0
+    total = fitted.agg(weight).first()[0] or 1.0
+    for margin in margins:
+        share = staged(fitted.groupBy(margin).agg((weight / F.lit(total)).alias("share")), "share")
+        met = lookup_join(share, targets[margin], [margin], null_safe=True)
+        worst = max(worst, met.agg(F.max(F.abs(F.col("share") - F.col("target")))).first()[0] or 0.0)
+        discard(share)
+    return worst
+
+
 def calibrated(
     spark: SparkSession, cells: DataFrame, margins: Sequence[str], targets: Mapping[str, Mapping[str | None, float] | float],
     driver_cells: int = DRIVER_CELLS,
 ) -> DataFrame:
-    """The cells (margins, tokens) with their keeping probability.
+    """The cells (margins, tokens) with their keeping probability and ``residual``: by how
+    much the share that misses its target most still misses it.
+
+    Targets can contradict each other in the cells there are; then raking ends after STEPS
+    rounds with what it has reached, and a miss beyond MISSED is warned of.
 
     A value without a target shares what the targets leave of 1 with its like, by
     tokens; with nothing left its documents go. Targets of absent values are left out
@@ -120,18 +146,24 @@ def calibrated(
         at = {m: {v: i for i, v in enumerate(values[m])} for m in margins}
         codes = [np.array([at[m][r[m]] for r in rows], np.int64) for m in margins]
         tokens = np.array([float(r["tokens"] or 0) for r in rows])
-        factors = np.ones(len(rows))
+        factors, missed = np.ones(len(rows)), 0.0
         if tokens.sum() > 0:
-            found = _rake_here(codes, tokens, [np.array([wanted[m][v] for v in values[m]]) for m in margins])
+            goals = [np.array([wanted[m][v] for v in values[m]]) for m in margins]
+            found = _rake_here(codes, tokens, goals)
             factors = np.prod([f[c] for f, c in zip(found, codes, strict=True)], axis=0)
+            missed = _miss_here(factors, codes, tokens, goals)
         ratio = [float(f) for f in factors]
         schema = cells.select(*margins, "tokens").schema.add("factor", "double")
         fitted = spark.createDataFrame([(*r, f) for r, f in zip(rows, ratio, strict=True)], schema)
     else:
-        fitted = _rake_spread(cells.select(*margins, "tokens"), margins, {m: _targets(cells, m, targets[m]) for m in margins})
+        goals = {m: _targets(cells, m, targets[m]) for m in margins}
+        fitted = _rake_spread(cells.select(*margins, "tokens"), margins, goals)
+        missed = _miss_spread(fitted, margins, goals)
+    if missed > MISSED:
+        log.warning("targets contradict each other: a share misses its target by %.3f", missed)
     top = fitted.filter("tokens > 0").agg(F.max("factor")).first()[0] or 1.0
     return fitted.withColumn(
-        "probability", F.when(F.col("tokens") > 0, F.col("factor") / F.lit(top)).otherwise(1.0)).drop("factor")
+        "probability", F.when(F.col("tokens") > 0, F.col("factor") / F.lit(top)).otherwise(1.0)).drop("factor").withColumn("residual", F.lit(float(missed)))
 
 
 def draw(id_col: str, seed: int) -> Column:
@@ -151,7 +183,8 @@ def mix(
     A NULL value of a marginal is a value of its own. Texts that are NULL or without
     words weigh nothing and are kept. Rows with equal ids draw alike. Columns of
     ``docs`` stay; those named like the three results are replaced. Empty tables give
-    empty results.
+    empty results. Targets that contradict each other are warned of; ``calibrated``
+    returns by how much they are missed.
     """
     spark = docs.sparkSession
     rows = docs.drop("tokens", "probability", "kept")
@@ -164,7 +197,7 @@ def mix(
         wanted = {names[m]: float(targets) for m in margins}
     else:
         wanted = {names[m]: targets[m] for m in margins}
-    fitted = staged(calibrated(spark, cells, keys, wanted, driver_cells).drop("tokens"), "mixture")
+    fitted = staged(calibrated(spark, cells, keys, wanted, driver_cells).drop("tokens", "residual"), "mixture")
     joined = lookup_join(rows, fitted, keys, null_safe=True)
     return joined.withColumn("probability", F.when(F.col("tokens") > 0, F.col("probability")).otherwise(1.0)).withColumn(
         "kept", draw(id_col, seed) < F.col("probability")).drop(*keys)
