@@ -40,6 +40,10 @@ class ProductCode:
     parts: list[np.ndarray]  # of each block: codes x components
     threshold: float = 0.0
 
+    def at_once(self) -> int:
+        """Vectors whose lists take a few megabytes together."""
+        return max(1, (1 << 20) // len(self.parts[0]) ** 2)
+
     def lists(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scores of all code pairs of the first and of the last two blocks."""
         ends = np.cumsum([p.shape[1] for p in self.parts])
@@ -55,22 +59,30 @@ class ProductCode:
         width = back.shape[1]
         out = []
         for a, b in zip(front, back, strict=True):
-            ia, ib = np.argsort(-a), np.argsort(-b)
-            sa, sb = a[ia], b[ib]
-            level = self.threshold
-            counts = np.searchsorted(-sb, sa * 1.0 - level, side="right")
+            ia, ib, counts = reaching(a, b, self.threshold)
             if counts.sum() < least:
                 # the best sums lie among the first few of either list
-                k = min(least, len(sa)), min(least, len(sb))
-                top = np.sort((sa[: k[0], None] + sb[None, : k[1]]).ravel())[::-1]
-                level = top[min(least, len(top)) - 1]
-                counts = np.searchsorted(-sb, sa - level + 1e-12, side="right")
-            first = np.repeat(np.arange(len(sa)), counts)
+                top = np.sort((_largest(a, least)[:, None] + _largest(b, least)[None, :]).ravel())[::-1]
+                ia, ib, counts = reaching(a, b, top[min(least, len(top)) - 1] - 1e-12)
+            first = np.repeat(np.arange(len(ia)), counts)
             second = np.arange(len(first)) - np.repeat(np.cumsum(counts) - counts, counts)
-            out.append((ia[first].astype(np.int64) * width + ib[second], sa[first] + sb[second]))
+            out.append((ia[first].astype(np.int64) * width + ib[second], a[ia[first]] + b[ib[second]]))
         return out
 
 
+def _largest(x: np.ndarray, count: int) -> np.ndarray:
+    return np.partition(x, len(x) - count)[len(x) - count :] if count < len(x) else x
+
+
+def reaching(a: np.ndarray, b: np.ndarray, level: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries of either list that can reach ``level`` with one of the other, largest
+    first, and for each of the first list how many of the second it reaches it with.
+    Only these few are sorted, so long lists cost one comparison an entry."""
+    ia, ib = (np.flatnonzero(one >= level - other.max() - 1e-12) for one, other in ((a, b), (b, a)))
+    ia, ib = ia[np.argsort(-a[ia])], ib[np.argsort(-b[ib])]
+    return ia, ib, np.searchsorted(-b[ib], a[ia] - level, side="right")
+
+
 def product_code(dim: int, codes: int) -> ProductCode:
     rng = np.random.default_rng([SEED, dim, codes])
     parts = []
@@ -82,19 +94,21 @@ def product_code(dim: int, codes: int) -> ProductCode:
 
 def fitted_code(sample: np.ndarray, rows: int) -> ProductCode:
     """A code with about rows * FILTERS / PER_FILTER directions, and its threshold."""
-    codes = int(np.clip(np.ceil((max(rows, 1) * FILTERS / PER_FILTER) ** 0.25), 8, 64))
-    code = product_code(sample.shape[1], codes)
-    low, high = 0.0, 1.0
+    code = product_code(sample.shape[1], codes_for(rows))
+    low, high, step = 0.0, 1.0, code.at_once()
     for _ in range(14):
         code.threshold = (low + high) / 2
-        front, back = code.lists(sample)
-        back = np.sort(back, axis=1)
-        passed = sum(int((back.shape[1] - np.searchsorted(b, code.threshold - a)).sum())
-                     for a, b in zip(front, back, strict=True))
+        passed = sum(int(reaching(a, b, code.threshold)[2].sum()) for at in range(0, len(sample), step)
+                     for a, b in zip(*code.lists(sample[at : at + step]), strict=True))
         low, high = (code.threshold, high) if passed > FILTERS * len(sample) else (low, code.threshold)
     return code
 
 
+def codes_for(rows: int) -> int:
+    """Vectors of each block's code: the directions, its fourth power, grow with the rows."""
+    return max(8, int(np.ceil((max(rows, 1) * FILTERS / PER_FILTER) ** 0.25)))
+
+
 def _units(column: pa.ListArray, dim: int) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.asarray(column.value_lengths().to_numpy(zero_copy_only=False))
     at = np.flatnonzero(lengths == dim)
@@ -108,9 +122,10 @@ _FILTERS = pa.schema([("cid", pa.int64()), ("filters", pa.list_(pa.int64()))])
 
 def _decode(codes):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = min((code.at_once() for code in codes.value.values()), default=1)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
                 out: list = [[]] * part.num_rows
                 for dim, code in codes.value.items():
                     at, x = _units(part.column("x"), dim)

@@ -159,3 +159,17 @@ def test_near_vectors_close_to_the_limit(spark):
         pairs += 1
     found = near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sum(r.n_links for r in found) / 2 >= 0.95 * pairs
+
+
+def test_directions_grow_with_the_rows():
+    assert [caps.codes_for(n) for n in (0, 10**6, 4 * 10**6, 10**9)] == [8, 45, 64, 252]
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    code = caps.fitted_code(x, 20_000_000)
+    assert len(code.parts[0]) == 95
+    for a, b, (ids, scores) in zip(*code.lists(x), code.decode(x, 8), strict=True):
+        sums = a[:, None] + b[None, :]
+        level = min(code.threshold, np.sort(sums.ravel())[-8])
+        assert sorted(ids.tolist()) == np.flatnonzero(sums.ravel() >= level - 1e-12).tolist()
+        assert np.allclose(scores, sums.ravel()[ids])
