@@ -13,6 +13,7 @@ an id, number of ids, then for the ends and the document ids the block of
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -31,6 +32,8 @@ MAGIC = b"CBTOKEF1"
 SAMPLE = 256
 #: A file is closed once it holds this many ids; a longer document has one of its own.
 FILE_IDS = 8 << 20
+#: Documents of a file read before their rows are handed on.
+READ = 4096
 _HEAD = struct.Struct("<8sBxxxIIQ")
 _EF = struct.Struct("<QqQBxxxI")
 
@@ -85,13 +88,20 @@ class EliasFano:
             raise IndexError(i)
         position, left = int(self._sample[i // SAMPLE]), i % SAMPLE
         byte = position // 8
-        word = self._high[byte] >> position % 8 << position % 8
+        word = int.from_bytes(self._high[byte : byte + 8], "little") >> position % 8 << position % 8
         while (ones := word.bit_count()) <= left:
-            left, byte = left - ones, byte + 1
-            word = self._high[byte]
+            left, byte = left - ones, byte + 8
+            word = int.from_bytes(self._high[byte : byte + 8], "little")
+        position = byte * 8
+        for half in (32, 16, 8):  # which half of the word holds it
+            ones = (low := word & (1 << half) - 1).bit_count()
+            if ones <= left:
+                left, word, position = left - ones, word >> half, position + half
+            else:
+                word = low
         for _ in range(left):
             word &= word - 1
-        position = byte * 8 + (word & -word).bit_length() - 1
+        position += (word & -word).bit_length() - 1
         return self.base + ((position - i) << self.low_bits | self._low_of(i))
 
     def values(self) -> np.ndarray:
@@ -137,6 +147,41 @@ class TokenFile:
         return self.ids[slice(*self.span(i))]
 
 
+# fixed values: the words of a tokenizer whose ids are those of its words
+_WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+
+
+def check_tokenizer(path: str) -> None:
+    """Raise unless the tokenizer gives a text the ids of its words one after the other.
+
+    Words are cut at blanks and before punctuation (``words.cut_words``), so blanks must
+    be dropped, no token may hold a letter or digit in front of punctuation, and nothing
+    but these normalizers may change a text before it is cut. An added token must begin
+    with ``<|`` and hold no blank.
+    """
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+
+    def listed(part: dict | None, name: str) -> list[dict]:
+        return [] if part is None else part[name] if part["type"] == "Sequence" else [part]
+
+    cutters = listed(rules.get("pre_tokenizer"), "pretokenizers")
+    split = cutters[0] if cutters else {}
+    ok = (split.get("type") == "Split" and split["pattern"] == {"Regex": _WORDS}
+          and (split["behavior"], split["invert"]) == ("Removed", True)
+          and all(c["type"] == "ByteLevel" and not c["add_prefix_space"] and not c["use_regex"] for c in cutters[1:])
+          and all(n in _NORMALIZERS for n in listed(rules.get("normalizer"), "normalizers"))
+          and all(a["content"].startswith("<|") and not any(map(str.isspace, a["content"])) and not a["normalized"]
+                  for a in rules.get("added_tokens") or ()))
+    if not ok:
+        raise ValueError(f"{path}: its ids of a text are not those of its words one after the other")
+
+
 def library_encoder(path: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
     """Ids of words by the tokenizers library, many to a call, told apart by offsets."""
     from tokenizers import Tokenizer
@@ -204,8 +249,10 @@ def write_token_files(
     Files follow ascending document ids over partitions and numbers. Returns the
     manifest (part, number, uri, documents, tokens). A NULL text is empty: its document
     is the end id alone. NULL ids come first, repeated ids next to each other (their
-    order is by text). An empty table writes no file; other columns are not read.
+    order is by text). An empty table writes no file; other columns are not read. A
+    tokenizer that words alone do not determine the ids of raises ``ValueError``.
     """
+    check_tokenizer(tokenizer)
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -225,13 +272,16 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for uri, offset in zip(batch.column("uri").to_pylist(), batch.column("offset").to_pylist(), strict=True):
             held = TokenFile(get(uri))
-            ends = held.ends.values()
-            starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-            sums = [zlib.crc32(held.ids[a:b].astype("<u4").tobytes())
-                    for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            names = pa.concat_arrays([pa.nulls(held.missing, pa.int64()), pa.array(held.names.values(), pa.int64())])
-            yield pa.RecordBatch.from_arrays(
-                [names, pa.array(starts + offset), pa.array(ends - starts), pa.array(sums, pa.int64())], schema=_ROWS)
+            start = 0
+            for first in range(0, held.documents, READ):
+                rows: list[tuple] = []
+                for i in range(first, min(first + READ, held.documents)):
+                    end = held.ends.select(i)  # and the next one's start
+                    rows.append((held.doc_id(i), start + offset, end - start,
+                                 zlib.crc32(held.ids[start:end].astype("<u4").tobytes())))
+                    start = end
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ROWS, strict=True)], schema=_ROWS)
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:

@@ -314,6 +314,20 @@ def test_token_file_reaches_one_document():
     assert held.document(2).tolist() == ids[4:].tolist() and held.span(1) == (3, 4)
 
 
+def test_tokenizers_that_keep_blanks_are_refused(spark):
+    df = spark.createDataFrame([(1, "hello world again")], SCHEMA)
+    with pytest.raises(ValueError, match="words"):
+        tokenfile.token_files(df, queries.tokenizer_path("byte_bpe_50k.json"))
+
+
+def test_select_over_long_gaps():
+    rng = np.random.default_rng(1)
+    for top in (3, 40, 10**5):
+        values = np.cumsum(np.where(rng.random(3000) < 0.01, rng.integers(0, top * 500, 3000), rng.integers(0, top, 3000)))
+        coded, _ = tokenfile.EliasFano.from_bytes(tokenfile.EliasFano.of(values).to_bytes(), 0)
+        assert [coded.select(i) for i in range(3000)] == values.tolist()
+
+
 # mixture
 
 def test_raking_meets_the_targets_in_both_ways(spark):
