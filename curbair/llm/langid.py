@@ -159,19 +159,22 @@ def _predict(net, text_col: str, columns: tuple[str, str]):
     return run
 
 
-def identify(
-    docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteConvNet | None:
+    """A network trained on ``labelled``; None if no row has a language and a letter."""
+    return train(*training_sample(labelled, id_col, text_col, lang_col))
+
+
+def predict(
+    docs: DataFrame, net: ByteConvNet | None, text_col: str = "text",
     lang_out: str = "lang_pred", score_out: str = "score",
 ) -> DataFrame:
     """``docs`` with the predicted language and its mean probability as two more columns.
 
-    Trained on ``labelled`` (id, text, language); rows without a language or a letter
-    teach nothing. A text that is NULL or has no letter is ``und`` with score 0, and so
-    is every text when there is nothing to learn from. Every column of ``docs`` is kept;
-    columns named like the two results are replaced. Equal texts get equal results.
+    A text that is NULL or has no letter is ``und`` with score 0, and so is every text
+    without a network. Every column of ``docs`` is kept; columns named like the two
+    results are replaced. Equal texts get equal results.
     """
     rows = docs.drop(lang_out, score_out)
-    net = train(*training_sample(labelled, id_col, text_col, lang_col))
     if net is None:
         return rows.withColumn(lang_out, F.lit(UNDETERMINED)).withColumn(score_out, F.lit(0.0))
     marks = fresh(rows, "__lang"), fresh(rows, "__score")
@@ -185,6 +188,24 @@ def identify(
         F.when(known, F.col(marks[1])).otherwise(0.0).alias(score_out))
 
 
+def identify(
+    docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    lang_out: str = "lang_pred", score_out: str = "score",
+) -> DataFrame:
+    """``predict`` by a network that ``fit`` trains on ``labelled`` (id, text, language);
+    rows without a language or a letter teach nothing."""
+    return predict(docs, fit(labelled, id_col, text_col, lang_col), text_col, lang_out, score_out)
+
+
+def least_score(languages: int, evidence: float) -> float:
+    """The mean probability of a guess that is ``evidence`` of the way from an even guess
+    among the languages (0) to certainty (1). Nothing is told apart by a single one: 0."""
+    if languages < 2:
+        return 0.0
+    even = 1.0 / languages
+    return even + evidence * (1.0 - even)
+
+
 def held_out(id_col: str = "doc_id"):
     """Whether a document is kept from training: crc32 of its id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -44,8 +44,8 @@ def test_stages_follow_their_operators(spark):
     assert names == ["language_id", "near_duplicates", "secret_scan", "target_mixture", "sentencepiece"]
 
     kept = corpus_pipeline.language(spark, docs, DATA)
-    known = langid.identify(docs, docs.filter(~langid.held_out())).filter(
-        f"lang_pred != 'und' and score >= {corpus_pipeline.LEAST_SCORE}")
+    assert round(langid.least_score(4, corpus_pipeline.LEAST_EVIDENCE), 9) == 0.3
+    known = langid.identify(docs, docs.filter(~langid.held_out())).filter("lang_pred != 'und' and score >= 0.3")
     assert kept.columns == docs.columns and ids(kept) == ids(known) and len(ids(kept)) >= 0.99 * (docs.count() - 3)
 
     single = corpus_pipeline.near_duplicates(spark, kept, DATA)
@@ -74,3 +74,26 @@ def test_stages_follow_their_operators(spark):
 def test_run_on_an_empty_table(spark, tmp_path):
     spark.read.parquet(f"{DATA}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_even_guesses_are_rejected_by_score(spark):
+    """Letters that every learned language has alike are no language; clean texts stay."""
+    clean = [(i, f"{a} {i}", g, "s", 0) for i in range(80) for a, g in (
+        ("the cat and the dog of it " * 12, "en"), ("der hund und die katze " * 12, "de"))]
+    schema = spark.read.parquet(f"{DATA}/documents.parquet").schema
+    docs = spark.createDataFrame([(10 * i + (g == "de"), t, g, s, n) for i, t, g, s, n in clean], schema)
+    net = langid.fit(docs.filter(~langid.held_out()))
+    mixed = [(9001, net_mix, None, "s", 0) for net_mix in _undecided(spark, net)]
+    found = langid.predict(spark.createDataFrame(mixed, schema), net).first()
+    least = langid.least_score(2, corpus_pipeline.LEAST_EVIDENCE)
+    assert 0.5 < least < 0.54 and found.score < least
+    ids = {r.doc_id for r in corpus_pipeline.language(spark, docs.unionByName(spark.createDataFrame(mixed, schema)), DATA).collect()}
+    assert ids == {r.doc_id for r in docs.collect()}
+
+
+def _undecided(spark, net):
+    """The one of many mixtures of the two languages that the network is least sure of."""
+    a, b = "the cat and the dog of it " * 60, "der hund und die katze " * 70
+    texts = [a[:256 * k] + b[: 256 * (6 - k)] + a[:extra] for k in range(1, 6) for extra in range(0, 256, 8)]
+    scored = langid.predict(spark.createDataFrame([(t,) for t in texts], "text string"), net)
+    return [scored.orderBy("score").first().text]
