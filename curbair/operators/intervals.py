@@ -19,12 +19,17 @@ BUCKETS = {"day": "interval 1 day", "month": "interval 1 month", "year": "interv
 
 
 def _islands(df: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
-    """Intervals of each group of ``by`` that meet or overlap as one."""
-    before = Window.partitionBy(*by).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
-    reached = df.withColumn("__reached", F.max(end).over(before))
-    begins = F.when(F.col(start) <= F.col("__reached"), 0).otherwise(1)
-    upto = Window.partitionBy(*by).orderBy(start, end).rowsBetween(Window.unboundedPreceding, 0)
-    numbered = reached.withColumn("__begins", begins).withColumn("__island", F.sum("__begins").over(upto))
+    """Intervals of each group of ``by`` that meet or overlap as one.
+
+    An island is named by the start it begins at. Rows that start together share the range
+    frame, so whichever of them the sweep takes first, they end up in the same island.
+    """
+    order = Window.partitionBy(*by).orderBy(start)
+    reached = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = df.withColumn("__reached", reached).withColumn(
+        "__begins", F.when(F.col("__reached").isNull() | (F.col(start) > F.col("__reached")), F.col(start)))
+    upto = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = begins.withColumn("__island", F.max("__begins").over(upto))
     return numbered.groupBy(*by, "__island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__island")
 
 

@@ -118,6 +118,28 @@ def test_interval_union_and_difference(spark, bucket):
     assert rows(none) == rows(intervals.interval_union(frame(wanted), ["k"], "s", "e", bucket))
 
 
+def equal_starts():
+    """Intervals of which many begin at the same minute, the longest first, last and between."""
+    rng = random.Random(7)
+    data = [("a", 0, 2), ("a", 10, 20), ("a", 10, 13), ("b", 0, 2), ("b", 10, 13), ("b", 10, 20), ("b", 10, 20)]
+    for start in range(100, 8000, 40):
+        data += [(k, start, start + rng.randint(1, 45)) for k in "ab" for _ in range(rng.randint(1, 4))]
+    return data
+
+
+@pytest.mark.parametrize("bucket", ["day", "month"])
+def test_interval_difference_with_equal_starts(spark, bucket):
+    frame = lambda data: spark.createDataFrame([(k, at(a), at(b)) for k, a, b in data], "k string, s timestamp_ntz, e timestamp_ntz").coalesce(1)
+    wanted, covered = [("a", 0, 9000), ("b", 0, 9000)], equal_starts()
+    taken = covered_minutes(covered)
+    want = sorted((k, at(a), at(b)) for k in "ab" for a, b in as_intervals(set(range(9000)) - taken[k]))
+    for order in (covered, covered[::-1]):
+        assert rows(intervals.interval_difference(frame(wanted), frame(order), ["k"], ["k"], "s", "e", bucket)) == want
+    # the other way round, the wanted ones begin together
+    got = intervals.interval_difference(frame(covered), frame([("a", 1, 5000)]).drop("k"), ["k"], (), "s", "e", bucket)
+    assert rows(got) == sorted((k, at(a), at(b)) for k in "ab" for a, b in as_intervals(taken[k] - set(range(1, 5000))))
+
+
 # gaps
 
 def test_gaps_and_spine(spark):
