@@ -127,6 +127,20 @@ def equal_starts():
     return data
 
 
+@pytest.mark.parametrize("bucket", ["day", "month"])
+def test_interval_union_with_equal_starts(spark, bucket):
+    data = equal_starts()
+    want = sorted((k, at(a), at(b)) for k, m in covered_minutes(data).items() for a, b in as_intervals(m))
+    for order in (data, data[::-1]):
+        frame = spark.createDataFrame([(k, at(a), at(b)) for k, a, b in order], "k string, s timestamp_ntz, e timestamp_ntz")
+        for given in (frame.coalesce(1), frame.repartition(3, "e")):
+            assert rows(intervals.interval_union(given, ["k"], "s", "e", bucket)) == want
+    # and without a key, in dates
+    days = spark.sql("select date'2026-01-01' + s as s, date'2026-01-01' + e as e from values (0, 1), (3, 9), (3, 4), (3, 4), (40, 80), (40, 41) as t (s, e)")
+    day = lambda n: T0.date() + timedelta(days=n)
+    assert rows(intervals.interval_union(days, (), "s", "e", bucket)) == [(day(0), day(1)), (day(3), day(9)), (day(40), day(80))]
+
+
 @pytest.mark.parametrize("bucket", ["day", "month"])
 def test_interval_difference_with_equal_starts(spark, bucket):
     frame = lambda data: spark.createDataFrame([(k, at(a), at(b)) for k, a, b in data], "k string, s timestamp_ntz, e timestamp_ntz").coalesce(1)

@@ -44,7 +44,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 # the smallest tables hold no two of their ranges that begin at the same hour
-@pytest.mark.parametrize("name", ["uncovered_hours"])
+@pytest.mark.parametrize("name", ["uncovered_hours", "covered_hours"])
 def test_query_equals_sql_on_larger_tables(spark, name):
     folder = DATA.replace("sf0.001", "sf0.01")
     df = QUERIES[name](spark, folder)
