@@ -8,6 +8,7 @@ running maximum of the ends before it; nothing is exploded into days or hours.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -15,7 +16,13 @@ from curbair.operators.joins import lookup_join
 from curbair.sources.staging import staged
 
 _BUCKET = "__bucket"
-BUCKETS = {"day": "interval 1 day", "month": "interval 1 month", "year": "interval 1 year"}
+_EPOCH = date(1970, 1, 1)
+# the number of the bucket a date lies in, and the date a bucket begins at
+BUCKETS = {
+    "day": (F.unix_date, F.date_from_unix_date),
+    "month": (lambda day: (F.year(day) - 1970) * 12 + F.month(day) - 1, lambda n: F.add_months(F.lit(_EPOCH), n)),
+    "year": (lambda day: F.year(day) - 1970, lambda n: F.add_months(F.lit(_EPOCH), n * 12)),
+}
 
 
 def _islands(df: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
@@ -34,14 +41,21 @@ def _islands(df: DataFrame, by: Sequence[str], start: str, end: str) -> DataFram
 
 
 def _pieces(df: DataFrame, keys: Sequence[str], start: str, end: str, bucket: str) -> DataFrame:
-    """Non-empty intervals cut at the borders of buckets."""
+    """Non-empty intervals cut at the borders of buckets.
+
+    Borders are counted in dates, so the session's time zone moves none of them between
+    intervals, and takes no part at all in bounds that have no zone.
+    """
     kind = df.schema[start].dataType
-    step = F.expr(BUCKETS[bucket])
+    number, border = BUCKETS[bucket]
     real = df.select(*keys, start, end).filter(F.col(start) < F.col(end))
-    first = F.date_trunc(bucket, F.col(start)).cast(kind)
-    cut = real.withColumn(_BUCKET, F.explode(F.sequence(first, F.col(end), step))).filter(F.col(_BUCKET) < F.col(end))
+    # one bucket more than the end lies in: a clock set back over midnight returns to the day before
+    last = number(F.col(end).cast("date")) + 1
+    cut = real.withColumn(_BUCKET, F.explode(F.sequence(number(F.col(start).cast("date")), last)))
+    bound = lambda n: border(n).cast(kind)
     return cut.withColumns({
-        start: F.greatest(F.col(start), F.col(_BUCKET)), end: F.least(F.col(end), (F.col(_BUCKET) + step).cast(kind))})
+        start: F.greatest(F.col(start), bound(F.col(_BUCKET))),
+        end: F.least(F.col(end), bound(F.col(_BUCKET) + 1))}).filter(F.col(start) < F.col(end))
 
 
 def interval_union(

@@ -141,6 +141,28 @@ def test_interval_union_with_equal_starts(spark, bucket):
     assert rows(intervals.interval_union(days, (), "s", "e", bucket)) == [(day(0), day(1)), (day(3), day(9)), (day(40), day(80))]
 
 
+@pytest.mark.parametrize("bucket", ["day", "month"])
+def test_interval_union_in_zones_that_set_clocks_at_midnight(spark, bucket):
+    zoneless = spark.sql("""
+        select to_timestamp_ntz(s) as s, to_timestamp_ntz(e) as e from values
+          ('1999-03-30 00:00:00', '1999-04-02 00:00:00'), ('1999-04-01 00:00:00', '1999-04-01 01:00:00'),
+          ('1999-04-01 12:00:00', '1999-04-01 13:00:00'), ('2000-04-01 00:00:00', '2000-04-01 00:30:00') as t (s, e)""")
+    # seconds after 2009-11-01 02:30 UTC, which is midnight there; a minute later it is 23:01 of the day before
+    instants = spark.sql("""
+        select timestamp_seconds(1257042600 + s) as s, timestamp_seconds(1257042600 + e) as e
+        from values (-90000, -5), (30, 1800), (900, 1200), (1200, 2700), (2700, 2710), (9000, 12600) as t (s, e)""")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Damascus")  # no midnight on 1 April 1999 and 2000
+        assert rows(intervals.interval_union(zoneless, (), "s", "e", bucket)) == [
+            (datetime(1999, 3, 30), datetime(1999, 4, 2)), (datetime(2000, 4, 1), datetime(2000, 4, 1, 0, 30))]
+        spark.conf.set("spark.sql.session.timeZone", "America/St_Johns")
+        seconds = [(F.unix_seconds(c) - 1257042600).alias(c) for c in "se"]
+        got = rows(intervals.interval_union(instants, (), "s", "e", bucket), *seconds)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted(got) == [(-90000, -5), (30, 2710), (9000, 12600)]
+
+
 @pytest.mark.parametrize("bucket", ["day", "month"])
 def test_interval_difference_with_equal_starts(spark, bucket):
     frame = lambda data: spark.createDataFrame([(k, at(a), at(b)) for k, a, b in data], "k string, s timestamp_ntz, e timestamp_ntz").coalesce(1)
