@@ -1,10 +1,14 @@
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
+from pyarrow.fs import LocalFileSystem
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 
-from curbair.sources import catalogue, files, sinks, staging
+from curbair.sources import catalogue, files, grouped, sinks, staging
 
 
 def write(path, text):
@@ -149,6 +153,87 @@ def test_grouped_layout_keeps_keys_and_cuts_hot_groups(spark, tmp_path):
     assert len([f for f in hot if f.endswith(".parquet")]) > 1
 
 
+def groups_below(path):
+    """Part files of a data set by their directory."""
+    found = {}
+    for folder, _, names in os.walk(path):
+        for name in names:
+            if not name.startswith(("_", ".")):
+                found.setdefault(os.path.relpath(folder, path), []).append(name)
+    return found
+
+
+def odd_groups(spark):
+    return spark.createDataFrame(
+        [("a=b/c", 1, 1.5, 'x,"y"'), ("a=b/c", 1, 2.5, "l\n2"), ("", 2, None, ""), (None, 2, 1e20, None), ("\u00e9 %20", 3, 0.1, " z ")],
+        "g string, h long, v double, `t.u` string").withColumns({
+            "at": F.expr("timestamp'2024-01-01 10:00:00.123'"), "plain": F.expr("timestamp_ntz'1500-01-01 10:00:00.123'"),
+            "day": F.expr("date'2024-01-01'"), "flag": F.lit(True)})
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_groups_are_named_and_filled_as_by_spark(spark, tmp_path, fmt):
+    ours, theirs, df = str(tmp_path / "ours"), str(tmp_path / "theirs"), odd_groups(spark)
+    sinks.write_by_group(df, ours, ["g", "h"], fmt=fmt, sort_by=["v"])
+    copied = df.withColumns({"g_p": F.col("g"), "h_p": F.col("h")}).repartition(1).sortWithinPartitions("g_p", "h_p", "v")
+    copied.write.partitionBy("g_p", "h_p").options(**sinks.CSV_OPTIONS).format(fmt).save(theirs)
+    assert set(groups_below(ours)) == set(groups_below(theirs)) and os.path.exists(f"{ours}/_SUCCESS")
+    if fmt == "csv":
+        lines = [{folder: sorted(line for n in names for line in open(f"{path}/{folder}/{n}", newline=""))
+                  for folder, names in groups_below(path).items()} for path in (ours, theirs)]
+        assert lines[0] == lines[1]
+        return
+    a, b = (spark.read.parquet(p) for p in (ours, theirs))
+    assert a.schema == b.schema and rows(a) == rows(b)
+    texts = b.withColumn("h_p", F.col("h_p").cast("string"))
+    found = grouped.read_groups(spark, ours, ["g_p", "h_p"])
+    assert found.columns == texts.columns and rows(found) == rows(texts)
+    assert rows(grouped.read_groups(spark, theirs, ["g_p"], ["h", "v"])) == rows(b.select("h", "v", "g_p"))
+
+
+def test_small_groups_are_written_by_many_tasks(spark, tmp_path):
+    # by bytes, AQE would give them all to one task
+    path, df = str(tmp_path / "many"), spark.range(300).selectExpr("id % 5 as a", "id as b", "id as v")
+    merging = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    sinks.write_by_group(df, path, ["a", "b"], fmt="parquet")
+    found = groups_below(path)
+    assert len(found) == 300 and all(len(names) == 1 for names in found.values())
+    assert len({names[0].split("-")[1] for names in found.values()}) > 1
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == merging
+    assert rows(spark.read.parquet(path).select("a", "b", "v")) == rows(df)
+
+
+def test_groups_appear_whole_or_not_at_all(spark, tmp_path):
+    path, df = str(tmp_path / "out"), spark.range(100).selectExpr("id as a", "if(id = 77, raise_error('no'), id) as v")
+    with pytest.raises(Exception, match="no"):
+        sinks.write_by_group(df, path, ["a"])
+    assert not os.listdir(tmp_path)
+    sinks.write_by_group(spark.range(3), path, ["id"])
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        sinks.write_by_group(spark.range(2), path, ["id"])
+    sinks.write_by_group(spark.range(2), path, ["id"], mode="overwrite")
+    assert set(groups_below(path)) == {"id_p=0", "id_p=1"}
+    sinks.write_by_group(spark.range(2, 4), path, ["id"], mode="append")
+    assert rows(spark.read.option("header", True).csv(path).select("id")) == [("0",), ("1",), ("2",), ("3",)]
+
+
+@pytest.mark.parametrize("header", ["a,v", None])
+def test_a_group_larger_than_a_task_holds_is_one_file(tmp_path, monkeypatch, header):
+    monkeypatch.setattr(grouped, "HELD_BYTES", 1000)
+    file = grouped.GroupFile(LocalFileSystem(), str(tmp_path / "a_p=1"), "part", 7, header)
+    for start in range(0, 5000, 100):
+        numbers = range(start, start + 100)
+        columns = {"line": [f"1,{v}" for v in numbers]} if header else {"a": [1] * 100, "v": list(numbers)}
+        file.add(pa.record_batch(columns), 800)
+    file.close()
+    assert os.listdir(tmp_path / "a_p=1") == ["part"]
+    made = tmp_path / "a_p=1" / "part"
+    if header:
+        assert made.read_text().splitlines() == ["a,v", *[f"1,{v}" for v in range(5000)]]
+    else:
+        assert pq.ParquetFile(made).read().column("v").to_pylist() == list(range(5000))
+
+
 def test_zone_lookup_keeps_na_text(spark, tmp_path):
     path = write(tmp_path / "zones.csv",
                  '"LocationID","Borough","Zone","service_zone"\r\n1,"EWR","Newark Airport","EWR"\r\n'
