@@ -3,6 +3,7 @@
 import glob
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -10,6 +11,7 @@ from conftest import DATA, plan_of
 
 import __spark_entry__ as contract
 from curbair.queries import ORACLE, QUERIES
+from curbair.sources.staging import shared_folder
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="given tables absent")
 
@@ -33,6 +35,10 @@ def ordered(rows):
                   key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
+def shared(spark):
+    return re.sub("^file:/+", "/", shared_folder(spark))
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, DATA)
@@ -54,6 +60,22 @@ def test_query_equals_sql_on_larger_tables(spark, name):
     assert ordered(df.collect()) == ordered(want)
 
 
+def test_organised_stations_come_with_every_fact(spark, tmp_path):
+    # 120 groups of a day, station and parameter: by bytes AQE would give them all to one task
+    tables, before = str(tmp_path), set(os.listdir(shared(spark)))
+    spark.range(120).selectExpr(
+        "timestamp_ntz'2024-01-01 10:00:00' + make_dt_interval(int(id % 2)) as ts", "id as user_id", "'view' as event_type",
+        "double(id) as value").write.parquet(f"{tables}/events.parquet")
+    spark.range(100).selectExpr(
+        "id as c_custkey", "concat('n', id) as c_name", "'m' as c_mktsegment", "double(id) as c_acctbal",
+        "int(id % 7) as c_nationkey").write.parquet(f"{tables}/customer.parquet")
+    found = QUERIES["organised_stations"](spark, tables)
+    assert ordered(found.collect()) == ordered((f"day_2024010{1 + i % 2}", str(i), f"n{i}") for i in range(100))
+    (made,) = (n for n in set(os.listdir(shared(spark))) - before if n.startswith("organised-"))
+    parts = glob.glob(f"{shared(spark)}/{made}/air_data_run/facts/source_file_p=*/parameter_p=view/location_id_p=*/part-*")
+    assert len(parts) == 100 and len({os.path.basename(p).split("-")[1] for p in parts}) > 1
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
