@@ -76,6 +76,20 @@ def test_organised_stations_come_with_every_fact(spark, tmp_path):
     assert len(parts) == 100 and len({os.path.basename(p).split("-")[1] for p in parts}) > 1
 
 
+def test_landed_pages_take_little_disk(spark, tmp_path):
+    before = set(os.listdir(shared(spark)))
+    spark.range(3000).selectExpr(
+        "id as l_suppkey", "int(id % 7) as l_linenumber", "double(id % 50) as l_quantity", "id * 1.5D as l_extendedprice",
+        "(id % 11) / 100D as l_discount", "(id % 9) / 100D as l_tax", "'R' as l_returnflag", "'O' as l_linestatus",
+        "timestamp_ntz'1995-01-01 00:00:00' as l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = QUERIES["landed_pages"](spark, str(tmp_path))
+    values = [(str(i), v) for i in range(3000) for v in (i % 50, i * 1.5, i % 11 / 100, i % 9 / 100) if v]
+    assert ordered(found.select("location_id", "value").collect()) == ordered(values)
+    (made,) = (n for n in set(os.listdir(shared(spark))) - before if n.startswith("pages-"))
+    pages = glob.glob(f"{shared(spark)}/{made}/part-*")
+    assert sum(os.path.getsize(p) for p in pages) < 100 * 3000  # a page is about 1000 bytes
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
